@@ -488,3 +488,182 @@ UNION ALL SELECT 'per_class', 'safe_f1_score', round(CASE WHEN 2 * tn + fn + fp
 UNION ALL SELECT 'per_class', 'unsafe_f1_score', round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) FROM c""")
 def e17_report_table(spark, sf):
     return M.report_table(_eval(spark, sf))
+
+
+# ================================================================ F: splits, folds, weights
+from saferow.operators import split as S  # noqa: E402
+from saferow.operators import features as FE  # noqa: E402
+
+
+def _rank_sql(strat: str) -> str:
+    part = f"PARTITION BY {strat}" if strat else ""
+    return f"""h AS (SELECT *, md5('42:' || CAST(sample_key AS VARCHAR)) AS hh FROM samples),
+r AS (SELECT *, row_number() OVER ({part} ORDER BY hh, sample_key) - 1 AS rk,
+             count(*) OVER ({part}) AS n FROM h)"""
+
+
+@register("f13_split_stratified", f"""WITH {_rank_sql('safety_status')}
+SELECT sample_key, safety_status, CASE WHEN rk < round(n * 2e-1) THEN 'test' ELSE 'train' END AS split FROM r""")
+def f13_split_stratified(spark, sf):
+    s = samples_df(spark, sf).select("sample_key", "safety_status")
+    return S.assign_split(s, "sample_key", "safety_status", test_size=0.2, seed=42)
+
+
+@register("f13_split_plain", f"""WITH {_rank_sql('')}
+SELECT sample_key, safety_status, CASE WHEN rk < round(n * 2e-1) THEN 'test' ELSE 'train' END AS split FROM r""")
+def f13_split_plain(spark, sf):
+    s = samples_df(spark, sf).select("sample_key", "safety_status")
+    return S.assign_split(s, "sample_key", None, test_size=0.2, seed=42)
+
+
+@register("f14_split_three_way", f"""WITH {_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r)
+SELECT sample_key, safety_status, CASE WHEN rk < nt THEN 'test'
+  WHEN rk < nt + round((n - nt) * (1e-1 / (1e0 - 2e-1))) THEN 'val' ELSE 'train' END AS split FROM q""")
+def f14_split_three_way(spark, sf):
+    s = samples_df(spark, sf).select("sample_key", "safety_status")
+    return S.assign_split(s, "sample_key", "safety_status", test_size=0.2, val_size=0.1, seed=42)
+
+
+@register("t11_fold_assignment", f"""WITH {_rank_sql('safety_status')}
+SELECT sample_key, safety_status, CAST(rk % 5 AS INTEGER) AS fold FROM r""")
+def t11_fold_assignment(spark, sf):
+    s = samples_df(spark, sf).select("sample_key", "safety_status")
+    return S.assign_folds(s, "sample_key", "safety_status", k=5, seed=42)
+
+
+@register("t5_class_weights", """WITH c AS (SELECT safety_status, count(*) AS nc FROM samples GROUP BY safety_status),
+t AS (SELECT count(*) AS n, count(DISTINCT coalesce(safety_status, '')) AS k FROM samples)
+SELECT s.sample_key, s.safety_status, round(CAST(t.n AS DOUBLE) / (t.k * c.nc), 6) AS weight
+FROM samples s JOIN c ON s.safety_status IS NOT DISTINCT FROM c.safety_status, t""")
+def t5_class_weights(spark, sf):
+    s = samples_df(spark, sf).select("sample_key", "safety_status")
+    out = S.balanced_weight(s, "safety_status")
+    return out.select("sample_key", "safety_status", r6(F.col("weight")).alias("weight"))
+
+
+# ================================================================ F: features
+def _fit(spark, sf, scaling):
+    s = samples_df(spark, sf)
+    return s, FE.FeaturePrep(scaling=scaling).fit(s)
+
+
+@register("f1_feature_selection", "SELECT sample_key, " + ", ".join(SPEC.feature_columns) + " FROM samples")
+def f1_feature_selection(spark, sf):
+    s = samples_df(spark, sf)
+    num, cat = FE.infer_feature_columns(s, SPEC.target, exclude=[SPEC.key])
+    return s.select(SPEC.key, *num, *cat)
+
+
+@register("f2_mean_imputer_values", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg(CAST({c} AS DOUBLE)), 6) AS fill_value FROM samples" for c in NUM))
+def f2_mean_imputer_values(spark, sf):
+    return FE.fit_stats_frame(samples_df(spark, sf), list(SPEC.numeric_features), "mean")
+
+
+@register("f3_median_imputer_values", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(median(CAST({c} AS DOUBLE)), 6) AS fill_value FROM samples" for c in NUM))
+def f3_median_imputer_values(spark, sf):
+    return FE.fit_stats_frame(samples_df(spark, sf), list(SPEC.numeric_features), "median")
+
+
+@register("f4_categorical_fill", "SELECT sample_key, " + ", ".join(
+    f"coalesce({c}, 'missing') AS {c}" for c in SPEC.categorical_features) + " FROM samples")
+def f4_categorical_fill(spark, sf):
+    s, fitted = _fit(spark, sf, "standard")
+    out = fitted.transform(s)
+    return out.select("sample_key", *[F.col(f"{FE.CAT_PREFIX}{c}").alias(c) for c in SPEC.categorical_features])
+
+
+def _std_sql(where_fit: str = "", src: str = "samples", target_rows: str = "samples") -> str:
+    stats = ", ".join(
+        f"avg(CAST({c} AS DOUBLE)) AS m_{c}, sqrt(var_pop(CAST({c} AS DOUBLE)) * count({c}) / count(*)) AS s_{c}"
+        for c in NUM)
+    sel = ", ".join(
+        f"round((coalesce(CAST(x.{c} AS DOUBLE), st.m_{c}) - st.m_{c}) / CASE WHEN st.s_{c} = 0 THEN 1e0 ELSE st.s_{c} END, 6) AS {c}"
+        for c in NUM)
+    return f"WITH st AS (SELECT {stats} FROM {src} {where_fit}) SELECT x.sample_key, {sel} FROM {target_rows} x, st"
+
+
+@register("f5_standard_scaling", _std_sql())
+def f5_standard_scaling(spark, sf):
+    s, fitted = _fit(spark, sf, "standard")
+    out = fitted.transform(s)
+    return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
+
+
+def _robust_sql() -> str:
+    meds = ", ".join(f"median(CAST({c} AS DOUBLE)) AS md_{c}" for c in NUM)
+    filled = ", ".join(f"coalesce(CAST(s.{c} AS DOUBLE), md.md_{c}) AS {c}" for c in NUM)
+    qs = ", ".join(f"quantile_cont({c}, 25e-2) AS q1_{c}, quantile_cont({c}, 5e-1) AS q2_{c}, "
+                   f"quantile_cont({c}, 75e-2) AS q3_{c}" for c in NUM)
+    sel = ", ".join(
+        f"round(({c} - q2_{c}) / CASE WHEN q3_{c} - q1_{c} = 0 THEN 1e0 ELSE q3_{c} - q1_{c} END, 6) AS {c}"
+        for c in NUM)
+    return (f"WITH md AS (SELECT {meds} FROM samples), f AS (SELECT s.sample_key, {filled} FROM samples s, md), "
+            f"q AS (SELECT {qs} FROM f) SELECT f.sample_key, {sel} FROM f, q")
+
+
+@register("f6_robust_scaling", _robust_sql())
+def f6_robust_scaling(spark, sf):
+    s, fitted = _fit(spark, sf, "robust")
+    out = fitted.transform(s)
+    return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
+
+
+@register("f7_no_scaling", "WITH st AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in NUM)
+          + " FROM samples) SELECT x.sample_key, " + ", ".join(f"round(coalesce(CAST(x.{c} AS DOUBLE), st.m_{c}), 6) AS {c}" for c in NUM)
+          + " FROM samples x, st")
+def f7_no_scaling(spark, sf):
+    s, fitted = _fit(spark, sf, "none")
+    out = fitted.transform(s)
+    return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
+
+
+@register("f8_one_hot_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, coalesce({c}, 'missing') AS category, count(*) AS n_hot FROM samples "
+    f"GROUP BY coalesce({c}, 'missing')" for c in SPEC.categorical_features))
+def f8_one_hot_counts(spark, sf):
+    s, fitted = _fit(spark, sf, "standard")
+    return FE.one_hot_counts(fitted, fitted.transform(s))
+
+
+@register("f9_fit_train_transform_test", f"""WITH {_rank_sql('safety_status')},
+sp AS (SELECT * FROM r WHERE rk >= round(n * 2e-1)),
+te AS (SELECT * FROM r WHERE rk < round(n * 2e-1)),
+""" + _std_sql(src="sp", target_rows="te")[5:])
+def f9_fit_train_transform_test(spark, sf):
+    s = samples_df(spark, sf)
+    parts = S.split_frames(s, "sample_key", "safety_status", test_size=0.2, seed=42)
+    fitted = FE.FeaturePrep(scaling="standard").fit(parts["train"])
+    out = fitted.transform(parts["test"])
+    return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
+
+
+@register("f10_label_encode", """SELECT sample_key, CASE safety_status WHEN 'safe' THEN 0 WHEN 'unsafe' THEN 1 END AS label
+FROM samples""")
+def f10_label_encode(spark, sf):
+    s = samples_df(spark, sf)
+    return s.select("sample_key", FE.label_encode(F.col("safety_status")).alias("label"))
+
+
+@register("f11_inverse_label", """SELECT sample_key, CASE y WHEN 0 THEN 'safe' WHEN 1 THEN 'unsafe' END AS label_name
+FROM scored""")
+def f11_inverse_label(spark, sf):
+    return scored_df(spark, sf).select("sample_key", FE.label_decode(F.col("y")).alias("label_name"))
+
+
+def _names_sql() -> str:
+    cats = " UNION ALL ".join(
+        f"SELECT DISTINCT {i} AS ci, '{c}' AS c, coalesce({c}, 'missing') AS v FROM samples"
+        for i, c in enumerate(SPEC.categorical_features))
+    nums = " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS feature_name" for i, c in enumerate(NUM))
+    return (f"WITH d AS ({cats}) {nums} UNION ALL SELECT CAST({len(NUM)} + row_number() OVER (ORDER BY ci, v) - 1 AS INTEGER), "
+            f"c || '_' || v FROM d")
+
+
+@register("f12_feature_names", _names_sql())
+def f12_feature_names(spark, sf):
+    s, fitted = _fit(spark, sf, "standard")
+    names = fitted.feature_names()
+    return FE.names_frame(s.sparkSession, names)
