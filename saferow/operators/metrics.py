@@ -122,8 +122,8 @@ def score_points(df: DataFrame, y: str = "y", proba: str = "p",
            .agg(F.sum((F.col(y) == 1).cast("long")).alias("pos"),
                 F.sum((F.col(y) != 1).cast("long")).alias("neg"))
            .withColumn("one", F.lit(1).cast("long")))
-    cum = prefix_agg(pts, [F.col("threshold").desc()], {"pos": "sum", "neg": "sum", "one": "sum"},
-                     n_parts=n_parts)
+    cum = prefix_agg(pts, ["threshold"], {"pos": "sum", "neg": "sum", "one": "sum"},
+                     n_buckets=n_parts, descending=True)
     return cum.select("threshold", "pos", "neg", F.col("pos_cum").alias("tps"),
                       F.col("neg_cum").alias("fps"), (F.col("one_cum") - 1).alias("idx"))
 

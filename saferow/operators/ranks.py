@@ -4,9 +4,11 @@ A window with ``orderBy`` and no ``partitionBy`` runs in one task.  These
 helpers give the same answers (global row index, global running aggregates,
 exact per-group rank) with the work spread over many tasks:
 
-* :func:`row_index` - range-partition on the order key, number rows inside each
-  partition, add the row counts of all earlier partitions (a table with one row
-  per partition, so its size is bounded by the partition count).
+* :func:`row_index` - cut the order key into value-range buckets (approximate
+  quantiles), number rows inside each bucket, add the row counts of all
+  earlier buckets (a table with one row per bucket, so its size is bounded by
+  the bucket count).  Buckets are a function of the value, so the answer does
+  not depend on partitioning, plan shape or task retries.
 * :func:`prefix_agg` - the same structure for running sums / maxima.
 * :func:`bucketed_rank` - an exact rank within a group, ordered by a hash: the
   hash prefix splits every group into many buckets, so a class holding a third
@@ -15,13 +17,12 @@ exact per-group rank) with the work spread over many tasks:
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence, Union
+from typing import Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ColLike = Union[str, Column]
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row number
 
 
 def _n_parts(df: DataFrame, n_parts: int | None) -> int:
@@ -30,58 +31,81 @@ def _n_parts(df: DataFrame, n_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _cols(cols: Iterable[ColLike]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+def _sorted(order_cols: Sequence[str], descending: bool) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
 
 
-def row_index(df: DataFrame, order_cols: Sequence[ColLike], out: str = "row_idx",
-              n_parts: int | None = None) -> DataFrame:
+def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None,
+                  out: str = "_bucket", descending: bool = False) -> DataFrame:
+    """Add a bucket number that is a range of the leading order column.
+
+    Boundaries are approximate quantiles (one pass, ``n_buckets - 1`` values
+    collected), so buckets hold similar row counts; the bucket of a row depends
+    only on its value, never on partitioning or task retries.  The leading
+    column must be numeric; NULLs go to the first bucket (ascending) or the
+    last (descending), as Spark sorts them.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    n = n_buckets or max(2 * _n_parts(df, None), 16)
+    lead, desc = F.col(order_cols[0]), descending
+    key = (-lead.cast("double")) if desc else lead.cast("double")
+    key = F.coalesce(key, F.lit(float("inf") if desc else float("-inf")))
+    keyed = df.withColumn("_bkey", key)
+    probs = [i / n for i in range(1, n)]
+    qs = keyed.where(F.col("_bkey").isNotNull()).approxQuantile("_bkey", probs, 1.0 / (10 * n)) if n > 1 else []
+    bounds = sorted({q for q in qs if q not in (float("inf"), float("-inf"))})
+    splits = [float("-inf")] + bounds + [float("inf")]
+    if len(splits) < 3:
+        return keyed.withColumn(out, F.lit(0)).drop("_bkey")
+    b = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_bk", handleInvalid="keep")
+    return b.transform(keyed).withColumn(out, F.col("_bk").cast("int")).drop("_bkey", "_bk")
+
+
+def row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_idx",
+              n_buckets: int | None = None, descending: bool = False) -> DataFrame:
     """0-based global row index in ``order_cols`` order (the order must be unique).
 
-    One range shuffle; the per-partition counts reuse it.  The broadcast offset
-    table has one row per range partition.
+    Rows are numbered inside value-range buckets (a window per bucket, so the
+    work is spread over all buckets); each bucket's offset is the row count of
+    the buckets before it, from a table with one row per bucket (broadcast).
     """
-    n = _n_parts(df, n_parts)
-    order = _cols(order_cols)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = (ranged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a single-task window over a table of bounded size
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_mid", "_pid", "_local", "_off"))
+    order = _sorted(order_cols, descending)
+    b = range_buckets(df, order_cols, n_buckets, descending=descending)
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per bucket: a single-task window over a table of bounded size
+    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    w_local = Window.partitionBy("_bucket").orderBy(*order)
+    return (b.join(F.broadcast(offsets), "_bucket")
+            .withColumn(out, F.col("_off") + F.row_number().over(w_local) - 1)
+            .drop("_bucket", "_off"))
 
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def prefix_agg(df: DataFrame, order_cols: Sequence[ColLike], aggs: dict[str, str],
-               suffix: str = "_cum", n_parts: int | None = None) -> DataFrame:
+def prefix_agg(df: DataFrame, order_cols: Sequence[str], aggs: dict[str, str],
+               suffix: str = "_cum", n_buckets: int | None = None, descending: bool = False) -> DataFrame:
     """Running (inclusive) aggregates over a global order.
 
     ``aggs`` maps a column to ``sum``, ``max`` or ``min``; the result gets
     ``<column><suffix>``.  Rows with equal order values are distinct rows of the
-    running sequence, so pass a unique order (or aggregate ties first).
+    running sequence, so pass a unique order (or aggregate ties first).  Same
+    structure as :func:`row_index`: running aggregates inside value-range
+    buckets plus the broadcast totals of all earlier buckets.
     """
-    n = _n_parts(df, n_parts)
-    order = _cols(order_cols)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    w_local = (Window.partitionBy("_pid").orderBy(*order)
+    order = _sorted(order_cols, descending)
+    b = range_buckets(df, order_cols, n_buckets, descending=descending)
+    w_local = (Window.partitionBy("_bucket").orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[
-        _AGG[a](F.col(c)).over(w_local).alias(c + "_local") for c, a in aggs.items()
-    ])
-    totals = ranged.groupBy("_pid").agg(*[_AGG[a](F.col(c)).alias(c + "_part")
-                                          for c, a in aggs.items()])
-    w_prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[
+    local = b.select("*", *[_AGG[a](F.col(c)).over(w_local).alias(c + "_local") for c, a in aggs.items()])
+    totals = b.groupBy("_bucket").agg(*[_AGG[a](F.col(c)).alias(c + "_part") for c, a in aggs.items()])
+    w_prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[
         _AGG[a](F.col(c + "_part")).over(w_prev).alias(c + "_prev") for c, a in aggs.items()
     ])
-    joined = local.join(F.broadcast(offsets), "_pid")
+    joined = local.join(F.broadcast(offsets), "_bucket")
     outs = []
     for c, a in aggs.items():
         prev, cur = F.col(c + "_prev"), F.col(c + "_local")
@@ -92,7 +116,7 @@ def prefix_agg(df: DataFrame, order_cols: Sequence[ColLike], aggs: dict[str, str
         else:
             val = F.least(prev, cur)
         outs.append(val.alias(c + suffix))
-    drop = ["_pid"] + [c + "_prev" for c in aggs] + [c + "_local" for c in aggs]
+    drop = ["_bucket"] + [c + "_prev" for c in aggs] + [c + "_local" for c in aggs]
     return joined.select("*", *outs).drop(*drop)
 
 

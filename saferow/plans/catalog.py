@@ -667,3 +667,200 @@ def f12_feature_names(spark, sf):
     s, fitted = _fit(spark, sf, "standard")
     names = fitted.feature_names()
     return FE.names_frame(s.sparkSession, names)
+
+
+# ================================================================ H: search results (events as trials)
+from saferow.operators import search as H  # noqa: E402
+from saferow.operators import scoring as I  # noqa: E402
+
+TRIALS_SQL = "trials AS (SELECT event_id AS trial_number, CAST(value AS DOUBLE) AS score FROM events)"
+
+
+def _trials(spark, sf):
+    return H.trials_from_table(FX.table(spark, sf, "events"), "event_id", "value")
+
+
+@register("h4_best_trial", f"""WITH {TRIALS_SQL}
+SELECT trial_number, score, (SELECT count(*) FROM trials) AS n_trials FROM trials
+ORDER BY score DESC, trial_number ASC LIMIT 1""", with_fixtures=False)
+def h4_best_trial(spark, sf):
+    return H.best_trial(_trials(spark, sf))
+
+
+@register("h6_best_so_far", f"""WITH {TRIALS_SQL}
+SELECT trial_number, score, max(score) OVER (ORDER BY trial_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_score
+FROM trials""", with_fixtures=False)
+def h6_best_so_far(spark, sf):
+    return H.best_so_far(_trials(spark, sf))
+
+
+@register("h7_score_histogram", f"""WITH {TRIALS_SQL},
+st AS (SELECT min(score) AS lo, max(score) AS hi FROM trials),
+e AS (SELECT CAST(range AS INTEGER) AS bin,
+        CAST(range AS DOUBLE) * ((hi - lo) / 20e0) + lo AS bin_lo,
+        CASE WHEN range + 1 >= 20 THEN hi ELSE CAST(range + 1 AS DOUBLE) * ((hi - lo) / 20e0) + lo END AS bin_hi
+      FROM range(20), st)
+SELECT bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi,
+  (SELECT count(*) FROM trials t WHERE t.score >= e.bin_lo AND (t.score < e.bin_hi OR (e.bin = 19 AND t.score <= e.bin_hi))) AS n
+FROM e""", with_fixtures=False)
+def h7_score_histogram(spark, sf):
+    return H.score_histogram(_trials(spark, sf), bins=20)
+
+
+@register("h8_trials_save_load", f"WITH {TRIALS_SQL} SELECT trial_number, score FROM trials", with_fixtures=False)
+def h8_trials_save_load(spark, sf):
+    from saferow.session import scratch_path
+    path = scratch_path(spark, "trials")
+    _trials(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+# ================================================================ I: scoring rules (model-free)
+@register("i2_label_map", f"""WITH {SCORED_PRED}
+SELECT sample_key, CASE pred WHEN 0 THEN 'safe' WHEN 1 THEN 'unsafe' ELSE 'unknown' END AS prediction FROM scored_p""")
+def i2_label_map(spark, sf):
+    s = scored_df(spark, sf)
+    return s.select("sample_key", I.label_names(F.col("pred")).alias("prediction"))
+
+
+@register("i3_probability_columns", """SELECT sample_key, round(1e0 - p, 6) AS prob_safe, round(p, 6) AS prob_unsafe,
+  round(greatest(1e0 - p, p), 6) AS confidence FROM scored""")
+def i3_probability_columns(spark, sf):
+    s = scored_df(spark, sf)
+    cols = I.probability_columns(F.lit(1.0) - F.col("p"), F.col("p"))
+    return s.select("sample_key", *cols).select("sample_key", *[r6(F.col(c)).alias(c) for c in
+                                                               ("prob_safe", "prob_unsafe", "confidence")])
+
+
+@register("i6_batch_ids", """SELECT sample_key, row_number() OVER (ORDER BY sample_key) - 1 AS sample_id,
+  CAST(floor((row_number() OVER (ORDER BY sample_key) - 1) / 1000) + 1 AS BIGINT) AS batch_id FROM samples""")
+def i6_batch_ids(spark, sf):
+    return I.batch_ids(samples_df(spark, sf).select("sample_key"), "sample_key", 1000)
+
+
+@register("i7_quarantine_split", "SELECT CASE WHEN " + " OR ".join(f"({c})" for c, _ in _v9_cases())
+          + " THEN 'quarantined' ELSE 'accepted' END AS status, count(*) AS n FROM samples GROUP BY 1")
+def i7_quarantine_split(spark, sf):
+    good, bad = Q.quarantine(samples_df(spark, sf))
+    return good.select(F.lit("accepted").alias("status")).unionByName(bad.select(F.lit("quarantined").alias("status"))) \
+        .groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _risk_cases() -> list[tuple[str, str]]:
+    return [(f"{r.column} > {_num(r.threshold)}", r.code) for r in SPEC.risk_rules]
+
+
+@register("i8_risk_factor_codes", "SELECT sample_key, concat_ws(',', " + ", ".join(
+    f"CASE WHEN {c} THEN '{code}' END" for c, code in _risk_cases()) + ") AS risk_codes, CAST(" + " + ".join(
+    f"(CASE WHEN {c} THEN 1 ELSE 0 END)" for c, _ in _risk_cases()) + " AS INTEGER) AS n_factors FROM samples")
+def i8_risk_factor_codes(spark, sf):
+    s = samples_df(spark, sf)
+    codes = rules.risk_factor_codes()
+    return s.select("sample_key", F.concat_ws(",", codes).alias("risk_codes"), F.size(codes).cast("int").alias("n_factors"))
+
+
+def _first5_sql() -> str:
+    parts = [f"CASE WHEN {c} THEN '{code}' END" for c, code in _risk_cases()]
+    arr = "list_filter([" + ", ".join(parts) + "], lambda x: x IS NOT NULL)"
+    return f"SELECT sample_key, array_to_string({arr}[1:5], ',') AS top_codes FROM samples"
+
+
+@register("i9_top_risk_factors", _first5_sql())
+def i9_top_risk_factors(spark, sf):
+    s = samples_df(spark, sf)
+    return s.select("sample_key", F.concat_ws(",", rules.first_n(rules.risk_factor_codes(), 5)).alias("top_codes"))
+
+
+@register("i10_recommendation", f"""WITH {SCORED_PRED}
+SELECT sample_key, CASE WHEN pred = 1 THEN 'REJECT - Unsafe for consumption' ELSE 'ACCEPT - Safe for consumption' END AS recommendation
+FROM scored_p""")
+def i10_recommendation(spark, sf):
+    s = scored_df(spark, sf)
+    return s.select("sample_key", rules.recommendation(I.label_names(F.col("pred"))).alias("recommendation"))
+
+
+# ================================================================ S: sources and sinks
+from saferow.sources import files as SRC  # noqa: E402
+from saferow.sources import synth as SYN  # noqa: E402
+from saferow.session import scratch_path  # noqa: E402
+
+SAMPLES_SCHEMA = SPEC.spark_schema(with_key=True)
+
+
+@register("s1_s6_csv_round_trip", "SELECT * FROM samples")
+def s1_s6_csv_round_trip(spark, sf):
+    path = scratch_path(spark, "samples") + ".csv"
+    SRC.write_table(samples_df(spark, sf), path)
+    return SRC.read_table(spark, path, schema=SAMPLES_SCHEMA)
+
+
+@register("s2_s7_json_round_trip", "SELECT * FROM samples")
+def s2_s7_json_round_trip(spark, sf):
+    path = scratch_path(spark, "samples") + ".json"
+    SRC.write_table(samples_df(spark, sf), path)
+    return SRC.read_table(spark, path, schema=SAMPLES_SCHEMA).select(*ALL_SAMPLE_COLS)
+
+
+@register("s3_s8_parquet_round_trip", "SELECT * FROM samples")
+def s3_s8_parquet_round_trip(spark, sf):
+    path = scratch_path(spark, "samples") + ".parquet"
+    SRC.write_table(samples_df(spark, sf), path)
+    return SRC.read_table(spark, path)
+
+
+@register("s3_parquet_scan", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_totalprice > 1e5",
+          with_fixtures=False)
+def s3_parquet_scan(spark, sf):
+    df = SRC.read_table(spark, f"{sf}/orders.parquet")
+    return df.where(F.col("o_totalprice") > 1e5).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@register("s5_multi_file_union", "SELECT " + ", ".join(
+    (f"CASE WHEN sample_key % 2 = 0 THEN {c} END AS {c}" if c == "supplier_id" else c) for c in ALL_SAMPLE_COLS)
+    + " FROM samples")
+def s5_multi_file_union(spark, sf):
+    s = samples_df(spark, sf)
+    base = scratch_path(spark, "multi")
+    a, b = base + "-even.parquet", base + "-odd.csv"
+    SRC.write_table(s.where(F.col("sample_key") % 2 == 0), a)
+    SRC.write_table(s.where(F.col("sample_key") % 2 == 1).drop("supplier_id"), b)
+    odd_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SAMPLES_SCHEMA.fields
+                           if f.name != "supplier_id")
+    missing = base + "-absent.csv"  # a failed load is skipped with a warning
+    parts = [SRC.read_table(spark, a)]
+    more = SRC.read_many(spark, [b, missing], schema=odd_schema, combine=False)
+    merged = SRC.read_many.__wrapped__ if hasattr(SRC.read_many, "__wrapped__") else None
+    del merged
+    out = parts[0]
+    for p in more:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select(*ALL_SAMPLE_COLS)
+
+
+@register("s11_chunked_csv_scan", """SELECT sample_key, safety_status, row_number() OVER (ORDER BY sample_key) - 1 AS sample_id,
+  CAST(floor((row_number() OVER (ORDER BY sample_key) - 1) / 1000) + 1 AS BIGINT) AS batch_id FROM samples""")
+def s11_chunked_csv_scan(spark, sf):
+    path = scratch_path(spark, "batch") + ".csv"
+    SRC.write_table(samples_df(spark, sf), path)
+    df = SRC.read_table(spark, path, schema=SAMPLES_SCHEMA)
+    return I.batch_ids(df.select("sample_key", "safety_status"), "sample_key", 1000)
+
+
+@register("s9_synthetic_from_orders")
+def s9_synthetic_from_orders(spark, sf):
+    keys = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("sample_key"))
+    return SYN.generate(spark, keys=keys, seed=42, contamination_ratio=0.3)
+
+
+@register("s10_load_or_generate")
+def s10_load_or_generate(spark, sf):
+    path = scratch_path(spark, "generated") + ".parquet"
+    n = FX.table(spark, sf, "orders").count()
+    return SRC.load_or_generate(spark, path, n_samples=n, seed=42)
+
+
+@register("s12_report_text")
+def s12_report_text(spark, sf):
+    path = scratch_path(spark, "report") + ".txt"
+    SRC.write_lines(M.report_lines(M.report_table(_eval(spark, sf))), path)
+    return spark.read.text(path)
