@@ -225,8 +225,9 @@ class FeaturePrep:
         if categorical:
             stages.append(StringIndexer(inputCols=[f"{CAT_PREFIX}{c}" for c in categorical], outputCols=idx_cols,
                                         stringOrderType="alphabetAsc", handleInvalid="keep"))
-            stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, dropLast=True,
-                                        handleInvalid="keep"))
+            # the indexer's unseen bucket is the last slot, which dropLast removes:
+            # an unseen category encodes as all zeros
+            stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, dropLast=True))
         stages.append(VectorAssembler(inputCols=[f"{NUM_PREFIX}{c}" for c in numeric] + ohe_cols,
                                       outputCol=self.output_col, handleInvalid="keep"))
         model = Pipeline(stages=stages).fit(df)

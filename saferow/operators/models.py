@@ -34,7 +34,7 @@ BOOSTING = ("xgboost", "lightgbm")
 # own parameter names): boosting n_estimators 100, max_depth 6,
 # learning_rate 0.1, subsample 0.8, colsample_bytree 0.8; forest
 # n_estimators 100, max_depth None, min_samples_split 2, min_samples_leaf 1;
-# logistic max_iter 1000, C 1.0.
+# logistic max_iter 1000, C 1.0 (tolerance 1e-4, the library default).
 # ---------------------------------------------------------------------------
 DEFAULTS: dict[str, dict[str, Any]] = {
     "xgboost": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
@@ -43,9 +43,10 @@ DEFAULTS: dict[str, dict[str, Any]] = {
                  "colsample_bytree": 0.8},
     "random_forest": {"n_estimators": 100, "max_depth": None, "min_samples_split": 2,
                       "min_samples_leaf": 1},
-    "logistic_regression": {"max_iter": 1000, "C": 1.0},
+    "logistic_regression": {"max_iter": 1000, "C": 1.0, "tol": 1e-4},
 }
 MAX_TREE_DEPTH = 30  # Spark's limit for an unbounded depth
+TREE_MEMORY_MB = 1024  # per-executor budget for split statistics (fewer passes per level)
 
 
 def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[int] = None) -> dict[str, Any]:
@@ -78,6 +79,7 @@ def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[int]
         pen = p.get("penalty", "l2")
         out["elasticNetParam"] = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}.get(pen, 0.0)
         out["standardization"] = False
+        out["tol"] = float(p.get("tol", 1e-4))
     else:
         raise ValueError(f"Unsupported model type: {model_type}")
     return out
@@ -91,13 +93,16 @@ def make_estimator(model_type: str, params: dict[str, Any] | None = None, seed:
     common = dict(featuresCol=features, labelCol=label)
     if weight:
         common["weightCol"] = weight
+    # node-id caching with periodic checkpoints keeps deep / long tree fits from
+    # re-walking every tree per level and bounds their lineage
+    trees = dict(cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB, checkpointInterval=10)
     if model_type in BOOSTING:
-        est = GBTClassifier(seed=seed, **common, **sp)
+        est = GBTClassifier(seed=seed, **common, **trees, **sp)
         if validation:
             est = est.setValidationIndicatorCol(validation)
         return est
     if model_type == "random_forest":
-        return RandomForestClassifier(seed=seed, **common, **sp)
+        return RandomForestClassifier(seed=seed, **common, **trees, **sp)
     return LogisticRegression(**common, **sp)
 
 

@@ -864,3 +864,197 @@ def s12_report_text(spark, sf):
     path = scratch_path(spark, "report") + ".txt"
     SRC.write_lines(M.report_lines(M.report_table(_eval(spark, sf))), path)
     return spark.read.text(path)
+
+
+# ================================================================ T / I / H / J: models (rows-only)
+import json  # noqa: E402
+
+from saferow.operators import models as MD  # noqa: E402
+from saferow.plans import jobs as J  # noqa: E402
+
+_CACHE: dict = {}
+
+
+def _prepared(spark, sf):
+    """Train/test features of the samples (split .2, seed 42), fitted on train;
+    cached for the session so the model queries share one feature plan."""
+    key = (id(spark), sf, "prep")
+    if key not in _CACHE:
+        s = samples_df(spark, sf)
+        parts = S.split_frames(s, "sample_key", "safety_status", 0.2, 0.0, 42)
+        fitted = FE.FeaturePrep(scaling="standard").fit(parts["train"])
+        enc = FE.label_encode(F.col("safety_status")).cast("double").alias("label")
+        tr = fitted.transform(parts["train"]).select("sample_key", "features", enc).cache()
+        te = fitted.transform(parts["test"]).select("sample_key", "features", enc).cache()
+        _CACHE[key] = (fitted, tr, te)
+    return _CACHE[key]
+
+
+def _model(spark, sf, model_type, params=None, **kw):
+    fitted, tr, _ = _prepared(spark, sf)
+    family = "boosting" if model_type in MD.BOOSTING else model_type
+    key = (id(spark), sf, family, json.dumps(MD.spark_params(model_type, params or {}), sort_keys=True),
+           json.dumps(kw, sort_keys=True, default=str))
+    if key not in _CACHE:
+        _CACHE[key] = MD.train(tr, model_type, params, feature_names=fitted.feature_names(), **kw)
+    return _CACHE[key]
+
+
+def _test_predictions(spark, sf, model_type):
+    _, _, te = _prepared(spark, sf)
+    m = _model(spark, sf, model_type)
+    out = m.predict(te, keep=["sample_key", "label"])
+    return out.select("sample_key", F.col("label").cast("int").alias("y"), "prediction",
+                      r6(F.col("prob_1")).alias("prob_1"))
+
+
+@register("t1_boosting_xgboost_preset")
+def t1_boosting_xgboost_preset(spark, sf):
+    return _test_predictions(spark, sf, "xgboost")
+
+
+@register("t2_boosting_lightgbm_preset")
+def t2_boosting_lightgbm_preset(spark, sf):
+    return _test_predictions(spark, sf, "lightgbm")
+
+
+@register("t3_random_forest")
+def t3_random_forest(spark, sf):
+    return _test_predictions(spark, sf, "random_forest")
+
+
+@register("t4_logistic_regression")
+def t4_logistic_regression(spark, sf):
+    return _test_predictions(spark, sf, "logistic_regression")
+
+
+@register("t6_sample_weight")
+def t6_sample_weight(spark, sf):
+    """Logistic regression with a per-row weight (2 for unsafe-labelled rows of
+    odd keys, else 1) multiplied into the balanced class weights."""
+    fitted, tr, te = _prepared(spark, sf)
+    w = tr.withColumn("sw", F.when((F.col("label") == 1) & (F.col("sample_key") % 2 == 1), 2.0).otherwise(1.0))
+    m = MD.train(w, "logistic_regression", sample_weight="sw", feature_names=fitted.feature_names())
+    return m.predict(te, keep=["sample_key"]).select("sample_key", "prediction", r6(F.col("prob_1")).alias("prob_1"))
+
+
+@register("t7_early_stopping")
+def t7_early_stopping(spark, sf):
+    """Boosting with a held-out validation indicator (every 8th training key)."""
+    fitted, tr, _ = _prepared(spark, sf)
+    data = tr.withColumn("is_val", (F.col("sample_key") % 8) == 0)
+    m = MD.train(data, "xgboost", validation="is_val", feature_names=fitted.feature_names())
+    return spark.createDataFrame([(int(m.model.getNumTrees), len(m.model.trees))], "num_trees int, trees int")
+
+
+@register("t8_predict_proba")
+def t8_predict_proba(spark, sf):
+    _, _, te = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    out = m.predict(te, keep=["sample_key"])
+    return out.select("sample_key", "prediction", r6(F.col("prob_0")).alias("prob_0"), r6(F.col("prob_1")).alias("prob_1"))
+
+
+@register("t9_split_accuracy", f"""WITH {_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r),
+sp AS (SELECT sample_key, CASE WHEN rk < nt THEN 'test' WHEN rk < nt + round((n - nt) * (1e-1 / (1e0 - 2e-1))) THEN 'val'
+        ELSE 'train' END AS split FROM q),
+{SCORED_PRED}
+SELECT split, round(avg(CASE WHEN y = pred THEN 1e0 ELSE 0e0 END), 6) AS accuracy
+FROM sp JOIN scored_p USING (sample_key) GROUP BY split""")
+def t9_split_accuracy(spark, sf):
+    """T9 on the rule score: accuracy of ``p >= 0.5`` per split."""
+    s = scored_df(spark, sf)
+    tagged = S.assign_split(s, "sample_key", "safety_status", 0.2, 0.1, 42)
+    return tagged.groupBy("split").agg(r6(F.avg((F.col("y") == F.col("pred")).cast("double"))).alias("accuracy"))
+
+
+@register("t10_model_evaluation")
+def t10_model_evaluation(spark, sf):
+    pred = _test_predictions(spark, sf, "logistic_regression")
+    return M.evaluate(pred, "y", "prediction", "prob_1").metrics
+
+
+@register("t11_cross_validation")
+def t11_cross_validation(spark, sf):
+    fitted, tr, _ = _prepared(spark, sf)
+    folded = S.assign_folds(tr.withColumn("safety_status", F.col("label")), "sample_key", "safety_status", 5, 42)
+    per_fold, summary = H.cross_validate(folded, "logistic_regression", k=5, metric="f1")
+    return per_fold.select("fold", r6(F.col("score")).alias("score"))
+
+
+@register("t12_feature_importance")
+def t12_feature_importance(spark, sf):
+    return _model(spark, sf, "xgboost").feature_importance(20)
+
+
+@register("t13_model_save_load")
+def t13_model_save_load(spark, sf):
+    _, _, te = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    path = scratch_path(spark, "model")
+    m.save(path)
+    back = MD.TrainedModel.load(path)
+    return back.predict(te, keep=["sample_key"]).select("sample_key", "prediction")
+
+
+@register("h3_tune_logistic")
+def h3_tune_logistic(spark, sf):
+    """H2-H5: 10 random-search trials of the linear model, 5-fold CV on train."""
+    fitted, tr, _ = _prepared(spark, sf)
+    folded = S.assign_folds(tr.withColumn("safety_status", F.col("label")), "sample_key", "safety_status", 5, 42)
+    trials, best, score = H.tune(folded, "logistic_regression", n_trials=10, k=5, metric="f1", parallelism=8)
+    return trials.select("trial_number", F.col("params").cast("string").alias("params"), r6(F.col("score")).alias("score"))
+
+
+@register("i2_score_table")
+def i2_score_table(spark, sf):
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    return I.score(samples_df(spark, sf), m, fitted, keep=["sample_key"])
+
+
+@register("i5_numeric_only_scoring")
+def i5_numeric_only_scoring(spark, sf):
+    """Scoring without a feature preparation: the numeric columns of the cleaned
+    samples are the feature vector of a model trained the same way."""
+    from pyspark.ml.feature import VectorAssembler
+    s = Q.clean(samples_df(spark, sf), fill_missing="median")
+    va = VectorAssembler(inputCols=NUM, outputCol="features")
+    tr = va.transform(s).withColumn("label", FE.label_encode(F.col("safety_status")).cast("double"))
+    m = MD.train(tr, "logistic_regression")
+    return I.score(s, m, None, keep=["sample_key"])
+
+
+@register("i6_score_batch")
+def i6_score_batch(spark, sf):
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    out, bad = I.score_batch(samples_df(spark, sf), m, fitted, "sample_key", model_path="in-memory", batch_size=1000)
+    return out.drop("prediction_timestamp")
+
+
+@register("i8_explain_predictions")
+def i8_explain_predictions(spark, sf):
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    s = samples_df(spark, sf)
+    scored = I.score(s, m, fitted, keep=[c for c in s.columns if c != SPEC.target])
+    return I.explain(scored, F.col("prediction"), F.col("confidence"), keep=["sample_key"])
+
+
+@register("j4_full_run_logistic")
+def j4_full_run_logistic(spark, sf):
+    """Preprocess, train (no search), evaluate, summary row."""
+    out = scratch_path(spark, "run")
+    summary = J.full_run(samples_df(spark, sf), out, model_type="logistic_regression", tune=False)
+    return summary.drop("preprocess_sec", "train_sec", "evaluate_sec", "total_sec", "output_dir")
+
+
+@register("j5_reload_run")
+def j5_reload_run(spark, sf):
+    """Run, reload the saved preprocessor and model, score the test split."""
+    out = scratch_path(spark, "run")
+    J.full_run(samples_df(spark, sf), out, model_type="logistic_regression", tune=False)
+    fitted, model, summary = J.load_run(spark, out)
+    return I.score(samples_df(spark, sf), model, fitted, keep=["sample_key"])
