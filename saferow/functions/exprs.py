@@ -44,9 +44,14 @@ def zero_div(num: Column, den: Column) -> Column:
     return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
-def clip(c: Column, lo: float, hi: float) -> Column:
-    """Clip to [lo, hi]; NULL stays NULL (least/greatest skip NULLs)."""
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
+def clip(c: Column, lo: float, hi: float, nullable: bool = True) -> Column:
+    """Clip to [lo, hi]; NULL stays NULL (least/greatest skip NULLs, so a NULL
+    would otherwise become ``lo``).  ``nullable=False`` skips the guard for
+    inputs that are never NULL, so the input expression appears only once."""
+    bounded = F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+    if not nullable:
+        return bounded
+    return F.when(c.isNull(), F.lit(None)).otherwise(bounded)
 
 
 def r6(c: Column) -> Column:

@@ -93,16 +93,18 @@ def make_estimator(model_type: str, params: dict[str, Any] | None = None, seed:
     common = dict(featuresCol=features, labelCol=label)
     if weight:
         common["weightCol"] = weight
-    # node-id caching with periodic checkpoints keeps deep / long tree fits from
-    # re-walking every tree per level and bounds their lineage
-    trees = dict(cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB, checkpointInterval=10)
+    # a larger split-statistics budget means fewer data passes per tree level;
+    # checkpoints every 10 rounds (to spark.checkpoint.dir) cut the lineage of the
+    # boosting residuals, so a lost executor does not replay every round
+    trees = dict(maxMemoryInMB=TREE_MEMORY_MB, checkpointInterval=10)
     if model_type in BOOSTING:
         est = GBTClassifier(seed=seed, **common, **trees, **sp)
         if validation:
             est = est.setValidationIndicatorCol(validation)
         return est
     if model_type == "random_forest":
-        return RandomForestClassifier(seed=seed, **common, **trees, **sp)
+        # deep forests: cache each row's node id instead of re-walking the trees
+        return RandomForestClassifier(seed=seed, cacheNodeIds=True, **common, **trees, **sp)
     return LogisticRegression(**common, **sp)
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saferow.functions import rules
-from saferow.functions.exprs import clip, hash_normal, hash_uniform
+from saferow.functions.exprs import clip as _clip
+from saferow.functions.exprs import hash_normal, hash_uniform
 
 # ---------------------------------------------------------------------------
 # Fixed generator parameters (reference values).
@@ -46,6 +47,11 @@ _S = {"food": 1, "pack": 2, "sup": 3, "temp": 4, "ph": 5, "moist": 6, "aw": 7, "
       "beta": 100, "out": 10, "out_p": 11, "out_c": 12, "noise": 13, "miss": 200}
 
 
+def clip(c: Column, lo: float, hi: float) -> Column:
+    """Every generated value is non-NULL until the missing cells are drawn."""
+    return _clip(c, lo, hi, nullable=False)
+
+
 def _choice(u: Column, items: list[tuple[str, float]]) -> Column:
     expr: Column = F.lit(items[-1][0])
     cum = 0.0
@@ -79,6 +85,11 @@ def generate(spark: SparkSession, n: Optional[int] = None, keys: Optional[DataFr
         base = spark.range(0, int(n or 1000), numPartitions=n_partitions).select(F.col("id").alias(key_col))
     else:
         base = keys.select(F.col(key_col))
+        # generation is CPU-heavy per row: spread a key table that arrives in few
+        # partitions (one small file) over the cluster; only the key column moves
+        par = n_partitions or spark.sparkContext.defaultParallelism
+        if base.rdd.getNumPartitions() < par:
+            base = base.repartition(par)
     k = F.col(key_col)
     u = lambda s: hash_uniform(k, seed, _S[s])
     z = lambda s: hash_normal(k, seed, _S[s])
@@ -102,11 +113,11 @@ def generate(spark: SparkSession, n: Optional[int] = None, keys: Optional[DataFr
     growth = clip((F.col("temperature") + 5.0) / 35.0 * 0.3 + (F.col("water_activity") - 0.3) / 0.69 * 0.3
                   + F.col("storage_time_days") / 730.0 * 0.4, 0.0, 1.0)
     plate = clip(F.exp(F.log(F.lit(1000.0)) + growth * 5.0 + F.lit(1.5) * z("plate")), 0.0, 1e8)
-    g2 = _gamma_int(k, seed, _S["beta"], 2)
-    g20 = _gamma_int(k, seed, _S["beta"] + 2, 20)
-    df = df.select("*", plate.alias("total_plate_count"))
-    coli = clip(F.col("total_plate_count") * (g2 / (g2 + g20)), 0.0, 1e7)
-    df = df.select("*", coli.alias("coliform_count"))
+    # Beta(2, 20) = G2 / (G2 + G20); each gamma drawn once as its own column
+    df = df.select("*", plate.alias("total_plate_count"), _gamma_int(k, seed, _S["beta"], 2).alias("_g2"),
+                   _gamma_int(k, seed, _S["beta"] + 2, 20).alias("_g20"))
+    coli = clip(F.col("total_plate_count") * (F.col("_g2") / (F.col("_g2") + F.col("_g20"))), 0.0, 1e7)
+    df = df.select("*", coli.alias("coliform_count")).drop("_g2", "_g20")
     # outliers after the clip: both counts scaled by independent U(5, 20)
     out = u("out") < F.lit(OUTLIER_RATE)
     df = df.withColumn("total_plate_count", F.when(out, F.col("total_plate_count") * (5.0 + 15.0 * u("out_p")))
