@@ -1058,3 +1058,18 @@ def j5_reload_run(spark, sf):
     J.full_run(samples_df(spark, sf), out, model_type="logistic_regression", tune=False)
     fitted, model, summary = J.load_run(spark, out)
     return I.score(samples_df(spark, sf), model, fitted, keep=["sample_key"])
+
+
+@register("i6_stream_score_chunks")
+def i6_stream_score_chunks(spark, sf):
+    """I6/I7 as a stream: the samples written as 4 CSV chunks, scored one chunk
+    per micro-batch by the fitted features + linear model."""
+    from saferow.streaming.scoring import read_scored, stream_score
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    src = scratch_path(spark, "stream-in")
+    samples_df(spark, sf).repartition(4, "sample_key").write.option("header", True).csv(src)
+    out = scratch_path(spark, "stream-out")
+    q = stream_score(spark, src, SAMPLES_SCHEMA, m, fitted, out, files_per_batch=1)
+    q.awaitTermination()
+    return read_scored(spark, out).select("sample_key", "batch_id", "prediction", "risk_codes", "recommendation")
