@@ -128,31 +128,48 @@ def score_points(df: DataFrame, y: str = "y", proba: str = "p",
                       F.col("neg_cum").alias("fps"), (F.col("one_cum") - 1).alias("idx"))
 
 
-def class_totals(df: DataFrame, y: str = "y", proba: str = "p") -> tuple[int, int]:
-    """(P, N): positive and negative rows with a score; one aggregate, two scalars."""
-    row = (df.where(F.col(proba).isNotNull())
-           .agg(F.coalesce(F.sum((F.col(y) == 1).cast("long")), F.lit(0)).alias("P"),
-                F.coalesce(F.sum((F.col(y) != 1).cast("long")), F.lit(0)).alias("N")).first())
+def class_totals(df: DataFrame, y: str = "y", proba: str = "p",
+                 points: Optional[DataFrame] = None) -> tuple[int, int]:
+    """(P, N): positive and negative rows with a score; one aggregate, two scalars
+    (from the distinct-score table when it is at hand)."""
+    if points is not None:
+        row = points.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("P"),
+                         F.coalesce(F.sum("neg"), F.lit(0)).alias("N")).first()
+    else:
+        row = (df.where(F.col(proba).isNotNull())
+               .agg(F.coalesce(F.sum((F.col(y) == 1).cast("long")), F.lit(0)).alias("P"),
+                    F.coalesce(F.sum((F.col(y) != 1).cast("long")), F.lit(0)).alias("N")).first())
     return int(row["P"]), int(row["N"])
 
 
-def roc_auc(df: DataFrame, y: str = "y", proba: str = "p") -> DataFrame:
+def materialised_points(df: DataFrame, y: str = "y", proba: str = "p") -> DataFrame:
+    """The distinct-score table, computed once and cut from its lineage with a
+    reliable checkpoint (to ``spark.checkpoint.dir``), so the curves, the AUC
+    and the totals read it instead of re-aggregating the scored table."""
+    from saferow.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return score_points(df, y, proba).checkpoint(eager=True)
+
+
+def roc_auc(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[DataFrame] = None) -> DataFrame:
     """ROC AUC with tied scores at half weight; NULL for a single class."""
-    pts = score_points(df, y, proba)
+    pts = points if points is not None else score_points(df, y, proba)
     area = F.sum(F.col("neg") * (F.col("tps") - F.col("pos") / 2.0))
     total = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return pts.agg(r6(safe_div(area, total)).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, y: str = "y", proba: str = "p", drop_intermediate: bool = True) -> DataFrame:
+def roc_curve(df: DataFrame, y: str = "y", proba: str = "p", drop_intermediate: bool = True,
+              points: Optional[DataFrame] = None) -> DataFrame:
     """ROC points at distinct scores, descending, with a first point at an
     infinite threshold; points collinear with both neighbours are dropped.
 
     Columns: threshold, fps, tps, fpr, tpr.  The neighbour test uses the integer
     second differences of the running counts (equi-joins on the point index).
     """
-    P, N = class_totals(df, y, proba)
-    pts = score_points(df, y, proba)
+    pts = points if points is not None else materialised_points(df, y, proba)
+    P, N = class_totals(df, y, proba, pts)
     if drop_intermediate:
         prev = pts.select((F.col("idx") + 1).alias("idx"), F.col("fps").alias("fps_prev"),
                           F.col("tps").alias("tps_prev"))
@@ -171,15 +188,15 @@ def roc_curve(df: DataFrame, y: str = "y", proba: str = "p", drop_intermediate:
                        r6(safe_div(F.col("tps"), F.lit(P))).alias("tpr"))
 
 
-def pr_curve(df: DataFrame, y: str = "y", proba: str = "p") -> DataFrame:
+def pr_curve(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[DataFrame] = None) -> DataFrame:
     """Precision / recall at each distinct score (ascending thresholds) plus the
     closing point precision 1, recall 0 with a NULL threshold.
 
     Columns: threshold, precision, recall.  Recall is 1 everywhere when there is
     no positive row.
     """
-    P, _ = class_totals(df, y, proba)
-    pts = score_points(df, y, proba)
+    pts = points if points is not None else materialised_points(df, y, proba)
+    P, _ = class_totals(df, y, proba, pts)
     prec = zero_div(F.col("tps"), F.col("tps") + F.col("fps"))
     rec = F.lit(1.0) if P == 0 else safe_div(F.col("tps"), F.lit(P))
     out = pts.select(F.col("threshold"), r6(prec).alias("precision"), r6(rec).alias("recall"))
@@ -188,11 +205,13 @@ def pr_curve(df: DataFrame, y: str = "y", proba: str = "p") -> DataFrame:
     return out.unionByName(close)
 
 
-def youden_threshold(df: DataFrame, y: str = "y", proba: str = "p") -> DataFrame:
+def youden_threshold(df: DataFrame, y: str = "y", proba: str = "p",
+                     points: Optional[DataFrame] = None) -> DataFrame:
     """The ROC threshold maximising tpr - fpr; the first (highest threshold)
     on ties.  Compared as integers tps*N - fps*P, so float ties cannot flip it."""
-    P, N = class_totals(df, y, proba)
-    roc = roc_curve(df, y, proba)
+    pts = points if points is not None else materialised_points(df, y, proba)
+    P, N = class_totals(df, y, proba, pts)
+    roc = roc_curve(df, y, proba, points=pts)
     best = roc.agg(F.max(F.struct((F.col("tps") * F.lit(N) - F.col("fps") * F.lit(P)).alias("jint"),
                                   F.col("threshold").alias("threshold"),
                                   (F.col("tpr") - F.col("fpr")).alias("j"))).alias("b"))
@@ -329,21 +348,26 @@ class Evaluation:
     def per_class(self) -> DataFrame:
         return classification_report(self.confusion, self.class_names)
 
+    @cached_property
+    def points(self) -> Optional[DataFrame]:
+        """The distinct-score table, materialised once for all curves."""
+        return materialised_points(self.df, self.y, self.proba) if self.proba else None
+
     @cached_property
     def roc_auc(self) -> Optional[DataFrame]:
-        return roc_auc(self.df, self.y, self.proba) if self.proba else None
+        return roc_auc(self.df, self.y, self.proba, points=self.points) if self.proba else None
 
     @cached_property
     def roc(self) -> Optional[DataFrame]:
-        return roc_curve(self.df, self.y, self.proba) if self.proba else None
+        return roc_curve(self.df, self.y, self.proba, points=self.points) if self.proba else None
 
     @cached_property
     def pr(self) -> Optional[DataFrame]:
-        return pr_curve(self.df, self.y, self.proba) if self.proba else None
+        return pr_curve(self.df, self.y, self.proba, points=self.points) if self.proba else None
 
     @cached_property
     def youden(self) -> Optional[DataFrame]:
-        return youden_threshold(self.df, self.y, self.proba) if self.proba else None
+        return youden_threshold(self.df, self.y, self.proba, points=self.points) if self.proba else None
 
 
 def evaluate(df: DataFrame, y: str = "y", pred: str = "pred", proba: Optional[str] = "p",

@@ -85,12 +85,12 @@ def score_batch(df: DataFrame, model: TrainedModel, features: Optional[FittedFea
     sample / batch ids, a timestamp and the model path, and optionally written as
     CSV.  Returns (scored, quarantined).
     """
-    good, bad = quarantine(df, spec)
-    ids = batch_ids(df, order_key, batch_size).select(order_key, "sample_id", "batch_id")
-    scored = score(good, model, features, spec, keep=[order_key], return_proba=return_proba)
-    out = (scored.join(ids, order_key, "inner")
-           .withColumn("prediction_timestamp",
-                       F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    indexed = batch_ids(df, order_key, batch_size)  # ids first: one shuffle, no join back
+    good, bad = quarantine(indexed, spec)
+    scored = score(good, model, features, spec, keep=[order_key, "sample_id", "batch_id"],
+                   return_proba=return_proba)
+    out = (scored.withColumn("prediction_timestamp",
+                             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
            .withColumn("model_path", F.lit(model_path)))
     if output_path:
         out.write.mode("overwrite").option("header", True).csv(output_path)
