@@ -1073,3 +1073,40 @@ def i6_stream_score_chunks(spark, sf):
     q = stream_score(spark, src, SAMPLES_SCHEMA, m, fitted, out, files_per_batch=1)
     q.awaitTermination()
     return read_scored(spark, out).select("sample_key", "batch_id", "prediction", "risk_codes", "recommendation")
+
+
+@register("f15_features_save_load", _std_sql())
+def f15_features_save_load(spark, sf):
+    """the fitted preparation saved with Spark ML writers, loaded back and
+    applied; its numeric outputs equal the standard-scaled columns."""
+    s, fitted = _fit(spark, sf, "standard")
+    path = scratch_path(spark, "prep")
+    fitted.save(path)
+    back = FE.FittedFeatures.load(path)
+    out = back.transform(s)
+    return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
+
+
+@register("j1_preprocess_job", f"""WITH {_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r),
+sp AS (SELECT CASE WHEN rk < nt THEN 'test' WHEN rk < nt + round((n - nt) * (1e-1 / (1e0 - 2e-1))) THEN 'val'
+        ELSE 'train' END AS split FROM q)
+SELECT split, count(*) AS n FROM sp GROUP BY split""")
+def j1_preprocess_job(spark, sf):
+    """Split .2/.1, fit on train, transform and save every split; the saved
+    feature table's split sizes."""
+    out = scratch_path(spark, "prep-job")
+    prep = J.preprocess(samples_df(spark, sf), out)
+    feats = spark.read.parquet(out + "/features")
+    del prep
+    return feats.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("j3_evaluate_job")
+def j3_evaluate_job(spark, sf):
+    """Evaluate a trained model on the saved test split; the report table."""
+    out = scratch_path(spark, "eval-job")
+    prep = J.preprocess(samples_df(spark, sf), out)
+    model = MD.train(prep.train, "logistic_regression", feature_names=prep.features.feature_names())
+    ev = J.evaluate_job(prep, model, out)
+    return ev["report"]
