@@ -56,15 +56,16 @@ def ratio_correction(df: DataFrame, label_col: str, score_col: str, ratio: float
     ``ratio``, replace every label by ``score > percentile(score, 1 - ratio)``
     (linear interpolation); else keep the labels.
 
-    One aggregate pass computes the share and the exact percentile; the result is
-    a single row, collected as two scalars.
+    One aggregate gives the share; the cut is an exact quantile with bounded
+    memory (:mod:`saferow.operators.quantiles`); both come back as scalars.
     """
-    stats = df.agg(
-        F.avg(F.col(label_col).cast("double")).alias("share"),
-        F.percentile(F.col(score_col), F.lit(1.0 - ratio)).alias("cut"),
-    ).first()
-    share, cut = stats["share"], stats["cut"]
-    if share is None or abs(share - ratio) <= tolerance or cut is None:
+    from saferow.operators.quantiles import exact_quantiles
+
+    share = df.agg(F.avg(F.col(label_col).cast("double")).alias("share")).first()["share"]
+    if share is None or abs(share - ratio) <= tolerance:
+        return df.withColumn(out, F.col(label_col))
+    cut = exact_quantiles(df, [score_col], [1.0 - ratio])[score_col][0]
+    if cut is None:
         return df.withColumn(out, F.col(label_col))
     return df.withColumn(out, F.coalesce(F.col(score_col) > F.lit(cut), F.lit(False)))
 

@@ -156,21 +156,24 @@ def fit_numeric_stats(df: DataFrame, numeric: Sequence[str], scaling: str,
     if not numeric:
         return fill, center, scale
     if scaling == "robust":
-        med = df.agg(*[(F.percentile_approx(F.col(c).cast("double"), 0.5, 100000) if approx
-                        else F.median(F.col(c).cast("double"))).alias(c) for c in numeric]).first()
-        fill = {c: med[c] for c in numeric}
+        from saferow.operators.quantiles import exact_medians, exact_quantiles
+
+        if approx:
+            med = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100000).alias(c)
+                           for c in numeric]).first()
+            fill = {c: med[c] for c in numeric}
+        else:
+            fill = exact_medians(df, numeric)
         # quartiles of the imputed column (imputed cells sit at the median)
-        qs = []
+        imputed = df.select(*[(F.coalesce(F.col(c).cast("double"), F.lit(float(fill[c])))
+                               if fill[c] is not None else F.col(c).cast("double")).alias(c) for c in numeric])
+        if approx:
+            row = imputed.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], 100000).alias(c) for c in numeric]).first()
+            qs = {c: row[c] for c in numeric}
+        else:
+            qs = exact_quantiles(imputed, numeric, [0.25, 0.5, 0.75])
         for c in numeric:
-            x = F.col(c).cast("double")
-            if fill[c] is not None:
-                x = F.coalesce(x, F.lit(float(fill[c])))
-            q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
-                 else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-            qs.append(q.alias(c))
-        row = df.agg(*qs).first()
-        for c in numeric:
-            q = row[c]
+            q = qs[c]
             if q is None or q[0] is None:
                 center[c], scale[c] = 0.0, 1.0
                 continue
@@ -269,12 +272,12 @@ def one_hot_counts(fitted: FittedFeatures, transformed: DataFrame) -> DataFrame:
 
 def fit_stats_frame(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     """the imputer statistics (mean or exact median) as a long table
-    (column_name, fill_value), from one aggregate."""
-    fn = F.avg if how == "mean" else F.median
-    one = df.agg(*[fn(F.col(c).cast("double")).alias(c) for c in cols])
-    parts = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return one.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, fill_value)") \
-        .select("column_name", F.round("fill_value", 6).alias("fill_value"))
+    (column_name, fill_value); one row per column, built from the fitted scalars."""
+    from saferow.operators.quality import fill_statistics
+
+    stats = fill_statistics(df, list(cols), how)
+    rows = [(c, round(stats[c], 6) if stats[c] is not None else None) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column_name string, fill_value double")
 
 
 def names_frame(spark, names: Sequence[str]) -> DataFrame:

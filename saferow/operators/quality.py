@@ -278,23 +278,25 @@ def null_out_of_range(df: DataFrame, spec: TableSpec = FOOD_SAFETY) -> DataFrame
 
 
 def fill_statistics(df: DataFrame, cols: list[str], how: str, approx: bool = False) -> dict:
-    """Median (exact, interpolated) or mean of each column, one aggregate pass.
+    """Median (exact, interpolated) or mean of each column.
 
-    Exact ``median`` holds every value of a column in the final aggregate;
-    ``approx=True`` uses ``percentile_approx`` (bounded memory) for very large
-    tables.
+    Means are one aggregate.  Exact medians route each column by its distinct
+    count (see :mod:`saferow.operators.quantiles`) so memory stays bounded at
+    any scale; ``approx=True`` uses ``percentile_approx`` instead.
     """
     if not cols:
         return {}
     if how == "median":
-        aggs = [(F.percentile_approx(F.col(c).cast("double"), 0.5, 100000) if approx
-                 else F.median(F.col(c).cast("double"))).alias(c) for c in cols]
-    elif how == "mean":
-        aggs = [F.avg(F.col(c).cast("double")).alias(c) for c in cols]
-    else:
-        raise ValueError(f"unknown statistic {how}")
-    row = df.agg(*aggs).first()
-    return {c: row[c] for c in cols}
+        if approx:
+            row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100000).alias(c)
+                           for c in cols]).first()
+            return {c: row[c] for c in cols}
+        from saferow.operators.quantiles import exact_medians
+        return exact_medians(df, cols)
+    if how == "mean":
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
+    raise ValueError(f"unknown statistic {how}")
 
 
 def clean(df: DataFrame, spec: TableSpec = FOOD_SAFETY, remove_outliers: bool = True,
