@@ -819,22 +819,15 @@ def s3_parquet_scan(spark, sf):
     (f"CASE WHEN sample_key % 2 = 0 THEN {c} END AS {c}" if c == "supplier_id" else c) for c in ALL_SAMPLE_COLS)
     + " FROM samples")
 def s5_multi_file_union(spark, sf):
+    """Even keys as Parquet, odd keys as CSV without ``supplier_id``, plus a
+    path that does not exist (skipped with a warning); appended by column name."""
     s = samples_df(spark, sf)
     base = scratch_path(spark, "multi")
     a, b = base + "-even.parquet", base + "-odd.csv"
     SRC.write_table(s.where(F.col("sample_key") % 2 == 0), a)
     SRC.write_table(s.where(F.col("sample_key") % 2 == 1).drop("supplier_id"), b)
-    odd_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SAMPLES_SCHEMA.fields
-                           if f.name != "supplier_id")
-    missing = base + "-absent.csv"  # a failed load is skipped with a warning
-    parts = [SRC.read_table(spark, a)]
-    more = SRC.read_many(spark, [b, missing], schema=odd_schema, combine=False)
-    merged = SRC.read_many.__wrapped__ if hasattr(SRC.read_many, "__wrapped__") else None
-    del merged
-    out = parts[0]
-    for p in more:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out.select(*ALL_SAMPLE_COLS)
+    out = SRC.read_many(spark, [a, base + "-absent.csv", b])
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SAMPLES_SCHEMA.fields])
 
 
 @register("s11_chunked_csv_scan", """SELECT sample_key, safety_status, row_number() OVER (ORDER BY sample_key) - 1 AS sample_id,
