@@ -848,8 +848,10 @@ def s9_synthetic_from_orders(spark, sf):
 @register("s10_load_or_generate")
 def s10_load_or_generate(spark, sf):
     path = scratch_path(spark, "generated") + ".parquet"
-    n = FX.table(spark, sf, "orders").count()
-    return SRC.load_or_generate(spark, path, n_samples=n, seed=42)
+    keys = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("sample_key"))
+    first = SRC.load_or_generate(spark, path, seed=42, keys=keys)   # generates and persists
+    del first
+    return SRC.load_or_generate(spark, path, seed=42, keys=keys)    # loads the persisted table
 
 
 @register("s12_report_text")
@@ -1103,3 +1105,15 @@ def j3_evaluate_job(spark, sf):
     model = MD.train(prep.train, "logistic_regression", feature_names=prep.features.feature_names())
     ev = J.evaluate_job(prep, model, out)
     return ev["report"]
+
+
+@register("j2_train_job_with_search")
+def j2_train_job_with_search(spark, sf):
+    """The preprocessed train split, 5-fold random search of the linear
+    model (5 trials), refit with the best parameters, save; the trials table."""
+    out = scratch_path(spark, "train-job")
+    prep = J.preprocess(samples_df(spark, sf), out)
+    model, trials = J.train_job(prep, out, "logistic_regression", tune=True, n_trials=5, cv_folds=5)
+    del model
+    return trials.select("trial_number", F.col("params").cast("string").alias("params"),
+                         r6(F.col("score")).alias("score"))

@@ -63,7 +63,8 @@ def preprocess(df: DataFrame, out_dir: str, spec: TableSpec = FOOD_SAFETY, test_
 
 def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: bool = False,
               n_trials: int = 30, cv_folds: int = 5, metric: str = "f1", seed: int = 42,
-              spec: TableSpec = FOOD_SAFETY, parallelism: int = 4) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
+              spec: TableSpec = FOOD_SAFETY, parallelism: Optional[int] = None
+              ) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
     """Optional search (folds over the train split), refit, save.
 
     Early stopping on the validation split is used only when tuning is on (as
@@ -74,7 +75,8 @@ def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: b
     if tune:
         folded = S.assign_folds(prep.train, key, spec.target, cv_folds, seed)
         folded = _materialise(folded, os.path.join(out_dir, "folds"))
-        trials, params, _ = H.tune(folded, model_type, n_trials, cv_folds, metric, seed, parallelism=parallelism)
+        par = parallelism or folded.sparkSession.sparkContext.defaultParallelism
+        trials, params, _ = H.tune(folded, model_type, n_trials, cv_folds, metric, seed, parallelism=par)
         trials.write.mode("overwrite").parquet(os.path.join(out_dir, "trials"))
     data, validation = prep.train, None
     if tune and prep.val is not None and model_type in MD.BOOSTING:

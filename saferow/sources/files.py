@@ -144,13 +144,14 @@ def write_lines(lines: DataFrame, path: str) -> str:
 
 def load_or_generate(spark: SparkSession, path: str, n_samples: int = 5000, seed: int = 42,
                      contamination_ratio: float = 0.3, file_format: Optional[str] = None,
-                     schema: Optional[T.StructType] = None) -> DataFrame:
-    """Read the table if the path exists, else generate it, persist it there
-    and read the persisted copy back (so later stages do not recompute it)."""
+                     schema: Optional[T.StructType] = None, keys: Optional[DataFrame] = None) -> DataFrame:
+    """Read the table if the path exists, else generate it (``n_samples``
+    rows, or one per row of ``keys``), persist it there and read the persisted
+    copy back (so later stages do not recompute it)."""
     if path_exists(spark, path):
         return read_table(spark, path, file_format, schema)
     from saferow.sources.synth import generate
 
-    gen = generate(spark, n=n_samples, seed=seed, contamination_ratio=contamination_ratio)
+    gen = generate(spark, n=n_samples, keys=keys, seed=seed, contamination_ratio=contamination_ratio)
     write_table(gen, path, file_format)
     return read_table(spark, path, file_format, schema or gen.schema)
