@@ -50,9 +50,18 @@ def assign_split(df: DataFrame, key: str, target: str | None = None, test_size:
 
 
 def split_frames(df: DataFrame, key: str, target: str | None = None, test_size: float = 0.2,
-                 val_size: float = 0.0, seed: int = 42) -> dict[str, DataFrame]:
-    """F13/F14 as separate frames: ``{"train", "test"[, "val"]}``."""
+                 val_size: float = 0.0, seed: int = 42, materialize: bool = False) -> dict[str, DataFrame]:
+    """F13/F14 as separate frames: ``{"train", "test"[, "val"]}``.
+
+    Each frame re-derives the ranking unless ``materialize`` cuts it once with a
+    reliable checkpoint (to ``spark.checkpoint.dir``): use it when the frames feed
+    several passes (fits, transforms)."""
     tagged = assign_split(df, key, target, test_size, val_size, seed)
+    if materialize:
+        from saferow.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        tagged = tagged.checkpoint(eager=True)
     out = {s: tagged.where(F.col("split") == s).drop("split") for s in ("train", "test")}
     if val_size > 0:
         out["val"] = tagged.where(F.col("split") == "val").drop("split")

@@ -634,7 +634,7 @@ te AS (SELECT * FROM r WHERE rk < round(n * 2e-1)),
 """ + _std_sql(src="sp", target_rows="te")[5:])
 def f9_fit_train_transform_test(spark, sf):
     s = samples_df(spark, sf)
-    parts = S.split_frames(s, "sample_key", "safety_status", test_size=0.2, seed=42)
+    parts = S.split_frames(s, "sample_key", "safety_status", test_size=0.2, seed=42, materialize=True)
     fitted = FE.FeaturePrep(scaling="standard").fit(parts["train"])
     out = fitted.transform(parts["test"])
     return out.select("sample_key", *[r6(F.col(f"{FE.NUM_PREFIX}{c}")).alias(c) for c in NUM])
@@ -876,7 +876,7 @@ def _prepared(spark, sf):
     key = (id(spark), sf, "prep")
     if key not in _CACHE:
         s = samples_df(spark, sf)
-        parts = S.split_frames(s, "sample_key", "safety_status", 0.2, 0.0, 42)
+        parts = S.split_frames(s, "sample_key", "safety_status", 0.2, 0.0, 42, materialize=True)
         fitted = FE.FeaturePrep(scaling="standard").fit(parts["train"])
         enc = FE.label_encode(F.col("safety_status")).cast("double").alias("label")
         tr = fitted.transform(parts["train"]).select("sample_key", "features", enc).cache()
