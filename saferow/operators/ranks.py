@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ColLike = Union[str, Column]
+MAX_BROADCAST_ROWS = 300_000  # ~15 MB of (group, bucket, offset, size) rows
 
 
 def _n_parts(df: DataFrame, n_parts: int | None) -> int:
@@ -137,9 +138,10 @@ def bucketed_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str,
     then ``tiebreak``; also returns the group size in ``total_out``.
 
     The first ``digits`` hex characters of the hash cut each group into
-    16**digits buckets.  The bucket count table (groups x buckets rows, bounded
-    because the group columns are class labels) is broadcast with each bucket's
-    running offset; ranking runs as a window per (group, bucket).
+    16**digits buckets.  The bucket count table (groups x buckets rows) gets each
+    bucket's running offset; it is checkpointed once and broadcast when it has
+    at most ``MAX_BROADCAST_ROWS`` rows (class labels: 2 x 65,536), else joined
+    by shuffle.  Ranking runs as a window per (group, bucket).
     """
     bucket = F.substring(F.col(hash_col), 1, digits)
     with_b = df.withColumn("_bucket", bucket)
@@ -152,9 +154,17 @@ def bucketed_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str,
                             F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_off"),
                             F.sum("_n").over(w_all).alias(total_out))
     w_local = Window.partitionBy(*keys).orderBy(F.col(hash_col), *[F.col(t) for t in tiebreak])
+    # the offset table is small by aggregation but its size depends on how many
+    # groups there are: cut it once, count it, and broadcast only under a cap
+    from saferow.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    offsets = offsets.checkpoint(eager=True)
+    small = offsets.count() <= MAX_BROADCAST_ROWS
     # null-safe equality: an unlabeled (NULL) group is ranked like any other
     renamed = offsets.select(*[F.col(k).alias("_o" + k) for k in keys], "_off", total_out)
+    side = F.broadcast(renamed) if small else renamed
     cond = [with_b[k].eqNullSafe(renamed["_o" + k]) for k in keys]
-    return (with_b.join(F.broadcast(renamed), cond, "inner")
+    return (with_b.join(side, cond, "inner")
             .withColumn(out, F.col("_off") + F.row_number().over(w_local) - 1)
             .drop("_bucket", "_off", *["_o" + k for k in keys]))
