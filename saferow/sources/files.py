@@ -39,12 +39,18 @@ def detect_format(path: str, file_format: Optional[str] = None) -> str:
 
 
 def read_table(spark: SparkSession, path: str, file_format: Optional[str] = None,
-               schema: Optional[Union[T.StructType, str]] = None, **options) -> DataFrame:
+               schema: Optional[Union[T.StructType, str]] = None, normalize_nan: Optional[bool] = None,
+               **options) -> DataFrame:
     """Read CSV (header), JSON (one array or JSON Lines) or Parquet.
 
     With a schema, CSV/JSON are read without inference; CSV empty fields and
     ``NA`` become NULL.  Without a schema, CSV types are inferred (a full extra
     pass: avoid on large inputs).
+
+    ``NaN`` cells become NULL for the text formats (where ``NaN`` is a token).
+    Parquet is typed and pandas/Arrow writers store missing floats as NULL, so it
+    is left untouched by default: rewriting every double column would stop
+    filters from reaching the Parquet scan.  Pass ``normalize_nan=True`` to force it.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Data file not found: {path}")
@@ -64,7 +70,9 @@ def read_table(spark: SparkSession, path: str, file_format: Optional[str] = None
         df = reader.options(**opts).json(path)
     else:
         df = reader.options(**options).parquet(path)
-    return nan_to_null(df)
+    if normalize_nan is None:
+        normalize_nan = fmt != "parquet"
+    return nan_to_null(df) if normalize_nan else df
 
 
 def _looks_like_array(spark: SparkSession, path: str) -> bool:
@@ -109,7 +117,7 @@ def read_many(spark: SparkSession, paths: Sequence[str], file_format: Optional[s
             return nan_to_null(reader.options(header=True, nullValue="NA", **options).csv(list(paths)))
         if fmt == "json":
             return nan_to_null(reader.options(**options).json(list(paths)))
-        return nan_to_null(reader.options(**options).parquet(*paths))
+        return reader.options(**options).parquet(*paths)
     frames = []
     for p in paths:
         try:
