@@ -277,15 +277,12 @@ def optimal_threshold(df: DataFrame, y: str = "y", proba: str = "p",
     """
     sweep = threshold_sweep(df, y, proba)
     known = {"f1", "precision", "recall", "youden"}
-    rows = []
-    for m in metrics:
-        col = m if m in known else "f1"
-        rows.append(sweep.select(F.lit(m).alias("metric"), F.struct(
-            F.col(col).alias("s"), (-F.col("k")).alias("nk"), F.col("threshold").alias("t")).alias("b")))
-    allm = rows[0]
-    for r in rows[1:]:
-        allm = allm.unionByName(r)
-    best = allm.groupBy("metric").agg(F.max("b").alias("b"))
+    pairs = ", ".join(f"'{m}', `{m if m in known else 'f1'}`" for m in metrics)
+    # one sweep, unpivoted to (metric, score): the input is scanned once
+    long = sweep.selectExpr("k", "threshold", f"stack({len(metrics)}, {pairs}) as (metric, score)")
+    best = long.groupBy("metric").agg(
+        F.max(F.struct(F.col("score").alias("s"), (-F.col("k")).alias("nk"), F.col("threshold").alias("t")))
+        .alias("b"))
     return best.select("metric", r6(F.col("b.t")).alias("optimal_threshold"),
                        r6(F.col("b.s")).alias("best_score"))
 
