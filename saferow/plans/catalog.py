@@ -163,7 +163,9 @@ def v8_validation_report(spark, sf):
 SELECT true AS is_valid, true AS schema_valid,
   (SELECT sum(""" + " + ".join(f"CAST({sql_out_of_range(c)} AS INTEGER)" for c in SPEC.numeric_ranges) + """) FROM samples) = 0 AS range_valid,
   (SELECT sum(""" + " + ".join(f"CAST({sql_invalid(c)} AS INTEGER)" for c in CAT_CHECKED) + """) FROM samples) = 0 AS categorical_valid,
-  true AS missing_acceptable,
+  (SELECT max(r) FROM (""" + " UNION ALL ".join(
+    f"SELECT CASE WHEN count(*) = 0 THEN 0e0 ELSE (count(*) - count({c})) / count(*) END AS r FROM samples"
+    for c in ALL_SAMPLE_COLS) + """) m) <= 5e-1 AS missing_acceptable,
   (SELECT count(*) FROM samples) AS n_samples, 12 AS n_features,
   CAST((SELECT count(*) FROM samples) - (SELECT count(*) FROM (SELECT DISTINCT * FROM samples) d) AS BIGINT) AS total_duplicates
 """)
