@@ -163,17 +163,46 @@ class TrainedModel:
         return TrainedModel(model=cls.load(os.path.join(path, "model")), **meta)
 
 
+def best_round(losses: list[float], patience: int) -> int:
+    """Round-based early stopping: training stops once ``patience`` rounds pass
+    without a new best validation loss; the model keeps rounds up to the best."""
+    best_i, best = 0, float("inf")
+    for i, loss in enumerate(losses):
+        if loss < best:
+            best_i, best = i, loss
+        elif i - best_i >= patience:
+            break
+    return best_i
+
+
 def train(df: DataFrame, model_type: str = "xgboost", params: dict[str, Any] | None = None,
           seed: int = 42, class_weight: Optional[str] = "balanced", sample_weight: Optional[str] = None,
           validation: Optional[str] = None, feature_names: Optional[list[str]] = None,
-          features: str = "features", label: str = "label") -> TrainedModel:
+          features: str = "features", label: str = "label",
+          early_stopping_rounds: Optional[int] = None) -> TrainedModel:
     """Fit one classifier.
 
     Balanced class weights apply to the forest and the linear model only (as in
     the reference); a per-row ``sample_weight`` multiplies them.  ``validation``
-    names a boolean column of rows held out for early stopping (boosting only;
-    Spark stops when the validation loss stops improving by ``validationTol``).
+    names a boolean column of rows held out for early stopping (boosting only).
+    With ``early_stopping_rounds`` the rule is the reference's: the validation
+    loss of every round (``evaluateEachIteration``, one distributed pass) picks
+    the best round before ``early_stopping_rounds`` rounds without improvement,
+    and the model is refit with that many rounds (same seed, so the same first
+    trees).  Without it, Spark's ``validationTol`` rule applies.
     """
+    if early_stopping_rounds and validation and model_type in BOOSTING:
+        fit_rows = df.where(~F.col(validation))
+        held = df.where(F.col(validation))
+        full = train(fit_rows, model_type, params, seed, class_weight, sample_weight, None,
+                     feature_names, features, label)
+        losses = list(full.model.evaluateEachIteration(held))
+        rounds = best_round(losses, early_stopping_rounds) + 1
+        if rounds >= len(losses):
+            return full
+        tuned = {**(params or {}), "n_estimators": rounds}
+        return train(fit_rows, model_type, tuned, seed, class_weight, sample_weight, None,
+                     feature_names, features, label)
     if model_type not in MODEL_TYPES:
         raise ValueError(f"Unsupported model type: {model_type}")
     data = df

@@ -937,11 +937,16 @@ def t6_sample_weight(spark, sf):
 
 @register("t7_early_stopping")
 def t7_early_stopping(spark, sf):
-    """Boosting with a held-out validation indicator (every 8th training key)."""
-    fitted, tr, _ = _prepared(spark, sf)
+    """Boosting with a held-out validation indicator (every 8th training key) and
+    early stopping after 10 rounds without improvement; the kept rounds and the
+    test predictions of the stopped model."""
+    fitted, tr, te = _prepared(spark, sf)
     data = tr.withColumn("is_val", (F.col("sample_key") % 8) == 0)
-    m = MD.train(data, "xgboost", validation="is_val", feature_names=fitted.feature_names())
-    return spark.createDataFrame([(int(m.model.getNumTrees), len(m.model.trees))], "num_trees int, trees int")
+    m = MD.train(data, "xgboost", validation="is_val", feature_names=fitted.feature_names(),
+                 early_stopping_rounds=10)
+    out = m.predict(te, keep=["sample_key"])
+    return out.select("sample_key", "prediction", r6(F.col("prob_1")).alias("prob_1"),
+                      F.lit(int(m.model.getNumTrees)).alias("num_trees"))
 
 
 @register("t8_predict_proba")

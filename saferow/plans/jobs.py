@@ -63,8 +63,8 @@ def preprocess(df: DataFrame, out_dir: str, spec: TableSpec = FOOD_SAFETY, test_
 
 def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: bool = False,
               n_trials: int = 30, cv_folds: int = 5, metric: str = "f1", seed: int = 42,
-              spec: TableSpec = FOOD_SAFETY, parallelism: Optional[int] = None
-              ) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
+              spec: TableSpec = FOOD_SAFETY, parallelism: Optional[int] = None,
+              early_stopping_rounds: int = 10) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
     """Optional search (folds over the train split), refit, save.
 
     Early stopping on the validation split is used only when tuning is on (as
@@ -84,7 +84,8 @@ def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: b
             prep.val.withColumn("_is_val", F.lit(True)))
         validation = "_is_val"
     model = MD.train(data, model_type, params, seed=seed, validation=validation,
-                     feature_names=prep.features.feature_names())
+                     feature_names=prep.features.feature_names(),
+                     early_stopping_rounds=early_stopping_rounds if validation else None)
     model.save(os.path.join(out_dir, "model"))
     return model, trials
 

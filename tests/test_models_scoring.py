@@ -105,3 +105,16 @@ def test_full_run_and_reload(spark):
     assert summary["n_train"] + summary["n_val"] + summary["n_test"] == 500
     fitted, model, s2 = J.load_run(spark, out)
     assert I.score(df, model, fitted).count() == 500
+
+
+def test_best_round_patience():
+    assert MD.best_round([5, 4, 3, 3.5, 3.6, 3.7, 2], 3) == 2
+    assert MD.best_round([5, 4, 3, 2, 1], 3) == 4
+    assert MD.best_round([1, 2, 3, 4], 2) == 0
+
+
+def test_early_stopping_refit(spark):
+    _, f, x = _prepared(spark, 400)
+    data = x.withColumn("is_val", (F.col("sample_key") % 4) == 0)
+    m = MD.train(data, "xgboost", {"n_estimators": 12}, validation="is_val", early_stopping_rounds=3)
+    assert 1 <= m.model.getNumTrees <= 12
