@@ -134,7 +134,7 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_KEY = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+BYTE_KEY = scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 _BASE, _MASK = 0x5851F42D4C957F2D, (1 << 64) - 1
 _powers: dict[int, np.ndarray] = {}
 
@@ -155,7 +155,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hash of each byte span (the same bytes give the same value anywhere)."""
     n = len(data)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_KEY[data] * powers(_BASE, n), out=total[1:])
+    np.cumsum(BYTE_KEY[data] * powers(_BASE, n), out=total[1:])
     back = powers(pow(_BASE, -1, 1 << 64), n + 1)
     return scramble((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 

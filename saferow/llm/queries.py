@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saferow.llm import binary, decontam, mixing, quality, simhash, tokens, toxicity
+from saferow.llm import (binary, decontam, langid, mixing, quality, simhash, suffixarray, suffixtree, tokens,
+                         toxicity)
 from saferow.llm.common import scratch, table
 
 try:  # the folder of public vocabularies is a parameter; this is its usual place
@@ -34,6 +35,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = binary.write_token_files(table(spark, sf_dir, "documents"), scratch(spark, "token-frames"), vocabulary())
     return binary.read_token_files(manifest)
@@ -43,6 +48,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,10 +65,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_counts, op3_toxicity, op5_token_files, op6_decontaminate,
-                                   op9_quality, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_counts, op3_toxicity, op4_language, op5_token_files,
+                                   op6_decontaminate, op7_suffix_array_dedup, op8_substring_dedup, op9_quality,
+                                   op10_simhash)}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE = {
+    "op8_substring_dedup": f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+    win AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM p),
+    low AS (SELECT h, min(doc_id) AS least FROM win GROUP BY 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM win JOIN low USING (h) WHERE doc_id > least),
+    each_word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d),
+    kept AS (SELECT e.doc_id, string_agg(e.x, ' ' ORDER BY e.k) AS t, count(*) AS n
+             FROM each_word e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.k = e.k GROUP BY 1)
+    SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed,
+           sha256(coalesce(kept.t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
     "op6_decontaminate": r"""
     WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
