@@ -111,7 +111,7 @@ PIECE = 1 << 21
 #: Stretches of one anchor that one task compares; larger groups are divided.
 MAX_GROUP = 8_000
 #: Bytes of stretches that a task compares at once (whole groups).
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 5 << 19
 
 MEMBER = "doc long, key binary, anchor long, text long, start long, n long, own long"
 CONTEXT = "anchor long, lo long, hi long, doc long, key binary, text long, start long, n long, own long, body binary"
@@ -143,22 +143,26 @@ def members(rows: DataFrame, units, length: int, k: int) -> DataFrame:
                          pa.array(own, pa.int64())], ["doc", "key", "anchor", "text", "start", "n", "own"])
 
     found = stored(rows.select("doc", "key", "text").mapInArrow(run, MEMBER), "stretches")
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+    # stored, so that both sides of the join are plain shuffles, of which Spark can split a hot anchor
+    twice = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "anchors")
     return stored(found.join(twice, "anchor", "left_semi").select("doc", "key", "anchor", "text", "start", "n", "own"),
                   "shared-stretches")
 
 
 def bodies(texts: DataFrame, units, length: int) -> DataFrame:
     """The symbols of wanted stretches, from ``texts`` (key, text, wanted: array of
-    stretches); one row per stretch, its body as bytes of the symbols."""
+    stretches, and doc if only that document's are meant); one row per stretch, its
+    body as bytes of the symbols."""
     def run(batches):
         for b in batches:
+            docs = b.column("doc").to_pylist() if "doc" in b.schema.names else None
             keys, wanted = b.column("key").to_pylist(), b.column("wanted").to_pylist()
             for lo, hi, data, off in chunks(b.column("text")):
                 symbols, at = units(data, off)
                 out = [(w["anchor"], 0, length, w["doc"], keys[k], w["text"], w["start"], w["n"], w["own"],
                         symbols[at[k - lo] + w["start"]:at[k - lo] + w["start"] + w["n"] - 1 + length].tobytes())
-                       for k in range(lo, hi) for w in wanted[k] or ()]
+                       for k in range(lo, hi) for w in wanted[k] or ()
+                       if docs is None or docs[k] == w["doc"]]
                 if out:
                     yield pa.RecordBatch.from_pydict(dict(zip(_CONTEXT, zip(*out))), schema=_CONTEXT_ARROW)
 

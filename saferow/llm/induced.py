@@ -23,7 +23,7 @@ import numpy as np
 
 BUCKETS, GROUP = 256, 16
 #: Strings up to this length are ordered by rank doubling: the end of the recursion.
-SHORT = 1 << 15
+SHORT = 1 << 19
 _FAR = np.iinfo(np.int32).max
 
 
@@ -255,7 +255,7 @@ def _stretch_ranks(t, rising, seeds, symbols) -> np.ndarray:
     return rank
 
 
-def suffix_order(text: np.ndarray, cap: int, memory: int = 1 << 28, short: int = SHORT) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(text: np.ndarray, cap: int, memory: int = 1 << 28, short: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes of ``text`` in order, common prefix of each with the one before).
 
     ``text``: integers from 0 up.  Prefixes are exact up to ``cap``; suffixes that
@@ -264,6 +264,7 @@ def suffix_order(text: np.ndarray, cap: int, memory: int = 1 << 28, short: int =
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    short = SHORT if short is None else short
     if n <= short:
         return _doubled(text, cap)
     t = np.concatenate([text + 1, [0]]).astype(np.int32)  # closed by a symbol below all others
@@ -277,7 +278,7 @@ def suffix_order(text: np.ndarray, cap: int, memory: int = 1 << 28, short: int =
     if len(names) == 0 or names.max() + 1 == len(seeds):
         ranked, common = np.argsort(names), np.zeros(len(seeds), np.int32)
     else:
-        ranked, common = suffix_order(names, cap, memory, short)
+        ranked, common = suffix_order(names, cap // 2 + 2, memory, short)  # a stretch has two symbols at least
     # common prefix of neighbouring seeds: their equal stretches, then symbol by symbol
     # through the first stretches that differ
     pre = np.zeros(len(ranked), np.int64)

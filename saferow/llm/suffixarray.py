@@ -32,7 +32,7 @@ from saferow.llm.anchors import MAX_GROUP, SHARD_BYTES, bodies, divided, keyed,
 from saferow.llm.common import BYTE_KEY, scratch, stored
 from saferow.llm.induced import suffix_order
 
-LENGTH, GRAM = 400, 160
+LENGTH, GRAM = 400, 280
 
 
 def _symbols(data, off):
@@ -83,7 +83,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
     whole = stored(whole, "whole-spans")
     concerned = whole.select("key").distinct().join(wanted, "key", "full_outer")
     path = scratch(rows.sparkSession, "concerned-texts") + "/t"
-    rows.select("key", "text").join(concerned, "key").write.option("compression", "zstd").parquet(path)
+    rows.select("key", "text").join(concerned, "key").dropDuplicates(["key"]).write.option("compression", "zstd").parquet(path)
     texts = rows.sparkSession.read.parquet(path)
 
     def compare(batches):
@@ -129,7 +129,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = GRAM, **options)
 
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     found = texts.join(spans, "key").mapInArrow(
-        cut, "key binary, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["key"])
+        cut, "key binary, n_removed long, n_spans long, kept_sha256 string")
     base = rows.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"),
                        F.sha2("text", 256).alias("whole_sha256"))
     out = base.join(found, "key", "left")
