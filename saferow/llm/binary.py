@@ -20,7 +20,9 @@ first; rows of equal id are ordered by text; an empty table gives no files.
 
 from __future__ import annotations
 
+import array
 import struct
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saferow.llm.common import stored
-from saferow.llm.tokens import Recent, Splitter, _loaded
+from saferow.llm.tokens import Recent, Splitter, _loaded, byte_letters
 
 # Fixed values of the published format.
 SEEK_FRAME, INDEX_FRAME, SEEK_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -49,8 +51,14 @@ def encoder(path: str):
         split = Splitter(path)
         width = "<u2" if split.library.get_vocab_size() <= 1 << 16 else "<u4"
 
-        def make(piece: str) -> bytes:
-            return np.array(split.library.encode(piece, add_special_tokens=False).ids, width).tobytes()
+        letters = byte_letters()
+        tokenize, code = split.library.model.tokenize, "H" if width == "<u2" else "I"
+
+        def make(piece: str) -> bytes:  # what the library does with a piece: its bytes as letters, then its model
+            ids = array.array(code, [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            return ids.tobytes()
 
         cache = Recent(make)
         special = {s: np.array([i], width).tobytes() for s, i in split.special.items()}

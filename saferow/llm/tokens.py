@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +27,13 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Code points whose classes are the same in every Unicode version in use; a
 #: text with any other one is cut by the library's own splitter.
 SETTLED = "\x00-ɏΑ-ΡΣ-ωЀ-ӿ‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣"
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
+# The same pattern in explicit letters and digits, for texts of Latin letters and
+# common punctuation only, where the standard library's matcher is twice as fast.
+_LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+LATIN = "\x00-\x1b\x20-ɏ‐-‧‰-⁞"
+LATIN_SPLIT = (rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+"
+               r"|\s+(?!\S)|\s+")
 
 
 class Recent(dict):
@@ -64,12 +71,17 @@ class Splitter:
         self.special = {a["content"]: a["id"] for a in added}
         self._special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if added else None
         self._split = regex.compile(SPLIT)
-        self._odd = regex.compile(f"[^{SETTLED}]")
+        self._odd, self._not_latin = re.compile(f"[^{SETTLED}]"), re.compile(f"[^{LATIN}]")
+        self._latin_split = re.compile(LATIN_SPLIT)
 
     def plain(self, text: str) -> Iterator[str]:
-        if self._odd.search(text):
+        if not self._not_latin.search(text):
+            split = self._latin_split
+        elif not self._odd.search(text):
+            split = self._split
+        else:
             return (text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text))
-        return (m.group() for m in self._split.finditer(text)) if len(text) > 1 << 22 else iter(self._split.findall(text))
+        return (m.group() for m in split.finditer(text)) if len(text) > 1 << 22 else iter(split.findall(text))
 
     def segments(self, text: str) -> list[str]:
         """The text cut at special strings; those are at the odd places."""
@@ -78,14 +90,18 @@ class Splitter:
         return self._special.split(text)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary (fixed by its published format)."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class HeapCounter:
     """Number of tokens of a piece by heap-driven merging of a linked list."""
 
     def __init__(self, spec: dict):
-        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-        hidden = [b for b in range(256) if b not in set(shown)]
-        letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        vocab, merges, letter = spec["model"]["vocab"], spec["model"]["merges"], byte_letters()
         self.symbol = [vocab[letter[b]] for b in range(256)]
         self.rank = {}
         for rank, pair in enumerate(merges):
