@@ -34,7 +34,7 @@ HIDDEN, EMBED = 8, 5
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 17
 CHAR_GRAMS = (3, 4, 5)
 POSITIVES, NEGATIVES, FIT_CHARS = 1500, 3000, 50_000
-LEAST_SEEN = 5
+LEAST_SEEN, LEAST_STEPS = 3, 60
 THRESHOLD = 0.7
 SCORE = "__sf_score"
 WORD_BYTE = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -235,8 +235,9 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 3, ep
             batch_x.append(x)
             batch_y.append(labels[row[take]])
         x, ids, y, bucket = map(np.concatenate, (batch_x, batch_ids, batch_y, batch_b))
-        for _ in range(epochs):
-            for take in np.array_split(rng.permutation(len(ids)), max(1, len(ids) // 256)):
+        batches = max(1, len(ids) // 256)
+        for _ in range(max(epochs, -(-LEAST_STEPS // batches))):  # small samples: more often
+            for take in np.array_split(rng.permutation(len(ids)), batches):
                 used, local = np.unique(ids[take], return_inverse=True)
                 local = local.reshape(ids[take].shape) - (used[0] < 0)
                 used = used[used >= 0]
