@@ -205,6 +205,11 @@ def pr_curve(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[Dat
     return out.unionByName(close)
 
 
+def _wide(count: Column) -> Column:
+    """A count whose products do not overflow a long."""
+    return count.cast("decimal(18,0)")
+
+
 def youden_threshold(df: DataFrame, y: str = "y", proba: str = "p",
                      points: Optional[DataFrame] = None) -> DataFrame:
     """The ROC threshold maximising tpr - fpr; the first (highest threshold)
@@ -212,7 +217,7 @@ def youden_threshold(df: DataFrame, y: str = "y", proba: str = "p",
     pts = points if points is not None else materialised_points(df, y, proba)
     P, N = class_totals(df, y, proba, pts)
     roc = roc_curve(df, y, proba, points=pts)
-    best = roc.agg(F.max(F.struct((F.col("tps") * F.lit(N) - F.col("fps") * F.lit(P)).alias("jint"),
+    best = roc.agg(F.max(F.struct((_wide(F.col("tps")) * _wide(F.lit(N)) - _wide(F.col("fps")) * _wide(F.lit(P))).alias("jint"),
                                   F.col("threshold").alias("threshold"),
                                   (F.col("tpr") - F.col("fpr")).alias("j"))).alias("b"))
     return best.select(F.col("b.threshold").alias("optimal_threshold"), r6(F.col("b.j")).alias("youden_j"))

@@ -12,6 +12,7 @@ prediction are distributed by Spark; nothing collects rows.
 from __future__ import annotations
 
 import json
+import logging
 import os
 from dataclasses import dataclass, field
 from typing import Any, Optional
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from saferow.operators.split import balanced_weight
 
 MODEL_TYPES = ("xgboost", "lightgbm", "random_forest", "logistic_regression")
+log = logging.getLogger(__name__)
 BOOSTING = ("xgboost", "lightgbm")
 
 # ---------------------------------------------------------------------------
@@ -49,23 +51,36 @@ MAX_TREE_DEPTH = 30  # Spark's limit for an unbounded depth
 TREE_MEMORY_MB = 1024  # per-executor budget for split statistics (fewer passes per level)
 
 
-def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[int] = None) -> dict[str, Any]:
-    """Translate reference-style parameters to Spark ML parameters (H1 mapping)."""
+def tree_depth(depth: Optional[int]) -> int:
+    """Spark's trees reach ``MAX_TREE_DEPTH`` levels: an unbounded depth becomes that, more is an error."""
+    if depth is None:
+        log.info("unbounded tree depth: %d levels", MAX_TREE_DEPTH)
+        return MAX_TREE_DEPTH
+    if int(depth) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {depth} is above {MAX_TREE_DEPTH}")
+    return int(depth)
+
+
+def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[float] = None) -> dict[str, Any]:
+    """Translate the usual parameter names to Spark ML parameters (H1 mapping).
+
+    ``n_rows``: the sum of the row weights.  ``gamma``, ``reg_alpha``, ``reg_lambda``,
+    ``min_samples_split`` and ``solver`` have no counterpart in Spark's estimators
+    (``minInfoGain`` is a normalised gain, not a loss reduction) and are not used.
+    """
     p = {**DEFAULTS[model_type], **params}
     out: dict[str, Any] = {}
     if model_type in BOOSTING:
         out["maxIter"] = int(p["n_estimators"])
-        out["maxDepth"] = min(int(p.get("max_depth") or MAX_TREE_DEPTH), MAX_TREE_DEPTH)
+        out["maxDepth"] = tree_depth(p.get("max_depth"))
         out["stepSize"] = float(p["learning_rate"])
         out["subsamplingRate"] = float(p.get("subsample", 1.0))
         out["featureSubsetStrategy"] = str(float(p.get("colsample_bytree", 1.0)))
         if "min_child_samples" in p:
             out["minInstancesPerNode"] = int(p["min_child_samples"])
-        if "gamma" in p:
-            out["minInfoGain"] = float(p["gamma"])
     elif model_type == "random_forest":
         out["numTrees"] = int(p["n_estimators"])
-        out["maxDepth"] = min(int(p.get("max_depth") or MAX_TREE_DEPTH), MAX_TREE_DEPTH)
+        out["maxDepth"] = tree_depth(p.get("max_depth"))
         out["minInstancesPerNode"] = int(p.get("min_samples_leaf", 1))
         mf = p.get("max_features")
         if mf in ("sqrt", "log2"):
@@ -77,7 +92,10 @@ def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[int]
         c = float(p.get("C", 1.0))
         out["regParam"] = 1.0 / (c * n_rows) if n_rows else 1.0 / c
         pen = p.get("penalty", "l2")
-        out["elasticNetParam"] = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}.get(pen, 0.0)
+        mix = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}
+        if pen not in mix:
+            raise ValueError(f"unknown penalty {pen!r}; known: {list(mix)}")
+        out["elasticNetParam"] = mix[pen]
         out["standardization"] = False
         out["tol"] = float(p.get("tol", 1e-4))
     else:
@@ -212,7 +230,9 @@ def train(df: DataFrame, model_type: str = "xgboost", params: dict[str, Any] | N
         weight = "_w"
     n_rows = None
     if model_type == "logistic_regression":
-        n_rows = data.count()
+        # C is per unit of weight: weight w with C equals weight 1 with w * C
+        total = F.sum(F.col(weight).cast("double")) if weight else F.count(F.lit(1)).cast("double")
+        n_rows = data.agg(total).first()[0]
     est = make_estimator(model_type, params, seed, features, label, weight,
                          validation if model_type in BOOSTING else None, n_rows)
     model = est.fit(data)

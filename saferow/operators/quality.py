@@ -8,6 +8,8 @@ per task before the shuffle).
 
 from __future__ import annotations
 
+from typing import Optional, Sequence
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -228,14 +230,15 @@ def validate_full(df: DataFrame, spec: TableSpec = FOOD_SAFETY, strict: bool = F
 
 
 # ------------------------------------------------------------------ V9 row schema
-def row_errors(spec: TableSpec = FOOD_SAFETY) -> Column:
+def row_errors(spec: TableSpec = FOOD_SAFETY, columns: Optional[Sequence[str]] = None) -> Column:
     """V9: per-row list of error codes ``<column>:<kind>`` in column order.
 
     Every field is required and non-null; ranges inclusive; enum values are
-    case-sensitive; integer columns accept whole numbers only.
+    case-sensitive; integer columns accept whole numbers only.  ``columns`` limits
+    the check (data to be scored has no target).
     """
     codes = []
-    for c in spec.required_columns:
+    for c in spec.required_columns if columns is None else columns:
         codes.append(F.when(F.col(c).isNull(), F.lit(f"{c}:missing")))
         if c in spec.numeric_ranges:
             lo, hi = spec.numeric_ranges[c]

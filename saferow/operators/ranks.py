@@ -21,6 +21,9 @@ from typing import Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from saferow.session import scratch_path
 
 ColLike = Union[str, Column]
 MAX_BROADCAST_ROWS = 300_000  # ~15 MB of (group, bucket, offset, size) rows
@@ -72,7 +75,15 @@ def row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_idx",
     the buckets before it, from a table with one row per bucket (broadcast).
     """
     order = _sorted(order_cols, descending)
-    b = range_buckets(df, order_cols, n_buckets, descending=descending)
+    if isinstance(df.schema[order_cols[0]].dataType, T.NumericType):
+        b = range_buckets(df, order_cols, n_buckets, descending=descending)
+    else:
+        # Spark's own range partitioning of any ordered type; written once, so the
+        # sampled bounds are the same in the counts and in the numbering
+        n = n_buckets or max(2 * _n_parts(df, None), 16)
+        path = scratch_path(df.sparkSession, "ranges")
+        df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()).write.parquet(path)
+        b = df.sparkSession.read.parquet(path)
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # one row per bucket: a single-task window over a table of bounded size
     w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,7 @@ from saferow.functions import rules
 from saferow.functions.exprs import numeric_columns
 from saferow.operators.features import FittedFeatures
 from saferow.operators.models import TrainedModel
-from saferow.operators.quality import quarantine
+from saferow.operators.quality import row_errors
 from saferow.operators.ranks import row_index
 from saferow.spec import FOOD_SAFETY, TableSpec
 
@@ -28,7 +28,7 @@ def validate_input(df: DataFrame, spec: TableSpec = FOOD_SAFETY) -> None:
     """Every feature column must be present (checked on the schema only)."""
     missing = [c for c in spec.feature_columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {set(missing)}")
+        raise ValueError(f"the table lacks these feature columns: {missing}")
 
 
 def label_names(pred: Column, spec: TableSpec = FOOD_SAFETY) -> Column:
@@ -50,8 +50,9 @@ def score(df: DataFrame, model: TrainedModel, features: Optional[FittedFeatures]
     """Score a table.
 
     The target column is ignored if present.  Without a fitted feature
-    preparation, the numeric columns alone are assembled into the feature vector
-    (missing cells pass as NaN).
+    preparation, the numeric columns alone are assembled into the feature vector;
+    trees then send missing cells (NaN) one way, while a linear model has no answer
+    for such a row: its label is "unknown" and its probabilities are NULL.
     """
     validate_input(df, spec)
     data = df.drop(spec.target) if spec.target in df.columns else df
@@ -62,9 +63,11 @@ def score(df: DataFrame, model: TrainedModel, features: Optional[FittedFeatures]
         feats = VectorAssembler(inputCols=num, outputCol=model.features, handleInvalid="keep").transform(data)
     out = model.model.transform(feats)
     probs = vector_to_array(F.col("probability"))
-    cols = [F.col(c) for c in keep] + [label_names(F.col("prediction").cast("int"), spec).alias("prediction")]
+    known = ~F.isnan(probs[0])  # NaN only where a linear model met a missing cell
+    label = F.when(known, F.col("prediction")).cast("int")
+    cols = [F.col(c) for c in keep] + [label_names(label, spec).alias("prediction")]
     if return_proba:
-        cols += probability_columns(probs[0], probs[1])
+        cols += probability_columns(F.when(known, probs[0]), F.when(known, probs[1]))
     return out.select(*cols)
 
 
@@ -80,20 +83,23 @@ def score_batch(df: DataFrame, model: TrainedModel, features: Optional[FittedFea
                 spec: TableSpec = FOOD_SAFETY, return_proba: bool = True) -> tuple[DataFrame, DataFrame]:
     """The batch job.
 
-    Rows failing the row-level schema check (V9) are quarantined with their error
-    codes instead of failing a whole chunk; the rest are scored with their
-    sample / batch ids, a timestamp and the model path, and optionally written as
-    CSV.  Returns (scored, quarantined).
+    Every row is scored (the feature preparation fills missing numbers and codes
+    unseen categories as all zero), with its sample / batch ids, a timestamp and the
+    model path, and optionally written as CSV.  The row check (V9, over the feature
+    columns, never the target) only annotates: the second result holds the rows it
+    objects to, with their ids and error codes.  Returns (scored, objections).
     """
     indexed = batch_ids(df, order_key, batch_size)  # ids first: one shuffle, no join back
-    good, bad = quarantine(indexed, spec)
-    scored = score(good, model, features, spec, keep=[order_key, "sample_id", "batch_id"],
-                   return_proba=return_proba)
+    validate_input(indexed, spec)
+    ids = [order_key, "sample_id", "batch_id"]
+    bad = (indexed.select(*ids, row_errors(spec, spec.feature_columns).alias("errors"))
+           .where(F.size("errors") > 0))
+    scored = score(indexed, model, features, spec, keep=ids, return_proba=return_proba)
     out = (scored.withColumn("prediction_timestamp",
                              F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
            .withColumn("model_path", F.lit(model_path)))
     if output_path:
-        out.write.mode("overwrite").option("header", True).csv(output_path)
+        out.write.mode("overwrite").option("header", True).option("escape", '"').csv(output_path)
     return out, bad
 
 

@@ -1036,6 +1036,17 @@ def i6_score_batch(spark, sf):
     return out.drop("prediction_timestamp")
 
 
+@register("i6_score_batch_ids", """SELECT sample_key, row_number() OVER (ORDER BY sample_key) - 1 AS sample_id,
+          (row_number() OVER (ORDER BY sample_key) - 1) // 1000 + 1 AS batch_id FROM samples""")
+def i6_score_batch_ids(spark, sf):
+    """The scored batch holds every row of an unlabelled table, with its ids."""
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    out, _ = I.score_batch(samples_df(spark, sf).drop(SPEC.target), m, fitted, "sample_key", batch_size=1000)
+    return out.where("prediction IN ('safe', 'unsafe') AND abs(prob_safe + prob_unsafe - 1) < 1e-9") \
+        .select("sample_key", "sample_id", "batch_id")
+
+
 @register("i8_explain_predictions")
 def i8_explain_predictions(spark, sf):
     fitted, _, _ = _prepared(spark, sf)

@@ -8,7 +8,6 @@ and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,6 +35,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors in one process, so a machine-local folder is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
@@ -49,14 +53,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="saferow-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "saferow-scratch", f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path under the shared checkpoint folder (its scheme is kept);
+    the folder is deleted when the driver's JVM ends."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/saferow-scratch"
+    if is_local(spark.sparkContext.master) and base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,8 @@ import os
 from functools import reduce
 from typing import Optional, Sequence, Union
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saferow.functions.exprs import nan_to_null
@@ -34,96 +35,131 @@ def detect_format(path: str, file_format: Optional[str] = None) -> str:
     """Explicit format (leading dot stripped) or the lower-cased suffix."""
     fmt = (file_format or os.path.splitext(path.rstrip("/"))[1]).lstrip(".").lower()
     if fmt not in SUPPORTED_FORMATS:
-        raise ValueError(f"Unsupported file format: '{fmt}'. Supported formats: {list(SUPPORTED_FORMATS)}")
+        raise ValueError(f"cannot read or write {fmt!r}; known formats: {', '.join(SUPPORTED_FORMATS)}")
     return fmt
 
 
+# Fixed value: the cells that a CSV reader with the usual defaults takes as missing.
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+             "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE", "enforceSchema": False}
+
+
+def _as_struct(schema: Union[T.StructType, str]) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _csv_cells(spark: SparkSession, path: str, **options) -> DataFrame:
+    """All cells as text under the header's names; the missing-value tokens are NULL."""
+    raw = spark.read.options(**{**_CSV, **options}).csv(path)
+    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+
+
+def read_csv(spark: SparkSession, path: str, schema: Union[T.StructType, str], **options) -> DataFrame:
+    """Columns are taken by header name and cast one by one; a cell that does not
+    parse is NULL and is counted by :func:`csv_bad_cells`.  A column the file lacks is
+    NULL.  Whole numbers with a decimal point ("5.0") are accepted for integer columns."""
+    cells = _csv_cells(spark, path, **options)
+    return cells.select(*[_typed(f, cells.columns).alias(f.name) for f in _as_struct(schema).fields])
+
+
+def _typed(f: T.StructField, have: Sequence[str]) -> Column:
+    if f.name not in have:
+        return F.lit(None).cast(f.dataType)
+    cell = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.IntegralType):
+        number = cell.try_cast("double")
+        return F.coalesce(cell.try_cast(f.dataType), F.when(number == F.floor(number), number.try_cast(f.dataType)))
+    return cell.try_cast(f.dataType)
+
+
+def csv_bad_cells(spark: SparkSession, path: str, schema: Union[T.StructType, str], **options) -> DataFrame:
+    """column_name, bad_cells: cells that are there but do not parse as their type."""
+    cells = _csv_cells(spark, path, **options)
+    fields = [f for f in _as_struct(schema).fields if f.name in cells.columns]
+    counts = cells.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & _typed(f, cells.columns).isNull()).alias(f.name)
+                         for f in fields])
+    pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("bad_cells"))
+                      for f in fields])
+    return counts.select(F.explode(pairs).alias("c")).select("c.column_name", "c.bad_cells")
+
+
+def read_json(spark: SparkSession, path: str, schema: Optional[Union[T.StructType, str]] = None, **options) -> DataFrame:
+    """A file or folder of JSON; each file's first character says whether it is one
+    array or JSON Lines, the files of each kind are one scan, and the two are united.
+    An array file is read by one task (it cannot be cut)."""
+    kinds: dict[bool, list[str]] = {True: [], False: []}
+    for file, is_array in _json_kinds(spark, path):
+        kinds[is_array].append(file)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    parts = [(spark.read if schema is None else spark.read.schema(schema))
+             .options(**{"multiLine": k, **options}).json(files) for k, files in kinds.items() if files]
+    if not parts:
+        return reader.options(**options).json(path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _json_kinds(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(file, is one array) of the data files at ``path``; reads a few bytes of each."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    status = fs.getFileStatus(p)
+    files = [s for s in fs.listStatus(p) if s.isFile()] if status.isDirectory() else [status]
+    out = []
+    for s in files:
+        if s.getPath().getName().startswith(("_", ".")) or s.getLen() == 0:
+            continue
+        stream = fs.open(s.getPath())
+        try:
+            first = stream.read()
+            while first in (32, 9, 10, 13, 0xEF, 0xBB, 0xBF):
+                first = stream.read()
+        finally:
+            stream.close()
+        out.append((s.getPath().toString(), first == ord("[")))
+    return out
+
+
 def read_table(spark: SparkSession, path: str, file_format: Optional[str] = None,
                schema: Optional[Union[T.StructType, str]] = None, normalize_nan: Optional[bool] = None,
                **options) -> DataFrame:
-    """Read CSV (header), JSON (one array or JSON Lines) or Parquet.
+    """Read CSV (header), JSON (arrays or JSON Lines, file by file) or Parquet.
 
-    With a schema, CSV/JSON are read without inference; CSV empty fields and
-    ``NA`` become NULL.  Without a schema, CSV types are inferred (a full extra
-    pass: avoid on large inputs).
+    With a schema, CSV and JSON are read by name without inference; the usual
+    missing-value tokens of a CSV cell become NULL.  Without a schema, CSV types are
+    inferred (a full extra pass: avoid on large inputs).
 
-    ``NaN`` cells become NULL for the text formats (where ``NaN`` is a token).
-    Parquet is typed and pandas/Arrow writers store missing floats as NULL, so it
-    is left untouched by default: rewriting every double column would stop
-    filters from reaching the Parquet scan.  Pass ``normalize_nan=True`` to force it.
+    ``NaN`` cells become NULL for the text formats.  Parquet is left untouched by
+    default: rewriting every double column would stop filters from reaching the
+    scan.  Pass ``normalize_nan=True`` to force it.
     """
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Data file not found: {path}")
+        raise FileNotFoundError(f"no such path: {path}")
     fmt = detect_format(path, file_format)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     if fmt == "csv":
-        opts = {"header": True, "nullValue": "NA", "mode": "PERMISSIVE"}
-        if schema is None:
-            opts["inferSchema"] = True
-        opts.update(options)
-        df = reader.options(**opts).csv(path)
+        df = read_csv(spark, path, schema, **options) if schema is not None else \
+            spark.read.options(**{**_CSV, "nullValue": "NA", "inferSchema": True, **options}).csv(path)
     elif fmt == "json":
-        opts = {"multiLine": _looks_like_array(spark, path)}
-        opts.update(options)
-        df = reader.options(**opts).json(path)
+        df = read_json(spark, path, schema, **options)
     else:
-        df = reader.options(**options).parquet(path)
+        df = (spark.read if schema is None else spark.read.schema(schema)).options(**options).parquet(path)
     if normalize_nan is None:
         normalize_nan = fmt != "parquet"
     return nan_to_null(df) if normalize_nan else df
 
 
-def _looks_like_array(spark: SparkSession, path: str) -> bool:
-    """A JSON file written as one array needs ``multiLine``; JSON Lines does not.
-
-    Only the first bytes of one file are read (on the driver), not the data."""
-    try:
-        jvm = spark.sparkContext._jvm  # noqa: SLF001
-        conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
-        status = fs.getFileStatus(p)
-        if status.isDirectory():
-            files = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().endswith(".json")]
-            if not files:
-                return False
-            p = files[0]
-        stream = fs.open(p)
-        try:
-            first = stream.read()
-            while first in (32, 9, 10, 13):
-                first = stream.read()
-        finally:
-            stream.close()
-        return first == ord("[")
-    except Exception:  # noqa: BLE001 - fall back to JSON Lines
-        return False
-
-
 def read_many(spark: SparkSession, paths: Sequence[str], file_format: Optional[str] = None,
               schema: Optional[Union[T.StructType, str]] = None, combine: bool = True,
               **options) -> Union[DataFrame, list[DataFrame]]:
     """Load each path, skipping failures with a warning, then append with
     columns aligned by name (gaps are NULL).  ``combine=False`` or nothing loaded
-    returns the list.  All paths of one format with a given schema are one
-    multi-path scan."""
-    fmts = {detect_format(p, file_format) for p in paths} if paths else set()
-    if combine and schema is not None and len(fmts) == 1 and all(path_exists(spark, p) for p in paths):
-        fmt = fmts.pop()
-        reader = spark.read.schema(schema)
-        if fmt == "csv":
-            return nan_to_null(reader.options(header=True, nullValue="NA", **options).csv(list(paths)))
-        if fmt == "json":
-            return nan_to_null(reader.options(**options).json(list(paths)))
-        return reader.options(**options).parquet(*paths)
+    returns the list."""
     frames = []
     for p in paths:
         try:
             frames.append(read_table(spark, p, file_format, schema, **options))
-        except Exception as e:  # noqa: BLE001 - the reference skips failed files
-            log.warning("Failed to load %s: %s", p, e)
+        except Exception as e:  # noqa: BLE001 - a path that fails is skipped, with a warning
+            log.warning("skipped %s: %s", p, e)
     if not combine or not frames:
         return frames
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -136,7 +172,7 @@ def write_table(df: DataFrame, path: str, file_format: Optional[str] = None, mod
     fmt = detect_format(path, file_format)
     w = df.write.mode(mode).options(**options)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**{"header": True, "escape": '"', **options}).csv(path)
     elif fmt == "json":
         w.json(path)
     else:

@@ -2,7 +2,7 @@
 
 The reference scores a CSV file chunk by chunk.  Here the chunks are the
 micro-batches of a file-source stream (``maxFilesPerTrigger`` files each):
-each micro-batch is quarantined by the row check, scored with the fitted
+each micro-batch is scored as a whole with the fitted
 feature ``PipelineModel`` and classifier, explained, stamped with its batch
 number and written to ``<output>/batch_id=<n>``.  Writing each epoch to its own
 folder with overwrite makes a replayed epoch idempotent, and the stream's
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from saferow.functions.exprs import nan_to_null
 from saferow.operators.features import FittedFeatures
 from saferow.operators.models import TrainedModel
-from saferow.operators.quality import quarantine
+from saferow.operators.quality import row_errors
 from saferow.operators.scoring import explain, score
 from saferow.session import scratch_path
 from saferow.spec import FOOD_SAFETY, TableSpec
@@ -39,18 +39,18 @@ def stream_score(spark: SparkSession, input_dir: str, schema: T.StructType, mode
     batch job); otherwise it keeps scoring new files as they arrive.
     """
     src = (spark.readStream.schema(schema).option("header", True).option("nullValue", "NA")
-           .option("maxFilesPerTrigger", files_per_batch).csv(input_dir))
+           .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(input_dir))
     src = nan_to_null(src)
     keep = [c for c in src.columns if c != spec.target]
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        good, bad = quarantine(batch, spec)
-        scored = score(good, model, features, spec, keep=keep)
+        scored = score(batch, model, features, spec, keep=keep)
         out = explain(scored, F.col("prediction"), F.col("confidence"), spec, n_features,
                       keep=keep + ["prob_safe", "prob_unsafe"])
         stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         (out.withColumn("prediction_timestamp", stamp).withColumn("model_path", F.lit(model_path))
          .write.mode("overwrite").parquet(os.path.join(output_dir, f"batch_id={epoch_id + 1}")))
+        bad = batch.withColumn("errors", row_errors(spec, spec.feature_columns)).where(F.size("errors") > 0)
         (bad.withColumn("errors", F.concat_ws(",", "errors"))
          .write.mode("overwrite").parquet(os.path.join(output_dir + "_quarantine", f"batch_id={epoch_id + 1}")))
 

@@ -37,10 +37,10 @@ def scored(spark):
 
 @pytest.fixture()
 def valid_rows(spark):
-    """The reference's three literal valid records."""
+    """Three records that pass every check."""
     from saferow.spec import FOOD_SAFETY
 
-    rows = [(4.0, 6.5, 80.0, 1000.0, 10.0, 5, 0.85, "dairy", "refrigerated", "SUP001", "safe"),
-            (5.0, 7.0, 75.0, 2000.0, 20.0, 10, 0.88, "meat", "vacuum", "SUP002", "safe"),
-            (6.0, 6.8, 85.0, 1500.0, 15.0, 7, 0.82, "produce", "ambient", "SUP003", "unsafe")]
+    rows = [(2.5, 6.1, 71.5, 850.0, 4.0, 3, 0.91, "meat", "vacuum", "S-17", "safe"),
+            (7.25, 5.9, 66.0, 40.0, 0.0, 21, 0.79, "dairy", "refrigerated", "S-04", "safe"),
+            (11.0, 7.3, 58.5, 91000.0, 310.0, 12, 0.96, "produce", "ambient", "S-88", "unsafe")]
     return spark.createDataFrame(rows, FOOD_SAFETY.spark_schema())

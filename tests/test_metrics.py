@@ -13,9 +13,9 @@ def brute_auc(y, p):
     return s / (len(pos) * len(neg))
 
 
-def test_reference_int_fixture(spark):
-    y = [0, 1, 0, 1, 0, 1, 0, 1]
-    p = [.1, .9, .2, .8, .3, .7, .4, .6]
+def test_separable_scores(spark):
+    y = [1, 1, 0, 1, 0, 0, 0]
+    p = [.95, .55, .45, .61, .05, .33, .28]
     df = spark.createDataFrame([(i, yi, pi, int(pi >= .5)) for i, (yi, pi) in enumerate(zip(y, p))],
                                "k int, y int, p double, pred int")
     ev = M.evaluate(df)
@@ -110,3 +110,9 @@ def test_errors(scored):
 def test_no_errors_empty(spark):
     df = spark.createDataFrame([(1, 1, .9)], "y int, pred int, p double")
     assert M.misclassified(df).count() == 0
+
+
+def test_youden_with_large_counts(spark):
+    n = 5_000_000_000
+    row = spark.range(1).select((M._wide(F.lit(n)) * M._wide(F.lit(n)) - M._wide(F.lit(10)) * M._wide(F.lit(n))).alias("j"))
+    assert int(row.first()["j"]) == n * n - 10 * n

@@ -10,7 +10,7 @@ from saferow.spec import FOOD_SAFETY
 def test_format_dispatch():
     assert SRC.detect_format("a/b.CSV") == "csv"
     assert SRC.detect_format("a/b", ".parquet") == "parquet"
-    with pytest.raises(ValueError, match="Supported formats"):
+    with pytest.raises(ValueError, match="known formats"):
         SRC.detect_format("a/b.xlsx")
 
 
@@ -69,3 +69,29 @@ def test_load_or_generate(spark):
     a = SRC.load_or_generate(spark, path, n_samples=300)
     b = SRC.load_or_generate(spark, path, n_samples=300)
     assert a.count() == 300 and b.exceptAll(a).count() == 0
+
+
+def test_csv_by_name_with_quotes_and_bad_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n"he said ""hi"", ok",2.0\nabc,abc\n')
+    (tmp_path / "b.csv").write_text("y,x\n5.0,q\nn/a,r\n")
+    schema = "x string, y double"
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    got = {tuple(r) for r in SRC.read_many(spark, paths, schema=schema).collect()}
+    assert got == {('he said "hi", ok', 2.0), ("abc", None), ("q", 5.0), ("r", None)}
+    bad = {r["column_name"]: r["bad_cells"] for r in SRC.csv_bad_cells(spark, paths[0], schema).collect()}
+    assert bad == {"x": 0, "y": 1}
+    out = scratch_path(spark, "quoted") + ".csv"
+    SRC.write_table(SRC.read_table(spark, paths[0], schema=schema), out)
+    import csv
+    import glob
+    cells = [row for f in glob.glob(out + "/part-*") for row in csv.reader(open(f))]
+    assert ['he said "hi", ok', "2.0"] in cells
+
+
+def test_json_folder_of_arrays_and_lines(spark, tmp_path):
+    d = tmp_path / "mixed.json"
+    d.mkdir()
+    (d / "a.json").write_text('[\n {"a": 1, "b": "x"},\n {"a": 2, "b": "y"}\n]')
+    (d / "b.json").write_text('{"a": 3, "b": "z"}\n{"a": 4, "b": "u"}\n{"a": 5, "b": null}\n')
+    for schema in (None, "a long, b string"):
+        assert sorted(r["a"] for r in SRC.read_table(spark, str(d), schema=schema).collect()) == [1, 2, 3, 4, 5]

@@ -19,7 +19,7 @@ def test_stream_scores_every_chunk(spark):
     q = stream_score(spark, src, FOOD_SAFETY.spark_schema(with_key=True), m, f, out)
     q.awaitTermination()
     scored = read_scored(spark, out)
-    bad = spark.read.parquet(out + "_quarantine")
-    assert scored.count() + bad.count() == 400
+    assert scored.count() == 400
+    assert 0 < spark.read.parquet(out + "_quarantine").count() < 400
     assert scored.select("batch_id").distinct().count() == 3
     assert scored.select("sample_key").distinct().count() == scored.count()

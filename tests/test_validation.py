@@ -23,7 +23,7 @@ def test_missing_columns_fail(spark):
 
 
 def test_out_of_range_found(spark):
-    df = spark.createDataFrame([(4.0, 6.5), (150.0, 7.0), (-30.0, 8.0)], "temperature double, ph_level double")
+    df = spark.createDataFrame([(3.0, 6.2), (212.0, 5.5), (-90.0, 7.7)], "temperature double, ph_level double")
     v = as_dict(Q.range_violations(df), "column_name", "violations")
     assert v == {"temperature": 2, "ph_level": 0}
     flags = Q.range_flags(df).collect()
