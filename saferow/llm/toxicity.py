@@ -33,7 +33,7 @@ WIDTH, STRIDE = 24, 16
 HIDDEN, EMBED = 8, 5
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 17
 CHAR_GRAMS = (3, 4, 5)
-POSITIVES, NEGATIVES, FIT_CHARS = 1500, 3000, 50_000
+POSITIVES, NEGATIVES, FIT_CHARS = 1500, 3000, 30_000
 LEAST_SEEN, LEAST_STEPS = 3, 60
 THRESHOLD = 0.7
 SCORE = "__sf_score"
@@ -72,8 +72,8 @@ class Words:
             grams.append(((v[ok] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(47)).astype(np.int64))
         owner, grams = np.concatenate([*owner, np.zeros(0, np.int64)]), np.concatenate([*grams, np.zeros(0, np.int64)])
         order = np.argsort(owner, kind="stable")
-        self.gram_word, self.grams = owner[order], grams[order]
-        self.gram_at = np.searchsorted(self.gram_word, np.arange(len(size)))
+        self.grams = grams[order].astype(np.int32)
+        self.gram_at = np.searchsorted(owner[order], np.arange(len(size)))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """(row of each window, word numbers with -1 past the row's end)."""
