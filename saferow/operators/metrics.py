@@ -41,15 +41,17 @@ def apply_threshold(pred: Column, proba: Optional[Column], threshold: float = 0.
 
 
 # ------------------------------------------------------------------ E3-E6
-def confusion(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    """The 2x2 matrix as one row (tn, fp, fn, tp), also when a class is absent."""
-    yt, yp = F.col(y), F.col(pred)
-
+def _confusion_counts(y: Column, pred: Column) -> list[Column]:
     def cnt(cond: Column) -> Column:
         return F.coalesce(F.sum(cond.cast("long")), F.lit(0)).cast("long")
 
-    return df.agg(cnt((yt == 0) & (yp == 0)).alias("tn"), cnt((yt == 0) & (yp == 1)).alias("fp"),
-                  cnt((yt == 1) & (yp == 0)).alias("fn"), cnt((yt == 1) & (yp == 1)).alias("tp"))
+    return [cnt((y == 0) & (pred == 0)).alias("tn"), cnt((y == 0) & (pred == 1)).alias("fp"),
+            cnt((y == 1) & (pred == 0)).alias("fn"), cnt((y == 1) & (pred == 1)).alias("tp")]
+
+
+def confusion(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
+    """The 2x2 matrix as one row (tn, fp, fn, tp), also when a class is absent."""
+    return df.agg(*_confusion_counts(F.col(y), F.col(pred)))
 
 
 def _point_metric_cols() -> dict[str, Column]:
@@ -109,6 +111,25 @@ def classification_report(cm: DataFrame, class_names: Sequence[str] = ("safe", "
 
 
 # ------------------------------------------------------------------ E7-E10 curves
+def score_counts(df: DataFrame, y: str = "y", proba: str = "p", pred: Optional[str] = None) -> DataFrame:
+    """Rows per distinct score (NULL included) and class: threshold, pos, neg; with
+    ``pred`` also the four confusion counts."""
+    aggs = [F.sum((F.col(y) == 1).cast("long")).alias("pos"), F.sum((F.col(y) != 1).cast("long")).alias("neg")]
+    if pred:
+        aggs += _confusion_counts(F.col(y), F.col(pred))
+    return df.groupBy(F.col(proba).alias("threshold")).agg(*aggs)
+
+
+def running_points(counts: DataFrame, n_parts: int | None = None) -> DataFrame:
+    """:func:`score_points` from the table of :func:`score_counts`."""
+    pts = (counts.where(F.col("threshold").isNotNull()).select("threshold", "pos", "neg")
+           .withColumn("one", F.lit(1).cast("long")))
+    cum = prefix_agg(pts, ["threshold"], {"pos": "sum", "neg": "sum", "one": "sum"},
+                     n_buckets=n_parts, descending=True)
+    return cum.select("threshold", "pos", "neg", F.col("pos_cum").alias("tps"),
+                      F.col("neg_cum").alias("fps"), (F.col("one_cum") - 1).alias("idx"))
+
+
 def score_points(df: DataFrame, y: str = "y", proba: str = "p",
                  n_parts: int | None = None) -> DataFrame:
     """Distinct scores in descending order with cumulative counts.
@@ -117,15 +138,7 @@ def score_points(df: DataFrame, y: str = "y", proba: str = "p",
     idx (0-based position).  The group-by pre-aggregates rows to distinct scores;
     the running sums are a range-partitioned prefix sum.
     """
-    pts = (df.where(F.col(proba).isNotNull())
-           .groupBy(F.col(proba).alias("threshold"))
-           .agg(F.sum((F.col(y) == 1).cast("long")).alias("pos"),
-                F.sum((F.col(y) != 1).cast("long")).alias("neg"))
-           .withColumn("one", F.lit(1).cast("long")))
-    cum = prefix_agg(pts, ["threshold"], {"pos": "sum", "neg": "sum", "one": "sum"},
-                     n_buckets=n_parts, descending=True)
-    return cum.select("threshold", "pos", "neg", F.col("pos_cum").alias("tps"),
-                      F.col("neg_cum").alias("fps"), (F.col("one_cum") - 1).alias("idx"))
+    return running_points(score_counts(df, y, proba), n_parts)
 
 
 def class_totals(df: DataFrame, y: str = "y", proba: str = "p",
@@ -338,9 +351,19 @@ class Evaluation:
         self.df, self.y, self.pred, self.proba = df, y, pred, proba
         self.class_names = class_names
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """The one scan of the scored table: counts per distinct score, checkpointed."""
+        from saferow.session import checkpoint_dir
+
+        checkpoint_dir(self.df.sparkSession)
+        return score_counts(self.df, self.y, self.proba, self.pred).checkpoint(eager=True)
+
     @cached_property
     def confusion(self) -> DataFrame:
-        return confusion(self.df, self.y, self.pred)
+        if self.proba is None:
+            return confusion(self.df, self.y, self.pred)
+        return self.counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tn", "fp", "fn", "tp")])
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -352,8 +375,8 @@ class Evaluation:
 
     @cached_property
     def points(self) -> Optional[DataFrame]:
-        """The distinct-score table, materialised once for all curves."""
-        return materialised_points(self.df, self.y, self.proba) if self.proba else None
+        """The distinct scores with running counts, materialised once for all curves."""
+        return running_points(self.counts).checkpoint(eager=True) if self.proba else None
 
     @cached_property
     def roc_auc(self) -> Optional[DataFrame]:

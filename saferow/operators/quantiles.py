@@ -1,78 +1,137 @@
-"""Exact quantiles (linear interpolation) that stay bounded at any scale.
+"""Exact quantiles (linear interpolation) by narrowing brackets, one way at any size.
 
-Spark's exact ``percentile`` keeps a value -> count map of every distinct value
-and merges the maps of a global aggregate in one task, so its memory grows with
-the number of distinct values.  Here each column is routed by its approximate
-distinct count (one pass for all columns):
+Every quantile needs the values at one or two ranks of its column.  Each such
+rank starts with the bracket of all values.  As long as a bracket holds more than
+``keep`` rows, one round narrows the brackets of all columns together: a pass takes
+two approximate quantiles around the rank, a second one counts the values below,
+at, between and above them exactly, and the part that holds the rank is the next
+bracket.  A round leaves about ``4 * ERROR`` of the rows, so 10**11 rows take three
+rounds.  The values left in the brackets (at most ``keep`` rows each) are then
+ranked by a window per bracket; only the wanted values reach the driver.
 
-* few distinct values -> ``percentile`` in one aggregate (bounded map);
-* many distinct values -> distributed selection: ``groupBy(value).count()``,
-  running counts over the value order (range-bucketed prefix sums, see
-  :mod:`saferow.operators.ranks`), then only the distinct values whose running
-  count brackets the target ranks (two per probability) reach the driver.
-
-Both paths are exact; the interpolation is ``v[lo] + (pos - lo) * (v[hi] - v[lo])``
-with ``pos = (n - 1) * p``.
+The result is ``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with ``pos = (n - 1) * p``,
+and ``v[lo]`` itself where both values are equal (infinities included) or ``pos`` is
+whole.  NULL and NaN are missing; a column without values gives None.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import Optional, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saferow.operators.ranks import prefix_agg
-
-MAX_IN_MEMORY_DISTINCT = 1_000_000
-
-
-def _selected(df: DataFrame, col: str, probs: Sequence[float]) -> list[Optional[float]]:
-    counts = (df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-              .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = prefix_agg(counts, ["v"], {"cnt": "sum"})
-    n_row = counts.agg(F.sum("cnt").alias("n")).first()
-    n = n_row["n"] if n_row and n_row["n"] is not None else 0
-    if n == 0:
-        return [None for _ in probs]
-    ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))})
-    cond = None
-    for r in ranks:
-        c = (F.col("cnt_cum") - F.col("cnt") <= r) & (F.lit(r) < F.col("cnt_cum"))
-        cond = c if cond is None else (cond | c)
-    rows = cum.where(cond).select("v", "cnt", "cnt_cum").collect()  # at most 2 rows per probability
-    at = {}
-    for r in ranks:
-        for row in rows:
-            if row["cnt_cum"] - row["cnt"] <= r < row["cnt_cum"]:
-                at[r] = row["v"]
-    out = []
-    for p in probs:
-        pos = (n - 1) * p
-        lo, hi = math.floor(pos), math.ceil(pos)
-        a, b = at[lo], at[hi]
-        out.append(a + (pos - lo) * (b - a))
-    return out
+#: Rows of a bracket that one window task ranks.
+KEEP = 200_000
+#: Relative rank error of the approximate quantiles of a round.
+ERROR = 1e-3
+
+
+@dataclass
+class _Bracket:
+    """Open interval of column ``col`` that holds its value of rank ``rank``."""
+
+    col: int
+    rank: int
+    inside: int
+    below: int = 0
+    lo: Optional[float] = None
+    hi: Optional[float] = None
+    value: Optional[float] = None
+
+    def values(self) -> Column:
+        v = F.col(f"v{self.col}")
+        cond = v.isNotNull()
+        if self.lo is not None:
+            cond = cond & (v > F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (v < F.lit(self.hi))
+        return F.when(cond, v)
+
+    def narrow(self, a: float, b: float, n_below: int, n_a: int, n_between: int, n_b: int) -> None:
+        """The part of the bracket, cut at ``a`` <= ``b``, that holds the rank."""
+        k = self.rank - self.below
+        if k < n_below:
+            self.hi, self.inside = a, n_below
+        elif k < n_below + n_a:
+            self.value = a
+        elif k < n_below + n_a + n_between:
+            self.lo, self.hi, self.inside = a, b, n_between
+            self.below += n_below + n_a
+        elif k < n_below + n_a + n_between + n_b:
+            self.value = b
+        else:
+            gone = n_below + n_a + n_between + n_b
+            self.lo, self.inside = b, self.inside - gone
+            self.below += gone
+
+
+def _round(vals: DataFrame, wide: list[_Bracket]) -> None:
+    """Narrow every bracket of ``wide`` once (two passes for all of them)."""
+    probs: list[float] = []
+    for b in wide:
+        p = (b.rank - b.below + 0.5) / b.inside
+        probs += [max(0.0, p - 2 * ERROR), min(1.0, p + 2 * ERROR)]
+    inside = vals.select(*[b.values().alias(f"b{j}") for j, b in enumerate(wide)])
+    got = inside.approxQuantile(inside.columns, probs, ERROR)
+    cuts = [(got[j][2 * j], got[j][2 * j + 1]) for j in range(len(wide))]
+    aggs = []
+    for j, (lo, hi) in enumerate(cuts):
+        v, a, b = F.col(f"b{j}"), F.lit(lo), F.lit(hi)
+        for name, cond in (("l", v < a), ("a", v == a), ("m", (v > a) & (v < b)), ("b", (v == b) & (v > a))):
+            aggs.append(F.count(F.when(cond, 1)).alias(f"{name}{j}"))
+    n = inside.agg(*aggs).first()
+    for j, (b, (lo, hi)) in enumerate(zip(wide, cuts)):
+        b.narrow(lo, hi, n[f"l{j}"], n[f"a{j}"], n[f"m{j}"], n[f"b{j}"])
+
+
+def _rank(vals: DataFrame, brackets: list[_Bracket]) -> None:
+    """Find the value of each bracket among the rows left in it."""
+    spark = vals.sparkSession
+    each = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), b.values().alias("v"))
+                               for j, b in enumerate(brackets)]))
+    counts = (vals.select(each.alias("e")).select("e.*").where(F.col("v").isNotNull())
+              .groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    # one row per bracket: its rank among the values left
+    wanted = spark.createDataFrame([(j, b.rank - b.below) for j, b in enumerate(brackets)], "j int, k long")
+    at = (counts.withColumn("upto", upto).join(F.broadcast(wanted), "j")
+          .where((F.col("upto") - F.col("n") <= F.col("k")) & (F.col("k") < F.col("upto"))))
+    for row in at.select("j", "v").collect():
+        brackets[row["j"]].value = row["v"]
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    max_in_memory_distinct: int = MAX_IN_MEMORY_DISTINCT) -> dict[str, list[Optional[float]]]:
-    """Exact linear-interpolated quantiles of every column (NULLs ignored)."""
+                    keep: int = KEEP) -> dict[str, list[Optional[float]]]:
+    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored)."""
     if not cols:
         return {}
-    ndv = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
-    small = [c for c in cols if (ndv[c] or 0) <= max_in_memory_distinct]
-    big = [c for c in cols if c not in small]
-    out: dict[str, list[Optional[float]]] = {}
-    if small:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(c) for c in small]).first()
-        for c in small:
-            out[c] = list(row[c]) if row[c] is not None else [None for _ in probs]
-    for c in big:
-        out[c] = _selected(df, c, probs)
-    return out
+    doubles = [F.col(c).cast("double") for c in cols]
+    vals = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(doubles)])
+    counted = vals.agg(*[F.count(v).alias(v) for v in vals.columns]).first()
+    brackets: dict[tuple[int, int], _Bracket] = {}
+    for i in range(len(cols)):
+        n = counted[i]
+        for p in probs if n else ():
+            for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p)):
+                brackets[i, r] = _Bracket(i, r, n)
+    open_ = list(brackets.values())
+    while wide := [b for b in open_ if b.value is None and b.inside > keep]:
+        _round(vals, wide)
+    left = [b for b in open_ if b.value is None]
+    if left:
+        _rank(vals, left)
+
+    def quantile(i: int, p: float) -> Optional[float]:
+        if not counted[i]:
+            return None
+        pos = (counted[i] - 1) * p
+        a, b = (brackets[i, r].value for r in (math.floor(pos), math.ceil(pos)))
+        return a if a == b else a + (pos - math.floor(pos)) * (b - a)
+
+    return {c: [quantile(i, p) for p in probs] for i, c in enumerate(cols)}
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, Optional[float]]:
