@@ -276,7 +276,7 @@ def fit_stats_frame(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
     from saferow.operators.quality import fill_statistics
 
     stats = fill_statistics(df, list(cols), how)
-    rows = [(c, round(stats[c], 6) if stats[c] is not None else None) for c in cols]
+    rows = [(c, stats[c]) for c in cols]
     return df.sparkSession.createDataFrame(rows, "column_name string, fill_value double")
 
 

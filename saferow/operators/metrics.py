@@ -20,7 +20,7 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saferow.functions.exprs import r6, safe_div, zero_div
+from saferow.functions.exprs import safe_div, zero_div
 from saferow.operators.ranks import prefix_agg
 
 INF = float("inf")
@@ -80,7 +80,7 @@ def point_metrics(cm: DataFrame) -> DataFrame:
     """E4-E6 from a confusion row: accuracy, precision, recall, F1 of class 1
     (0 on zero division), Matthews correlation, Cohen's kappa."""
     cols = _point_metric_cols()
-    return cm.select("tn", "fp", "fn", "tp", *[r6(v).alias(k) for k, v in cols.items()])
+    return cm.select("tn", "fp", "fn", "tp", *[v.alias(k) for k, v in cols.items()])
 
 
 def classification_report(cm: DataFrame, class_names: Sequence[str] = ("safe", "unsafe")) -> DataFrame:
@@ -106,8 +106,7 @@ def classification_report(cm: DataFrame, class_names: Sequence[str] = ("safe", "
                  wavg(r0, r1).alias("recall"), wavg(f0, f1).alias("f1_score"), n.alias("support")),
     )
     return (cm.select(F.inline(rows))
-            .select("label", r6(F.col("precision")).alias("precision"), r6(F.col("recall")).alias("recall"),
-                    r6(F.col("f1_score")).alias("f1_score"), F.col("support").cast("long").alias("support")))
+            .withColumn("support", F.col("support").cast("long")))
 
 
 # ------------------------------------------------------------------ E7-E10 curves
@@ -170,7 +169,7 @@ def roc_auc(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[Data
     pts = points if points is not None else score_points(df, y, proba)
     area = F.sum(F.col("neg") * (F.col("tps") - F.col("pos") / 2.0))
     total = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return pts.agg(r6(safe_div(area, total)).alias("roc_auc"))
+    return pts.agg(safe_div(area, total).alias("roc_auc"))
 
 
 def roc_curve(df: DataFrame, y: str = "y", proba: str = "p", drop_intermediate: bool = True,
@@ -197,8 +196,8 @@ def roc_curve(df: DataFrame, y: str = "y", proba: str = "p", drop_intermediate:
     first = spark.createDataFrame([(INF, 0, 0)], "threshold double, fps long, tps long")
     allp = pts.select("threshold", "fps", "tps").unionByName(first)
     return allp.select("threshold", "fps", "tps",
-                       r6(safe_div(F.col("fps"), F.lit(N))).alias("fpr"),
-                       r6(safe_div(F.col("tps"), F.lit(P))).alias("tpr"))
+                       safe_div(F.col("fps"), F.lit(N)).alias("fpr"),
+                       safe_div(F.col("tps"), F.lit(P)).alias("tpr"))
 
 
 def pr_curve(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[DataFrame] = None) -> DataFrame:
@@ -212,7 +211,7 @@ def pr_curve(df: DataFrame, y: str = "y", proba: str = "p", points: Optional[Dat
     P, _ = class_totals(df, y, proba, pts)
     prec = zero_div(F.col("tps"), F.col("tps") + F.col("fps"))
     rec = F.lit(1.0) if P == 0 else safe_div(F.col("tps"), F.lit(P))
-    out = pts.select(F.col("threshold"), r6(prec).alias("precision"), r6(rec).alias("recall"))
+    out = pts.select(F.col("threshold"), prec.alias("precision"), rec.alias("recall"))
     close = df.sparkSession.createDataFrame([(None, 1.0, 0.0)],
                                             "threshold double, precision double, recall double")
     return out.unionByName(close)
@@ -233,7 +232,7 @@ def youden_threshold(df: DataFrame, y: str = "y", proba: str = "p",
     best = roc.agg(F.max(F.struct((_wide(F.col("tps")) * _wide(F.lit(N)) - _wide(F.col("fps")) * _wide(F.lit(P))).alias("jint"),
                                   F.col("threshold").alias("threshold"),
                                   (F.col("tpr") - F.col("fpr")).alias("j"))).alias("b"))
-    return best.select(F.col("b.threshold").alias("optimal_threshold"), r6(F.col("b.j")).alias("youden_j"))
+    return best.select(F.col("b.threshold").alias("optimal_threshold"), F.col("b.j").alias("youden_j"))
 
 
 # ------------------------------------------------------------------ E12 sweep
@@ -301,8 +300,8 @@ def optimal_threshold(df: DataFrame, y: str = "y", proba: str = "p",
     best = long.groupBy("metric").agg(
         F.max(F.struct(F.col("score").alias("s"), (-F.col("k")).alias("nk"), F.col("threshold").alias("t")))
         .alias("b"))
-    return best.select("metric", r6(F.col("b.t")).alias("optimal_threshold"),
-                       r6(F.col("b.s")).alias("best_score"))
+    return best.select("metric", F.col("b.t").alias("optimal_threshold"),
+                       F.col("b.s").alias("best_score"))
 
 
 # ------------------------------------------------------------------ E13-E16 errors
@@ -336,7 +335,7 @@ def error_summary(df: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
     n = F.count(F.lit(1))
     mis = F.sum(wrong.cast("long"))
     return df.agg(n.alias("total_samples"), F.coalesce(mis, F.lit(0)).alias("misclassified"),
-                  r6(zero_div(F.coalesce(mis, F.lit(0)), n)).alias("error_rate"),
+                  zero_div(F.coalesce(mis, F.lit(0)), n).alias("error_rate"),
                   F.coalesce(fp, F.lit(0)).alias("false_positives"),
                   F.coalesce(fn, F.lit(0)).alias("false_negatives"))
 
@@ -420,7 +419,7 @@ def report_table(ev: Evaluation, class_names: Sequence[str] = ("safe", "unsafe")
     if ev.youden is not None:
         parts.append(ev.youden.select(F.lit("threshold").alias("section"),
                                       F.lit("optimal_threshold").alias("name"),
-                                      r6(F.col("optimal_threshold")).alias("value")))
+                                      F.col("optimal_threshold").alias("value")))
     parts.append(ev.confusion.select(F.explode(F.array(*[
         F.struct(F.lit("confusion").alias("section"), F.lit(k).alias("name"),
                  F.col(k).cast("double").alias("value")) for k in ("tn", "fp", "fn", "tp")])).alias("r"))

@@ -45,10 +45,8 @@ def preprocess(df: DataFrame, out_dir: str, spec: TableSpec = FOOD_SAFETY, test_
                val_size: float = 0.1, scaling: str = "standard", seed: int = 42) -> Prepared:
     """Split, fit the features on train only, transform every split, save."""
     key = spec.key or "sample_key"
-    # the split is an exact ranking (one shuffle): write it once, so the fit
-    # passes and the transform read it instead of re-ranking
-    tagged = _materialise(S.assign_split(df, key, spec.target, test_size, val_size, seed),
-                          os.path.join(out_dir, "split"))
+    # a comparison with two positions per class: nothing to write before the features
+    tagged = S.assign_split(df, key, spec.target, test_size, val_size, seed)
     train_raw = tagged.where(F.col("split") == "train").drop("split")
     fitted = FE.FeaturePrep(spec, scaling=scaling).fit(train_raw)
     fitted.save(os.path.join(out_dir, "preprocessor"))
