@@ -131,16 +131,10 @@ def assign_folds(df: DataFrame, key: str, target: str | None = None, k: int = 5,
 def balanced_weight(df: DataFrame, label: str, out: str = "weight",
                     sample_weight: str | None = None) -> DataFrame:
     """``n / (n_classes * n_class)`` per row, times an optional per-row
-    sample weight.  The class counts are one small aggregate (one row per class)
-    collected as scalars."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    k = len(counts)
-    expr: Column = F.lit(None).cast("double")
-    for cls, n in counts.items():
-        w = float(total) / (k * n)
-        cond = F.col(label).isNull() if cls is None else (F.col(label) == F.lit(cls))
-        expr = F.when(cond, F.lit(w)).otherwise(expr)
+    sample weight.  The class counts (one row per class) are joined to the rows."""
+    counts = _small(df.groupBy(F.col(label).alias("_c")).agg(F.count(F.lit(1)).alias("_n")))
+    row = counts.agg(F.sum("_n").alias("total"), F.count(F.lit(1)).alias("k")).first()
+    weight = F.lit(float(row["total"] or 0)) / (F.lit(row["k"]) * F.col("_n"))
     if sample_weight:
-        expr = expr * F.col(sample_weight)
-    return df.withColumn(out, expr)
+        weight = weight * F.col(sample_weight)
+    return df.join(counts, F.col(label).eqNullSafe(F.col("_c")), "left").withColumn(out, weight).drop("_c", "_n")

@@ -462,7 +462,7 @@ def e16_error_summary(spark, sf):
     return M.error_summary(scored_df(spark, sf), "y", "pred")
 
 
-@register("e17_report_table", f"""WITH m AS ({_metrics_sql('pred')}),
+E17_SQL = f"""WITH m AS ({_metrics_sql('pred')}),
 {PTS_SQL},
 nb AS (SELECT *, lag(fps) OVER w AS fps_prev, lead(fps) OVER w AS fps_next,
               lag(tps) OVER w AS tps_prev, lead(tps) OVER w AS tps_next
@@ -491,7 +491,10 @@ UNION ALL SELECT 'per_class', 'unsafe_precision', round(CASE WHEN tp + fp = 0 TH
 UNION ALL SELECT 'per_class', 'safe_recall', round(CASE WHEN tn + fp = 0 THEN 0e0 ELSE tn / (tn + fp) END, 6) FROM c
 UNION ALL SELECT 'per_class', 'unsafe_recall', round(CASE WHEN tp + fn = 0 THEN 0e0 ELSE tp / (tp + fn) END, 6) FROM c
 UNION ALL SELECT 'per_class', 'safe_f1_score', round(CASE WHEN 2 * tn + fn + fp = 0 THEN 0e0 ELSE 2 * tn / (2 * tn + fn + fp) END, 6) FROM c
-UNION ALL SELECT 'per_class', 'unsafe_f1_score', round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) FROM c""")
+UNION ALL SELECT 'per_class', 'unsafe_f1_score', round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0e0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) FROM c"""
+
+
+@register("e17_report_table", E17_SQL)
 def e17_report_table(spark, sf):
     return M.report_table(_eval(spark, sf))
 
@@ -860,7 +863,8 @@ def s10_load_or_generate(spark, sf):
     return SRC.load_or_generate(spark, path, seed=42, keys=keys)    # loads the persisted table
 
 
-@register("s12_report_text")
+@register("s12_report_text", f"""SELECT printf('%-10s %-22s %.4f', section, name, value) AS value
+FROM ({E17_SQL}) r""")
 def s12_report_text(spark, sf):
     path = scratch_path(spark, "report") + ".txt"
     SRC.write_lines(M.report_lines(M.report_table(_eval(spark, sf))), path)
@@ -893,8 +897,7 @@ def _prepared(spark, sf):
 
 def _model(spark, sf, model_type, params=None, **kw):
     fitted, tr, _ = _prepared(spark, sf)
-    family = "boosting" if model_type in MD.BOOSTING else model_type
-    key = (id(spark), sf, family, json.dumps(MD.spark_params(model_type, params or {}), sort_keys=True),
+    key = (id(spark), sf, model_type, json.dumps(MD.spark_params(model_type, params or {}), sort_keys=True),
            json.dumps(kw, sort_keys=True, default=str))
     if key not in _CACHE:
         _CACHE[key] = MD.train(tr, model_type, params, feature_names=fitted.feature_names(), **kw)
@@ -1139,3 +1142,96 @@ def j2_train_job_with_search(spark, sf):
     del model
     return trials.select("trial_number", F.col("params").cast("string").alias("params"),
                          r6(F.col("score")).alias("score"))
+
+
+# ================================================================ facts about models and jobs that SQL can state
+#: The test rows of the split with their labels: what every model must answer for.
+TEST_ROWS = f"""{_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r),
+test_rows AS (SELECT s.sample_key, CASE WHEN s.safety_status = 'unsafe' THEN 1 ELSE 0 END AS y
+  FROM q JOIN samples s USING (sample_key) WHERE q.rk < q.nt)"""
+
+
+def _register_prediction_facts(query: str, model_type: str) -> None:
+    @register(f"{query}_prediction_facts", f"""WITH {TEST_ROWS}
+SELECT sample_key, y, true AS sums_to_one, true AS agrees FROM test_rows""")
+    def facts(spark, sf):
+        """Each test row once, its probabilities sum to 1 and the larger one is the prediction."""
+        _, _, te = _prepared(spark, sf)
+        out = _model(spark, sf, model_type).predict(te, keep=["sample_key", "label"])
+        larger = F.when(F.col("prob_0") == F.col("prob_1"), F.col("prediction")) \
+            .otherwise((F.col("prob_1") > F.col("prob_0")).cast("int"))
+        return out.select("sample_key", F.col("label").cast("int").alias("y"),
+                          (F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9).alias("sums_to_one"),
+                          (F.col("prediction") == larger).alias("agrees"))
+
+
+for _query, _type in (("t1", "xgboost"), ("t2", "lightgbm"), ("t3", "random_forest"), ("t4", "logistic_regression")):
+    _register_prediction_facts(_query, _type)
+
+
+def _same_answers(a, b):
+    """Per row of ``a`` whether ``b`` gives the same prediction and probability."""
+    b = b.select("sample_key", F.col("prediction").alias("other"), F.col("prob_1").alias("other_prob"))
+    return a.join(b, "sample_key", "left").select(
+        "sample_key", F.coalesce((F.abs(F.col("prob_1") - F.col("other_prob")) < 1e-4)
+                                 & ((F.col("prediction") == F.col("other"))
+                                    | (F.abs(F.col("prob_1") - 0.5) < 1e-4)), F.lit(False)).alias("same"))
+
+
+@register("t6_weight_equivalence", f"WITH {TEST_ROWS} SELECT sample_key, true AS same FROM test_rows")
+def t6_weight_equivalence(spark, sf):
+    """Weight 5 on every row with C = .01 fits the same model as weight 1 with C = .05."""
+    _, tr, te = _prepared(spark, sf)
+    answers = []
+    for w, c in ((5.0, 0.01), (1.0, 0.05)):
+        m = MD.train(tr.withColumn("sw", F.lit(w)), "logistic_regression", {"C": c, "tol": 1e-9},
+                     class_weight=None, sample_weight="sw")
+        answers.append(m.predict(te, keep=["sample_key"]))
+    return _same_answers(*answers)
+
+
+@register("t13_reload_equals", f"WITH {TEST_ROWS} SELECT sample_key, true AS same FROM test_rows")
+def t13_reload_equals(spark, sf):
+    """A saved and reloaded model answers every test row as before."""
+    _, _, te = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    path = scratch_path(spark, "model")
+    m.save(path)
+    return _same_answers(m.predict(te, keep=["sample_key"]), MD.TrainedModel.load(path).predict(te, keep=["sample_key"]))
+
+
+@register("j4_split_counts", f"""WITH {_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r),
+sp AS (SELECT CASE WHEN rk < nt THEN 'test' WHEN rk < nt + round((n - nt) * (1e-1 / (1e0 - 2e-1))) THEN 'val'
+        ELSE 'train' END AS split FROM q)
+SELECT 'logistic_regression' AS model_type, false AS tuned, count(*) FILTER (split = 'train') AS n_train,
+  count(*) FILTER (split = 'val') AS n_val, count(*) FILTER (split = 'test') AS n_test FROM sp""")
+def j4_split_counts(spark, sf):
+    """The summary of a full run names the model and the exact split sizes."""
+    summary = J.full_run(samples_df(spark, sf), scratch_path(spark, "run"), model_type="logistic_regression", tune=False)
+    return summary.select("model_type", "tuned", "n_train", "n_val", "n_test")
+
+
+@register("i6_stream_equals_batch", "SELECT sample_key, true AS same FROM samples")
+def i6_stream_equals_batch(spark, sf):
+    """The stream and the batch job answer every sample alike."""
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    batch, _ = I.score_batch(samples_df(spark, sf), m, fitted, "sample_key")
+    batch = batch.select("sample_key", F.col("prediction").alias("other"))
+    return i6_stream_score_chunks(spark, sf).select("sample_key", "prediction").join(batch, "sample_key", "left") \
+        .select("sample_key", F.coalesce(F.col("prediction") == F.col("other"), F.lit(False)).alias("same"))
+
+
+@register("s9_synthetic_facts", """SELECT o_orderkey AS sample_key, true AS in_range, true AS in_domain, true AS labelled
+FROM orders""", with_fixtures=False)
+def s9_synthetic_facts(spark, sf):
+    """One generated sample per key; cells (counts scaled as outliers apart) and categories are legal."""
+    s = s9_synthetic_from_orders(spark, sf)
+    legal = [F.col(c).isNull() | ((F.col(c) >= lo) & ((F.col(c) <= hi) if hi is not None else F.lit(True)))
+             for c, (lo, hi) in SPEC.numeric_ranges.items() if c not in ("total_plate_count", "coliform_count")]
+    known = [F.lower(c).isin(*dom) for c, dom in SPEC.categorical_domains.items()]
+    both = lambda conds: F.forall(F.array(*conds), lambda x: x)
+    return s.select("sample_key", both(legal).alias("in_range"), both(known).alias("in_domain"),
+                    F.col("safety_status").isin(*SPEC.class_names).alias("labelled"))
