@@ -2,11 +2,11 @@
 
 Every quantile needs the values at one or two ranks of its column.  Each such
 rank starts with the bracket of all values.  As long as a bracket holds more than
-``keep`` rows, one round narrows the brackets of all columns together: a pass takes
+``max_in_memory_distinct`` rows, one round narrows the brackets of all columns together: a pass takes
 two approximate quantiles around the rank, a second one counts the values below,
 at, between and above them exactly, and the part that holds the rank is the next
 bracket.  A round leaves about ``4 * ERROR`` of the rows, so 10**11 rows take three
-rounds.  The values left in the brackets (at most ``keep`` rows each) are then
+rounds.  The values left in the brackets (at most that many each) are then
 ranked by a window per bracket; only the wanted values reach the driver.
 
 The result is ``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with ``pos = (n - 1) * p``,
@@ -23,8 +23,8 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a bracket that one window task ranks.
-KEEP = 200_000
+#: Values of a bracket that one window task ranks.
+MAX_IN_MEMORY_DISTINCT = 200_000
 #: Relative rank error of the approximate quantiles of a round.
 ERROR = 1e-3
 
@@ -104,7 +104,7 @@ def _rank(vals: DataFrame, brackets: list[_Bracket]) -> None:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    keep: int = KEEP) -> dict[str, list[Optional[float]]]:
+                    max_in_memory_distinct: int = MAX_IN_MEMORY_DISTINCT) -> dict[str, list[Optional[float]]]:
     """Exact linear-interpolated quantiles of every column (NULL and NaN ignored)."""
     if not cols:
         return {}
@@ -118,7 +118,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p)):
                 brackets[i, r] = _Bracket(i, r, n)
     open_ = list(brackets.values())
-    while wide := [b for b in open_ if b.value is None and b.inside > keep]:
+    while wide := [b for b in open_ if b.value is None and b.inside > max_in_memory_distinct]:
         _round(vals, wide)
     left = [b for b in open_ if b.value is None]
     if left:
