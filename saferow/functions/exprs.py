@@ -59,12 +59,6 @@ def r6(c: Column) -> Column:
     return F.round(c.cast("double"), 6)
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Every double column of ``df`` rounded to the precision of comparison."""
-    return df.select(*[r6(F.col(f.name)).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 def hash_uniform(key: Column, seed: int, stream: int) -> Column:
     """A uniform draw in [0, 1) that depends only on (key, seed, stream).
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saferow.functions import rules
-from saferow.functions.exprs import r6, rounded
+from saferow.functions.exprs import r6
 from saferow.operators import metrics as M
 from saferow.operators import quality as Q
 from saferow.plans import fixtures as FX
@@ -25,13 +25,9 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-#: Queries whose operators give unrounded doubles.
-ROUNDED = ("e4_", "e5_", "e6_", "e7_", "e8_", "e9_", "e10_", "e11_", "e12_", "e16_", "e17_", "h7_", "f2_", "f3_", "t10_")
-
-
 def register(name: str, sql: Optional[str] = None, with_fixtures: bool = True):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = (lambda spark, sf: rounded(fn(spark, sf))) if name.startswith(ROUNDED) else fn
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = FX.oracle(sql) if with_fixtures else sql.strip()
         return fn
