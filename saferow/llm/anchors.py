@@ -115,6 +115,7 @@ SHARD_BYTES = 5 << 19
 
 MEMBER = "doc long, key binary, anchor long, text long, start long, n long, own long"
 CONTEXT = "anchor long, lo long, hi long, doc long, key binary, text long, start long, n long, own long, body binary"
+HALF = CONTEXT + ", whole binary"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -171,15 +172,21 @@ def bodies(texts: DataFrame, units, length: int) -> DataFrame:
 
 _CONTEXT = [f.strip().split(" ")[0] for f in CONTEXT.split(",")]
 _CONTEXT_ARROW = pa.schema([(c, pa.binary() if c in ("key", "body") else pa.int64()) for c in _CONTEXT])
+_HALF_ARROW = _CONTEXT_ARROW.append(pa.field("whole", pa.binary()))
 
 
-def divided(contexts: DataFrame, length: int, unit: int, max_group: int) -> DataFrame:
-    """Groups of more than ``max_group`` stretches are divided, without loss.
+def divided(contexts: DataFrame, length: int, unit: int, max_group: int, settle, live: str) -> tuple[DataFrame, DataFrame | None]:
+    """(groups to compare, what was settled on the way): groups of more than
+    ``max_group`` stretches are divided, without loss.
 
     Windows of a group start ``lo`` to ``hi`` units before the anchor.  The range is
     halved; all windows of a half share more units around the anchor, whose hash
-    becomes the new group.  It ends at the latest with single windows, where a
-    group holds equal windows only.
+    becomes the new group.  ``settle(halves)`` splits the halves into those still to be
+    compared and the verdicts on those equal as a whole (same group, same ``whole``),
+    which need no text.  Single windows of a group are always equal, so they are settled
+    there, are not compared and carry no body: no group that is compared stays larger
+    than ``max_group``.  Large groups without ``live`` (SQL on ``low`` and ``high``, the
+    least and largest ``doc``) have nothing to be found.
     """
     def halve(batches):
         for b in batches:
@@ -194,19 +201,29 @@ def divided(contexts: DataFrame, length: int, unit: int, max_group: int) -> Data
                     body, own = row["body"][first * unit:(last + length) * unit], row["own"] - first
                     common = body[(own - lo) * unit if own >= lo else 0:(own - hi + length) * unit]
                     out.append(row | {"lo": lo, "hi": hi, "start": row["start"] + first, "n": last - first + 1,
-                                      "own": own, "body": body, "anchor": _mixed(row["anchor"], lo, common)})
+                                      "own": own, "body": body if lo < hi else b"",
+                                      "anchor": _mixed(row["anchor"], lo, common), "whole": _whole(own, body)})
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=_CONTEXT_ARROW)
+                yield pa.RecordBatch.from_pylist(out, schema=_HALF_ARROW)
 
-    done, rows = None, contexts
+    done, settled, rows = None, None, contexts
     while True:
-        large = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max(F.expr("hi - lo")).alias("w"))
-                       .where((F.col("c") > max_group) & (F.col("w") > 0)).select("anchor"), "large-anchors")
+        large = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("doc").alias("low"),
+                                                  F.max("doc").alias("high"))
+                       .where(F.col("c") > max_group).select("anchor", "low", "high"), "large-anchors")
         if large.isEmpty():
-            return rows if done is None else done.unionByName(rows)
+            return rows if done is None else done.unionByName(rows), settled
         small = rows.join(large, "anchor", "left_anti").select(*_CONTEXT)
         done = small if done is None else done.unionByName(small)
-        rows = stored(rows.join(large, "anchor", "left_semi").select(*_CONTEXT).mapInArrow(halve, CONTEXT), "halves")
+        halves = stored(rows.join(large.where(live), "anchor", "left_semi").select(*_CONTEXT)
+                        .mapInArrow(halve, HALF), "halves")
+        kept, found = settle(halves)
+        settled = found if settled is None else settled.unionByName(found)
+        rows = stored(kept.where("lo < hi").select(*_CONTEXT), "kept-halves")
+
+
+def _whole(own: int, body: bytes) -> bytes:
+    return hashlib.blake2b(body, digest_size=16, salt=struct.pack("<q", own)).digest()
 
 
 def _mixed(anchor: int, lo: int, common: bytes) -> int:

@@ -12,7 +12,8 @@ A byte goes if a string of ``LENGTH`` bytes over it also starts anywhere else.
 3. The spans found are joined to their texts, once per distinct text.
 
 Texts move twice: once to fetch the stretches, and those with removals once
-more.  Anchor groups beyond ``MAX_GROUP`` are divided without loss.
+more.  Anchor groups beyond ``MAX_GROUP`` are divided without loss; what is
+equal as a whole on the way is settled by an aggregate.
 
 Defined results: null is the empty text; texts shorter than ``LENGTH`` lose
 nothing; copies of a text (rows repeated as a whole too) remove each other;
@@ -64,6 +65,20 @@ def _runs(at: np.ndarray, w: np.ndarray):
     return at[new], w[new], w[last]
 
 
+def _settled(halves: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(halves of divided groups still to be compared, spans of those that are equal as a
+    whole); one of the equal ones stays to be compared with others, as ``doc`` 0."""
+    place = F.struct("key", "start")
+    equal = stored(halves.groupBy("anchor", "whole").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+                   .where("one < other").select("anchor", "whole", "one"), "equal-halves")
+    all_ = halves.join(equal, ["anchor", "whole"], "left")
+    spans = all_.where("one is not null and doc = 1") \
+        .select("key", "start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
+    kept = all_.where(F.col("one").isNull() | (F.col("one") == place)) \
+        .withColumn("doc", F.when(F.col("one").isNull(), F.col("doc")).otherwise(F.lit(0).cast("long")))
+    return kept, spans
+
+
 def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_group: int = MAX_GROUP,
                    shard_bytes: int = SHARD_BYTES, memory: int = 1 << 26) -> tuple[DataFrame, DataFrame]:
     """(texts with repeated strings: key, text; spans: key, start, end) of keyed rows."""
@@ -98,9 +113,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
                                               pa.array(start + last + length)], ["key", "start", "end"])
 
     contexts = bodies(texts.where("wanted is not null"), _bytes, length)
-    contexts = divided(stored(contexts, "contexts"), length, 1, max_group)
+    contexts, settled = divided(stored(contexts, "contexts"), length, 1, max_group, lambda h: _settled(h, length), "high = 1")
     part = contexts.repartition("anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
         .mapInArrow(compare, "key binary, start long, end long")
+    part = part if settled is None else part.unionByName(settled)
     return texts.select("key", "text"), whole.unionByName(stored(part, "part-spans"))
 
 

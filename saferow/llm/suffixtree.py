@@ -109,6 +109,17 @@ def smaller_documents(body: list[bytes], n: np.ndarray, doc: np.ndarray, length:
     return at, hit - base[at]
 
 
+def _settled(halves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(halves of divided groups still to be compared, windows lost by those that equal
+    one of a smaller document as a whole)."""
+    equal = stored(halves.groupBy("anchor", "whole").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+                   .where("least < most").select("anchor", "whole", "least"), "equal-halves")
+    all_ = halves.join(equal, ["anchor", "whole"], "left")
+    lost = all_.where("doc > least").select("text", "doc", (-F.col("own")).alias("first"),
+                                            (F.col("n") - 1 - F.col("own")).alias("last"))
+    return all_.where("least is null or doc = least"), lost
+
+
 def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_group: int = MAX_GROUP,
                    shard_bytes: int = SHARD_BYTES, group_suffixes: int = GROUP_SUFFIXES) -> tuple[DataFrame, DataFrame]:
     """(rows whose text has shared stretches: doc, key, text; spans: doc, key, start, end)."""
@@ -145,9 +156,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
                                              ["text", "doc", "first", "last"])
 
     contexts = bodies(texts.where("wanted is not null"), _symbols, length)
-    contexts = divided(stored(contexts, "contexts"), length, 8, max_group)
+    contexts, settled = divided(stored(contexts, "contexts"), length, 8, max_group, _settled, "low < high")
     part = contexts.repartition("anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
         .mapInArrow(compare, "text long, doc long, first long, last long")
+    part = part if settled is None else part.unionByName(settled)
     # a text may stand several times in its smallest document: back to all its places there
     at = F.col("start") + F.col("own")
     part = member.join(part, ["text", "doc"]) \

@@ -144,3 +144,27 @@ def test_long_texts_are_cut_without_loss(frame, monkeypatch):
         got = anchors.stretches(BYTE_KEY[raw[base:base + int(off[-1] - off[0])]], off - off[0], 24, 8)
         cut |= {(int(place[r, 0]), int(place[r, 1] + s) + j) for r, s, n in zip(*got[:3]) for j in range(n)}
     assert cut == windows
+
+
+@pytest.mark.parametrize("module, size, k, plain", [(suffixarray, 24, 8, plain_bytes), (suffixtree, 8, 3, plain_words)])
+def test_no_group_stays_large(frame, monkeypatch, module, size, k, plain):
+    """One passage inside many documents with other surroundings: its windows are equal, its stretches are not."""
+    rng, real, seen = np.random.default_rng(5), module.divided, []
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [" ".join([*map(str, rng.integers(10 ** 6, size=9)), passage, *map(str, rng.integers(10 ** 6, size=9))])
+             for _ in range(40)]
+    rows = [*enumerate(texts), (7, texts[30] + " z"), (7, "y " + texts[31]), (None, "x " + passage + " x")]
+
+    def watched(*args):
+        out = real(*args)
+        seen.append(out[0] if isinstance(out, tuple) else out)
+        return out
+
+    monkeypatch.setattr(module, "divided", watched)
+    got = module.deduplicate(frame(rows), size, k, max_group=4).collect()
+    if plain is plain_bytes:
+        want = Counter((i, *w) for (i, _), w in zip(rows, plain([t for _, t in rows], size)))
+    else:
+        want = Counter((i, *w) for (i, _), w in zip(rows, plain(rows, size)))
+    assert Counter(tuple(r) for r in got) == want
+    assert max(r["count"] for r in seen[0].groupBy("anchor").count().collect()) <= 4
