@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from saferow.llm import binary, decontam, mixing, quality, simhash, tokens
-from saferow.llm.common import scratch
+from saferow.llm.common import scratch, table
 from saferow.llm.queries import vocabulary
 
 from conftest import EDGES, EMPTY
@@ -164,6 +164,17 @@ def test_quality_counts_and_edges(spark, frame, labels):
     assert all(r["kept"] == (not r["base_failed"]) for r in alone)
 
 
+def test_quality_threshold_is_the_quantile_of_all_good_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRUSTED_ROWS", 100)
+    labels = table(spark, "/root/testdata/sf0.01", "labels")
+    got = quality.quality(table(spark, "/root/testdata/sf0.01", "documents"), labels).toPandas()
+    good = {r[0] for r in labels.where("quality = 1").select("doc_id").collect()}
+    assert len(good) > 100
+    at = np.quantile(got.score[got.doc_id.isin(good)], quality.TRUSTED_QUANTILE)
+    clear = (got.score - at).abs() > 1e-9
+    assert (got.kept == (~got.base_failed & (got.score >= at)))[clear].all()
+
+
 # ------------------------------------------------------------------- SimHash
 def plain_fingerprint(text):
     w = SPACE_WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
