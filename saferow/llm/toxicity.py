@@ -9,7 +9,7 @@ window of a text is scored and the text's score is that of its worst window.
 
 Training (numpy, on the driver) uses a bounded sample of labelled rows:
 ``POSITIVES`` and ``NEGATIVES`` rows in order of a hash of the id, none longer
-than ``FIT_CHARS``.  A text's label does not say which window earns it, so rounds
+than ``FIT_CHARS``; of a repeated id the least text.  A text's label does not say which window earns it, so rounds
 alternate: score all windows of the sample, then fit on the worst ones of each
 text.  Rows that the caller holds out are never used.
 
@@ -291,8 +291,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, exclude=held_out) -> dict:
             for y, n in ((1, POSITIVES), (0, NEGATIVES))]
     ids = F.broadcast(pick[0].unionByName(pick[1]))  # at most POSITIVES + NEGATIVES rows
     got = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS) \
-        .join(ids, F.col("doc_id") == F.col("_id")).select("_id", "_y", "text")
-    rows = sorted(got.limit(4 * (POSITIVES + NEGATIVES)).collect(), key=lambda r: (r[0], r[1], r[2]))
+        .join(ids, F.col("doc_id") == F.col("_id")).groupBy("_id", "_y").agg(F.min("text").alias("text"))
+    rows = sorted(got.collect(), key=lambda r: (r[0], r[1], r[2]))  # one row per id and label
     return fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
 
 

@@ -59,6 +59,18 @@ def test_toxicity_edges(spark, frame, labels):
     assert toxicity.clean_documents(docs, labels).columns == docs.columns
 
 
+def test_fit_sample_takes_one_text_of_a_repeated_id(spark, frame, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 2)
+    monkeypatch.setattr(toxicity, "NEGATIVES", 2)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append((texts, y.tolist())))
+    rows = [(1, f"hot {i:03}") for i in range(200)] + [(2, "bad"), (3, "good"), (4, "fine")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    for order in (rows, rows[::-1]):
+        toxicity.fit_on(frame(order), labels, exclude=None)
+    assert seen == [(["hot 000", "bad", "good"], [0, 1, 0])] * 2
+
+
 # ------------------------------------------------------------------ language
 def test_page_parts():
     assert langid.address("https://user@Blog.Example.com:80/x") == ("blog.example.com", "example.com", "com")
