@@ -4,7 +4,8 @@ Inputs of a word: a trained embedding of the word, its log-odds between toxic
 and clean training texts, and the largest and the mean log-odds of its character
 n-grams (with word-edge marks), so unseen words with known parts count too.  Two
 gated recurrent layers run over a window of ``WIDTH`` words, forwards and
-backwards; attention pools their states to one logit.  Windows overlap; every
+backwards; attention pools their states to one logit.  Windows start every
+``STRIDE`` words, so any ``WIDTH - STRIDE + 1`` words lie whole in one; every
 window of a text is scored and the text's score is that of its worst window.
 
 Training (numpy, on the driver) uses a bounded sample of labelled rows:
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from saferow.llm.common import LOWER, byte_class, chunks, span_hashes, words
 
-WIDTH, STRIDE = 24, 16
+WIDTH, STRIDE = 24, 4
 HIDDEN, EMBED = 8, 5
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 17
 CHAR_GRAMS = (3, 4, 5)

@@ -59,6 +59,17 @@ def test_toxicity_edges(spark, frame, labels):
     assert toxicity.clean_documents(docs, labels).columns == docs.columns
 
 
+def test_spans_lie_whole_in_a_window():
+    data = np.frombuffer(" ".join(f"w{i}" for i in range(101)).encode(), np.uint8)
+    w = toxicity.Words(data, np.array([0, len(data)]))
+    place = np.empty(len(w.distinct), np.int64)
+    place[w.of] = np.arange(101)
+    _, ids = w.windows()
+    held = [set(place[i[i >= 0]].tolist()) for i in ids]
+    for start in range(101 - 20):
+        assert any(h >= set(range(start, start + 21)) for h in held)
+
+
 def test_fit_sample_takes_one_text_of_a_repeated_id(spark, frame, monkeypatch):
     monkeypatch.setattr(toxicity, "POSITIVES", 2)
     monkeypatch.setattr(toxicity, "NEGATIVES", 2)
