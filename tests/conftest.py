@@ -4,10 +4,9 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+from core_data import SF01  # noqa: E402
 
 
 @pytest.fixture(scope="session")

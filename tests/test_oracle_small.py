@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, digest
 
-from conftest import SF001
+from core_data import SF001
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from saferow.operators.ranks import bucketed_rank, hash_order_key, prefix_agg, row_index
 
-from conftest import SF01
+from core_data import SF01
 
 
 def test_row_index_equals_plain_rank(spark):
