@@ -4,10 +4,9 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, size int, open boolean"
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
+from llm_data import SCHEMA  # noqa: E402
 
 @pytest.fixture()
 def frame(spark):
@@ -18,12 +17,6 @@ def frame(spark):
     return make
 
 
-#: Nulls, empty and one-word texts, repeated rows, white space only, a very long text.
-EDGES = [(1, None, None), (2, "", "a"), (3, " \t\n", "a"), (4, "word", None), (5, "a b", "b"), (5, "a b", "b"),
-         (None, "no id here", "c"), (6, "é ü ß \x1c x\n\nx", "b"), (7, "long text of words " * 20000, "a")]
-EMPTY = []
-
-
 @pytest.fixture()
 def labels(spark):
     return spark.createDataFrame([(2, 1, 0), (7, 1, 0), (4, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")

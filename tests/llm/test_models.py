@@ -8,7 +8,7 @@ import corpus_pipeline
 from saferow.llm import langid, simhash, toxicity
 from saferow.llm.common import table
 
-from conftest import EDGES, EMPTY, SCHEMA
+from llm_data import EDGES, EMPTY, SCHEMA
 
 SF = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"

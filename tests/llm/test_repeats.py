@@ -13,7 +13,7 @@ from saferow.llm import suffixarray, suffixtree
 from saferow.llm.induced import suffix_order
 from saferow.llm.suffixtree import prefix_groups, subtree
 
-from conftest import EDGES, EMPTY
+from llm_data import EDGES, EMPTY
 
 
 def plain_order(x):

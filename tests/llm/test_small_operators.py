@@ -12,7 +12,7 @@ from saferow.llm import binary, decontam, mixing, quality, simhash, tokens
 from saferow.llm.common import scratch, table
 from saferow.llm.queries import vocabulary
 
-from conftest import EDGES, EMPTY
+from llm_data import EDGES, EMPTY
 
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
