@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step handles (a longer text: alone).
@@ -59,6 +60,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark itself would write to,
+    so that files which tasks open by themselves land in the same place."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def filesystem(uri: str):
+    """pyarrow's file system for a qualified path, and the path there."""
+    return pafs.FileSystem.from_uri("file://" + uri[5:] if uri.startswith("file:/") and uri[6:7] != "/" else uri)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
