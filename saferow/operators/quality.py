@@ -1,9 +1,9 @@
 """Validation and cleaning (V1-V14), generic over a :class:`TableSpec`.
 
-All checks are column expressions; the counting checks (ranges, domains,
-missing values) run as ONE fused aggregate over the table, duplicates as one
-``groupBy`` per key set (map-side partial counts, so a hot key costs one row
-per task before the shuffle).
+All checks are column expressions; the full report (ranges, domains, missing
+values, duplicates of whole rows and of keys) is ONE scan with one narrow aggregate,
+in which rows stand by 128-bit digests (map-side partial counts, so a hot key
+costs one row per task before the shuffle).
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from saferow.functions.exprs import numeric_columns, safe_div
 from saferow.spec import FOOD_SAFETY, TableSpec
 
 
+def _quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 # ------------------------------------------------------------------ V1 schema
 def schema_check(df: DataFrame, spec: TableSpec = FOOD_SAFETY) -> DataFrame:
     """V1: one row per missing (error) or extra (warning) column.
@@ -121,7 +125,7 @@ def missing_values(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     cols = df.columns
     aggs = []
     for c in cols:
-        miss = F.sum(F.col(c).isNull().cast("long"))
+        miss = F.sum(F.col(_quoted(c)).isNull().cast("long"))
         aggs.append(F.coalesce(miss, F.lit(0)).cast("long").alias(f"missing__{c}"))
         aggs.append(F.coalesce(safe_div(miss, F.count(F.lit(1))), F.lit(0.0)).alias(f"ratio__{c}"))
     one = df.agg(*aggs)
@@ -132,12 +136,40 @@ def missing_values(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 # ------------------------------------------------------------------ V6/V7 duplicates
-def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
+#: Seeds that make the two halves of a digest independent of each other.
+_DIGEST_SEEDS = (0x5EED, 0xD16E57)
+
+
+def digest_columns(cols: Sequence[str]) -> list[str]:
+    """SQL of 128 bits that stand for the values of ``cols``, as two longs; rows agree in them
+    if they agree in every column, NULL equal to NULL, NaN to NaN and -0.0 to 0.0.
+
+    Which columns are NULL is hashed with the values, since the hash function passes
+    over NULL.  Two of 10**12 different rows share a digest with a chance of 1e-15.
+    """
+    names = [_quoted(c) for c in cols]
+    nulls = ", ".join(f"isnull({c})" for c in names)
+    return [f"xxhash64({seed}, {nulls}, {', '.join(names)})" for seed in _DIGEST_SEEDS]
+
+
+def duplicate_count(df: DataFrame, subset: list[str] | None = None, compare: bool = False) -> DataFrame:
     """V6/V7: rows minus distinct rows over ``subset`` (all columns if None);
-    NULL equals NULL.  Output: one row ``duplicates``."""
-    keys = subset or df.columns
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates"))
+    NULL equals NULL.  Output: one row ``duplicates``.
+
+    A ``subset`` is grouped by its values.  Whole rows are grouped by their digests, so
+    17 columns cost a shuffle of two longs; with ``compare`` the rows whose digest occurs
+    twice or more are also compared column by column (a second scan; only they move).
+    """
+    one = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates")
+    if subset:
+        return df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n")).agg(one)
+    high, low = (F.expr(e) for e in digest_columns(df.columns))
+    groups = df.select(high.alias("_h"), low.alias("_l")).groupBy("_h", "_l").agg(F.count(F.lit(1)).alias("_n"))
+    if not compare:
+        return groups.agg(one)
+    twice = groups.where("_n > 1").select("_h", "_l")
+    rows = df.withColumns({"_h": high, "_l": low}).join(twice, ["_h", "_l"], "left_semi")
+    return rows.groupBy("_h", "_l", *map(_quoted, df.columns)).agg(F.count(F.lit(1)).alias("_n")).agg(one)
 
 
 # ------------------------------------------------------------------ V8 report
@@ -155,31 +187,79 @@ class ValidationReport:
     verdict: DataFrame
 
 
+#: Checks whose outcomes are counted together: a row's outcomes are the bits of one number,
+#: so a group of checks has at most 2**16 different rows.
+_BITS = 16
+
+
+def counted_checks(df: DataFrame, spec: TableSpec = FOOD_SAFETY) -> DataFrame:
+    """Every count of the report from ONE scan, as one row of longs: rows,
+    ``range_violations__<c>``, ``invalid_categories__<c>``, ``missing__<c>``,
+    ``duplicates__*`` and ``duplicates__<key>``.
+
+    Each row is expanded into a few narrow items (kind, a, b): its digest, the digest of
+    each duplicate key, and the outcomes of its checks as bits, 16 checks a number.  One
+    aggregate counts equal items.  Its partial form leaves at most 65,536 rows a task
+    of each group of checks, so only digests are shuffled in numbers that grow.
+    """
+    checks = []  # (name, SQL of the violation)
+    for c, (lo, hi) in spec.numeric_ranges.items():
+        if c in df.columns:
+            above = "" if hi is None else f" OR {_quoted(c)} > {hi!r}D"
+            checks.append((f"range_violations__{c}", f"{_quoted(c)} < {lo!r}D{above}"))
+    for c, domain in spec.categorical_domains.items():
+        if c in df.columns:
+            known = ", ".join(map(_text, domain))
+            checks.append((f"invalid_categories__{c}", f"lower({_quoted(c)}) NOT IN ({known})"))
+    checks += [(f"missing__{c}", f"isnull({_quoted(c)})") for c in df.columns]
+    sets = [("*", df.columns)] + [(k, [k]) for k in spec.duplicate_keys if k in df.columns]
+    items = []
+    for i, (_, cols) in enumerate(sets):
+        items += [f"{i}", *digest_columns(cols)]
+    for j in range(0, len(checks), _BITS):  # a comparison with NULL is no violation
+        bits = [f"if({cond}, {1 << k}L, 0L)" for k, (_, cond) in enumerate(checks[j:j + _BITS])]
+        items += [f"{len(sets) + j // _BITS}", " + ".join(bits), "0L"]
+    narrow = df.selectExpr(*[f"{e} AS _i{n}" for n, e in enumerate(items)])
+    each = narrow.selectExpr(f"stack({len(items) // 3}, {', '.join(narrow.columns)}) AS (kind, a, b)")
+    same = each.groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    kinds = same.groupBy("kind", F.expr(f"if(kind >= {len(sets)}, a, NULL)").alias("bits")) \
+        .agg(F.sum("n").alias("n"), F.expr("sum(n - 1)").alias("again"))
+    total = "CAST(coalesce(sum(if({}, {}, 0L)), 0L) AS BIGINT)"
+    out = [(total.format("kind = 0", "n"), "rows")]
+    out += [(total.format(f"kind = {i}", "again"), f"duplicates__{name}") for i, (name, _) in enumerate(sets)]
+    out += [(total.format(f"kind = {len(sets) + j // _BITS} AND (bits & {1 << j % _BITS}L) <> 0", "n"), name)
+            for j, (name, _) in enumerate(checks)]
+    return kinds.selectExpr(*[f"{e} AS {_quoted(name)}" for e, name in out])
+
+
+def _ratio(name: str) -> str:
+    return f"if(rows = 0, 0D, CAST({_quoted(name)} AS DOUBLE) / rows)"
+
+
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _long_report(counts: DataFrame) -> DataFrame:
+    """The one row of :func:`counted_checks` as (check_name, column_name, metric, value)."""
+    parts = []
+    for name in counts.columns:
+        check, _, column = name.partition("__")
+        parts.append(f"{_text(check)}, {_text(column or '*')}, 'count', CAST({_quoted(name)} AS DOUBLE)")
+        if check == "missing":
+            parts.append(f"{_text(check)}, {_text(column)}, 'ratio', {_ratio(name)}")
+    return counts.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) AS (check_name, column_name, metric, value)")
+
+
 def fused_checks(df: DataFrame, spec: TableSpec = FOOD_SAFETY) -> DataFrame:
-    """Ranges, domains and missing values of every column in ONE aggregate, as a
-    long table (check, column, metric, value)."""
-    rcols = [c for c in spec.numeric_ranges if c in df.columns]
-    ccols = [c for c in spec.categorical_domains if c in df.columns]
-    rows = F.count(F.lit(1))
-    aggs = [(rows.cast("double"), "rows", "*", "count")]
-    aggs += [(F.sum(_out_of_range(c, *spec.numeric_ranges[c]).cast("long")), "range_violations", c, "count")
-             for c in rcols]
-    aggs += [(F.sum(_invalid_value(c, spec.categorical_domains[c]).cast("long")),
-              "invalid_categories", c, "count") for c in ccols]
-    for c in df.columns:
-        miss = F.sum(F.col(c).isNull().cast("long"))
-        aggs.append((miss, "missing", c, "count"))
-        aggs.append((F.coalesce(safe_div(miss, rows), F.lit(0.0)), "missing", c, "ratio"))
-    one = df.agg(*[F.coalesce(e.cast("double"), F.lit(0.0)).alias(f"m{i}")
-                   for i, (e, _, _, _) in enumerate(aggs)])
-    parts = [f"'{chk}', '{col}', '{met}', `m{i}`" for i, (_, chk, col, met) in enumerate(aggs)]
-    expr = f"stack({len(parts)}, {', '.join(parts)}) as (check_name, column_name, metric, value)"
-    return one.selectExpr(expr)
+    """Ranges, domains, missing values and duplicates of every column in one scan, as a
+    long table (check_name, column_name, metric, value)."""
+    return _long_report(counted_checks(df, spec))
 
 
 def validate_full(df: DataFrame, spec: TableSpec = FOOD_SAFETY, strict: bool = False,
                   missing_threshold: float | None = None) -> ValidationReport:
-    """V8: V1-V7 together.
+    """V8: V1-V7 together, from one scan of the table (:func:`counted_checks`).
 
     Long table columns: check_name, column_name, metric, value (double).  The verdict row
     holds is_valid, schema_valid, range_valid, categorical_valid,
@@ -187,46 +267,33 @@ def validate_full(df: DataFrame, spec: TableSpec = FOOD_SAFETY, strict: bool = F
     make the verdict false; with ``strict`` also range and domain failures;
     missing excess and duplicates never do.  Schema errors are kept in the long
     table alongside the others (the reference loses them when it rebuilds its
-    error list).
+    error list).  The other tables are computed when they are read, by scans of their own.
     """
     thr = spec.missing_threshold if missing_threshold is None else missing_threshold
     schema = schema_check(df, spec)
-    checks = fused_checks(df, spec)
-    dups = duplicate_count(df).withColumn("column_name", F.lit("*"))
-    for k in spec.duplicate_keys:
-        if k in df.columns:
-            dups = dups.unionByName(duplicate_count(df, [k]).withColumn("column_name", F.lit(k)))
-    dup_long = dups.select(F.lit("duplicates").alias("check_name"), "column_name",
-                           F.lit("count").alias("metric"), F.col("duplicates").cast("double").alias("value"))
+    counts = counted_checks(df, spec)
     schema_long = schema.select(F.concat(F.lit("schema_"), F.col("kind")).alias("check_name"), "column_name",
                                 F.lit("flag").alias("metric"), F.lit(1.0).alias("value"))
-    long = checks.unionByName(dup_long).unionByName(schema_long)
+    checks = _long_report(counts)
+    dups = checks.where("check_name = 'duplicates'") \
+        .select(F.col("value").cast("long").alias("duplicates"), "column_name")
+
+    def none_of(check: str) -> str:
+        return " + ".join(["0L"] + [_quoted(c) for c in counts.columns if c.startswith(check + "__")]) + " = 0"
 
     schema_valid = schema_is_valid(df, spec)
-    v = long.agg(
-        F.coalesce(F.sum(F.when((F.col("check_name") == "range_violations"), F.col("value"))), F.lit(0.0)).alias("_rv"),
-        F.coalesce(F.sum(F.when((F.col("check_name") == "invalid_categories"), F.col("value"))), F.lit(0.0)).alias("_iv"),
-        F.coalesce(F.max(F.when((F.col("check_name") == "missing") & (F.col("metric") == "ratio"),
-                                F.col("value"))), F.lit(0.0)).alias("_mr"),
-        F.max(F.when(F.col("check_name") == "rows", F.col("value"))).cast("long").alias("n_samples"),
-        F.max(F.when((F.col("check_name") == "duplicates") & (F.col("column_name") == "*"),
-                     F.col("value"))).cast("long").alias("total_duplicates"),
-    )
-    range_valid = F.col("_rv") == 0
-    cat_valid = F.col("_iv") == 0
-    is_valid = F.lit(schema_valid)
-    if strict:
-        is_valid = is_valid & range_valid & cat_valid
-    verdict = v.select(
-        is_valid.alias("is_valid"), F.lit(schema_valid).alias("schema_valid"),
-        range_valid.alias("range_valid"), cat_valid.alias("categorical_valid"),
-        (F.col("_mr") <= F.lit(thr)).alias("missing_acceptable"),
-        "n_samples", F.lit(len(df.columns)).alias("n_features"), "total_duplicates")
+    valid = str(schema_valid).lower()
+    strictly = f" AND {none_of('range_violations')} AND {none_of('invalid_categories')}" if strict else ""
+    acceptable = " AND ".join(["true"] + [f"{_ratio(f'missing__{c}')} <= {float(thr)!r}D" for c in df.columns])
+    verdict = counts.selectExpr(
+        f"{valid}{strictly} AS is_valid", f"{valid} AS schema_valid", f"{none_of('range_violations')} AS range_valid",
+        f"{none_of('invalid_categories')} AS categorical_valid", f"{acceptable} AS missing_acceptable",
+        "rows AS n_samples", f"{len(df.columns)} AS n_features", "`duplicates__*` AS total_duplicates")
     return ValidationReport(schema=schema, ranges=range_violations(df, spec),
                             categories=invalid_category_counts(df, spec),
                             invalid_values=invalid_categories(df, spec),
                             missing=missing_values(df, thr), duplicates=dups,
-                            long=long, verdict=verdict)
+                            long=checks.unionByName(schema_long), verdict=verdict)
 
 
 # ------------------------------------------------------------------ V9 row schema

@@ -4,11 +4,13 @@ A window with ``orderBy`` and no ``partitionBy`` runs in one task.  These
 helpers give the same answers (global row index, global running aggregates,
 exact per-group rank) with the work spread over many tasks:
 
-* :func:`row_index` - cut the order key into value-range buckets (approximate
-  quantiles), number rows inside each bucket, add the row counts of all
-  earlier buckets (a table with one row per bucket, so its size is bounded by
-  the bucket count).  Buckets are a function of the value, so the answer does
-  not depend on partitioning, plan shape or task retries.
+* :func:`ranged` - rows range-partitioned by all order columns and a hash of the whole
+  row, sorted, numbered inside their range and written once.  The hash spreads rows that
+  agree in every order column over several ranges, so a value that a third of the rows
+  hold is no larger task than any other.  Spark samples the bounds in tasks; what is
+  written is fixed, so later stages and retries see the same ranges.
+* :func:`row_index` - place in the range plus the row counts of all earlier ranges
+  (a table with one row per range, so its size is bounded by their number).
 * :func:`prefix_agg` - the same structure for running sums / maxima.
 * :func:`bucketed_rank` - an exact rank within a group, ordered by a hash: the
   hash prefix splits every group into many buckets, so a class holding a third
@@ -21,7 +23,6 @@ from typing import Sequence, Union
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saferow.session import scratch_path
 
@@ -39,59 +40,48 @@ def _sorted(order_cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
 
 
-def range_buckets(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None,
-                  out: str = "_bucket", descending: bool = False) -> DataFrame:
-    """Add a bucket number that is a range of the leading order column.
+#: Bits of Spark's row numbers that count inside a partition.
+_PLACE_BITS = 33
 
-    Boundaries are approximate quantiles (one pass, ``n_buckets - 1`` values
-    collected), so buckets hold similar row counts; the bucket of a row depends
-    only on its value, never on partitioning or task retries.  The leading
-    column must be numeric; NULLs go to the first bucket (ascending) or the
-    last (descending), as Spark sorts them.
+
+def ranged(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None,
+           descending: bool = False) -> DataFrame:
+    """The rows of ``df`` with ``_bucket`` (number of their range of the order) and
+    ``_place`` (0-based place in it), stored.
+
+    Rows equal in all order columns follow each other by a hash of all their columns
+    (map columns apart); only rows equal in every column are sure to share a range.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    n = n_buckets or max(2 * _n_parts(df, None), 16)
-    lead, desc = F.col(order_cols[0]), descending
-    key = (-lead.cast("double")) if desc else lead.cast("double")
-    key = F.coalesce(key, F.lit(float("inf") if desc else float("-inf")))
-    keyed = df.withColumn("_bkey", key)
-    probs = [i / n for i in range(1, n)]
-    qs = keyed.where(F.col("_bkey").isNotNull()).approxQuantile("_bkey", probs, 1.0 / (10 * n)) if n > 1 else []
-    bounds = sorted({q for q in qs if q not in (float("inf"), float("-inf"))})
-    splits = [float("-inf")] + bounds + [float("inf")]
-    if len(splits) < 3:
-        return keyed.withColumn(out, F.lit(0)).drop("_bkey")
-    b = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_bk", handleInvalid="keep")
-    return b.transform(keyed).withColumn(out, F.col("_bk").cast("int")).drop("_bkey", "_bk")
+    n = n_buckets or _n_parts(df, None)
+    hashed = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = _sorted(order_cols, descending) + [F.col("_tie")]
+    number = F.monotonically_increasing_id()  # partition number, then place in the sorted partition
+    path = scratch_path(df.sparkSession, "ranges")
+    (df.withColumn("_tie", F.xxhash64(*hashed)).repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("_number", number).drop("_tie").write.parquet(path))
+    stored = df.sparkSession.read.parquet(path)
+    return (stored.withColumn("_bucket", F.shiftright("_number", _PLACE_BITS))
+            .withColumn("_place", F.col("_number").bitwiseAND((1 << _PLACE_BITS) - 1)).drop("_number"))
+
+
+def _before(totals: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Aggregates over all earlier ranges.  One row per range, so one window task is bounded."""
+    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(totals.select("_bucket", *[e.over(w).alias(name) for name, e in sums.items()]))
 
 
 def row_index(df: DataFrame, order_cols: Sequence[str], out: str = "row_idx",
               n_buckets: int | None = None, descending: bool = False) -> DataFrame:
-    """0-based global row index in ``order_cols`` order (the order must be unique).
+    """0-based global row index in ``order_cols`` order, for any orderable columns.
 
-    Rows are numbered inside value-range buckets (a window per bucket, so the
-    work is spread over all buckets); each bucket's offset is the row count of
-    the buckets before it, from a table with one row per bucket (broadcast).
+    Rows equal in all order columns take consecutive numbers, ordered by a hash of the
+    row.  Rows move once (the range partitioning); the numbers are places in the
+    sorted ranges plus each range's offset.
     """
-    order = _sorted(order_cols, descending)
-    if isinstance(df.schema[order_cols[0]].dataType, T.NumericType):
-        b = range_buckets(df, order_cols, n_buckets, descending=descending)
-    else:
-        # Spark's own range partitioning of any ordered type; written once, so the
-        # sampled bounds are the same in the counts and in the numbering
-        n = n_buckets or max(2 * _n_parts(df, None), 16)
-        path = scratch_path(df.sparkSession, "ranges")
-        df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id()).write.parquet(path)
-        b = df.sparkSession.read.parquet(path)
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per bucket: a single-task window over a table of bounded size
-    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    w_local = Window.partitionBy("_bucket").orderBy(*order)
-    return (b.join(F.broadcast(offsets), "_bucket")
-            .withColumn(out, F.col("_off") + F.row_number().over(w_local) - 1)
-            .drop("_bucket", "_off"))
+    b = ranged(df, order_cols, n_buckets, descending)
+    offsets = _before(b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), {"_off": F.sum("_n")})
+    return (b.join(offsets, "_bucket").withColumn(out, F.coalesce("_off", F.lit(0)) + F.col("_place"))
+            .drop("_bucket", "_place", "_off"))
 
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -104,20 +94,15 @@ def prefix_agg(df: DataFrame, order_cols: Sequence[str], aggs: dict[str, str],
     ``aggs`` maps a column to ``sum``, ``max`` or ``min``; the result gets
     ``<column><suffix>``.  Rows with equal order values are distinct rows of the
     running sequence, so pass a unique order (or aggregate ties first).  Same
-    structure as :func:`row_index`: running aggregates inside value-range
-    buckets plus the broadcast totals of all earlier buckets.
+    structure as :func:`row_index`: running aggregates inside ranges of the order
+    plus the broadcast totals of all earlier ranges.
     """
-    order = _sorted(order_cols, descending)
-    b = range_buckets(df, order_cols, n_buckets, descending=descending)
-    w_local = (Window.partitionBy("_bucket").orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    b = ranged(df, order_cols, n_buckets, descending)
+    w_local = Window.partitionBy("_bucket").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = b.select("*", *[_AGG[a](F.col(c)).over(w_local).alias(c + "_local") for c, a in aggs.items()])
     totals = b.groupBy("_bucket").agg(*[_AGG[a](F.col(c)).alias(c + "_part") for c, a in aggs.items()])
-    w_prev = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[
-        _AGG[a](F.col(c + "_part")).over(w_prev).alias(c + "_prev") for c, a in aggs.items()
-    ])
-    joined = local.join(F.broadcast(offsets), "_bucket")
+    offsets = _before(totals, {c + "_prev": _AGG[a](F.col(c + "_part")) for c, a in aggs.items()})
+    joined = local.join(offsets, "_bucket")
     outs = []
     for c, a in aggs.items():
         prev, cur = F.col(c + "_prev"), F.col(c + "_local")
@@ -128,7 +113,7 @@ def prefix_agg(df: DataFrame, order_cols: Sequence[str], aggs: dict[str, str],
         else:
             val = F.least(prev, cur)
         outs.append(val.alias(c + suffix))
-    drop = ["_bucket"] + [c + "_prev" for c in aggs] + [c + "_local" for c in aggs]
+    drop = ["_bucket", "_place"] + [c + "_prev" for c in aggs] + [c + "_local" for c in aggs]
     return joined.select("*", *outs).drop(*drop)
 
 

@@ -121,7 +121,7 @@ def v6_duplicate_rows(spark, sf):
     li = FX.table(spark, sf, "lineitem")
     s = samples_df(spark, sf)
     parts = [
-        Q.duplicate_count(li).select(F.lit("lineitem_rows").alias("subset_name"), "duplicates"),
+        Q.duplicate_count(li, compare=True).select(F.lit("lineitem_rows").alias("subset_name"), "duplicates"),
         Q.duplicate_count(li, ["l_orderkey", "l_linenumber"])
         .select(F.lit("lineitem_order_line").alias("subset_name"), "duplicates"),
         Q.duplicate_count(s, ["food_type", "packaging_type"])

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from saferow.operators.ranks import bucketed_rank, hash_order_key, prefix_agg, row_index
+from saferow.operators.ranks import bucketed_rank, hash_order_key, prefix_agg, ranged, row_index
 
 from core_data import SF01
 
@@ -55,3 +55,25 @@ def test_same_result_any_partitioning(spark, samples):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
+
+
+def test_row_index_over_several_columns_with_a_hot_key(spark):
+    """A key that half of the rows hold is spread over many ranges; places stay right."""
+    rows = [(7 if i % 2 else i % 5, None if i % 3 else f"k{i % 11}", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a int, b string, i int")
+    got = row_index(df, ["a", "b"], n_buckets=16)
+    plain = Window.orderBy("a", "b").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    checked = got.withColumn("upto", F.count(F.lit(1)).over(plain)) \
+        .withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("a", "b")))
+    assert checked.where((F.col("row_idx") >= F.col("upto")) | (F.col("row_idx") < F.col("upto") - F.col("same"))).isEmpty()
+    assert sorted(r["row_idx"] for r in got.collect()) == list(range(4000))
+    sizes = [r["n"] for r in ranged(df, ["a", "b"], n_buckets=16).groupBy("_bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 4000 / 16
+
+
+def test_row_index_of_nulls_texts_and_empty_tables(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("a",)], "k string")
+    assert sorted((r["row_idx"], r["k"]) for r in row_index(df, ["k"]).collect()) == [(0, None), (1, "a"), (2, "a"), (3, "b")]
+    assert sorted((r["row_idx"], r["k"]) for r in row_index(df, ["k"], descending=True).collect()) \
+        == [(0, "b"), (1, "a"), (2, "a"), (3, None)]
+    assert row_index(df.limit(0), ["k"]).isEmpty()

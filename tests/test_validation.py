@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from saferow.functions.exprs import nan_to_null
 from saferow.operators import quality as Q
 
+from core_data import SF01
+
 
 def as_dict(df, k, v):
     return {r[k]: r[v] for r in df.collect()}
@@ -91,3 +93,38 @@ def test_all_null_column_is_left_alone(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "temperature double, ph_level double")
     out = Q.clean(df).collect()
     assert [r["temperature"] for r in out] == [None, None]
+
+
+def test_digests_keep_null_places_apart(spark):
+    rows = [(1, None, 0.0), (None, 1, 0.0), (1, None, -0.0), (None, None, float("nan")), (None, None, float("nan")),
+            (None, None, None), (1, 1, 0.0)]
+    df = spark.createDataFrame(rows, "a int, b int, c double")
+    for compare in (False, True):
+        assert Q.duplicate_count(df, compare=compare).first()[0] == 2
+    assert Q.duplicate_count(df.limit(0)).first()[0] == 0
+
+
+def test_report_counts_from_one_scan(spark, samples):
+    df = samples.unionByName(samples.limit(50))
+    counts = Q.counted_checks(df).first()
+    assert counts["rows"] == df.count()
+    assert counts["duplicates__*"] == 50 == Q.duplicate_count(df, compare=True).first()[0]
+    assert counts["duplicates__supplier_id"] == Q.duplicate_count(df, ["supplier_id"]).first()[0]
+    for check, table, value in (("range_violations", Q.range_violations(df), "violations"),
+                                ("invalid_categories", Q.invalid_category_counts(df), "invalid"),
+                                ("missing", Q.missing_values(df), "missing_count")):
+        for c, n in as_dict(table, "column_name", value).items():
+            assert counts[f"{check}__{c}"] == n
+    scan = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    plan = Q.validate_full(scan).long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_report_of_an_empty_table_and_odd_names(spark, valid_rows):
+    empty = {(r["check_name"], r["column_name"], r["metric"]): r["value"] for r in Q.validate_full(valid_rows.limit(0)).long.collect()}
+    assert set(empty.values()) == {0.0}
+    odd = valid_rows.withColumn("a.b c", F.lit(None).cast("string"))
+    got = Q.validate_full(odd, missing_threshold=0.5)
+    assert got.long.where("check_name = 'missing' AND column_name LIKE 'a.b%' AND value > 0").count() == 2
+    v = got.verdict.first()
+    assert v["is_valid"] and not v["missing_acceptable"] and v["n_samples"] == 3 and v["total_duplicates"] == 0
