@@ -806,6 +806,36 @@ def s2_s7_json_round_trip(spark, sf):
     return SRC.read_table(spark, path, schema=SAMPLES_SCHEMA).select(*ALL_SAMPLE_COLS)
 
 
+def _as_arrays(spark, sf, folder: str, parts: int) -> None:
+    """The samples as files of one JSON array each, the array in one line."""
+    s = samples_df(spark, sf)
+    text = F.to_json(F.struct(*[F.col(c) for c in s.columns]), {"ignoreNullFields": "false"})
+    one = s.select(F.pmod(F.xxhash64("sample_key"), F.lit(parts)).alias("part"), text.alias("t")) \
+        .groupBy("part").agg(F.concat(F.lit("["), F.array_join(F.collect_list("t"), ", "), F.lit("]")).alias("value"))
+    one.select("value").repartition(parts).write.text(folder + "/plain")
+    one.where("part % 2 = 0").select("value").write.option("compression", "gzip").text(folder + "/sub/zipped")
+
+
+@register("s2_json_array_files", "SELECT * FROM samples")
+def s2_json_array_files(spark, sf):
+    """Files that are one array in one line each, cut into byte ranges."""
+    path = scratch_path(spark, "arrays")
+    _as_arrays(spark, sf, path, 3)
+    return SRC.read_table(spark, path + "/plain", "json", schema=SAMPLES_SCHEMA).select(*ALL_SAMPLE_COLS)
+
+
+@register("s2_json_compressed_and_nested", """SELECT sample_key, count(*) AS n FROM (SELECT sample_key FROM samples
+UNION ALL SELECT sample_key FROM samples) GROUP BY 1""")
+def s2_json_compressed_and_nested(spark, sf):
+    """One folder with plain array files, compressed array files in a sub-folder and
+    compressed JSON Lines in another; the last two hold the samples once between them."""
+    path = scratch_path(spark, "arrays")
+    _as_arrays(spark, sf, path, 4)
+    rest = samples_df(spark, sf).where(F.pmod(F.xxhash64("sample_key"), F.lit(4)) % 2 != 0)
+    rest.write.option("compression", "gzip").json(path + "/more/lines")
+    return SRC.read_table(spark, path, "json", schema=SAMPLES_SCHEMA).groupBy("sample_key").agg(F.count("*").alias("n"))
+
+
 @register("s3_s8_parquet_round_trip", "SELECT * FROM samples")
 def s3_s8_parquet_round_trip(spark, sf):
     path = scratch_path(spark, "samples") + ".parquet"

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import os
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Optional, Sequence, Union
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saferow.functions.exprs import nan_to_null
+from saferow.sources.json_arrays import read_arrays
 
 log = logging.getLogger(__name__)
 
@@ -85,39 +87,54 @@ def csv_bad_cells(spark: SparkSession, path: str, schema: Union[T.StructType, st
 
 
 def read_json(spark: SparkSession, path: str, schema: Optional[Union[T.StructType, str]] = None, **options) -> DataFrame:
-    """A file or folder of JSON; each file's first character says whether it is one
-    array or JSON Lines, the files of each kind are one scan, and the two are united.
-    An array file is read by one task (it cannot be cut)."""
+    """A file or folder of JSON, sub-folders included; each file's first character (after
+    its codec) says whether it is one array or JSON Lines.  The JSON Lines files are one
+    scan, the arrays are cut into elements by many tasks
+    (:mod:`saferow.sources.json_arrays`), and the two are united."""
     kinds: dict[bool, list[str]] = {True: [], False: []}
     for file, is_array in _json_kinds(spark, path):
         kinds[is_array].append(file)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    parts = [(spark.read if schema is None else spark.read.schema(schema))
-             .options(**{"multiLine": k, **options}).json(files) for k, files in kinds.items() if files]
-    if not parts:
-        return reader.options(**options).json(path)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    reader = (spark.read if schema is None else spark.read.schema(schema)).options(**options)
+    parts = []
+    if kinds[True]:
+        parts.append(read_arrays(spark, kinds[True], schema, **options))
+    if kinds[False]:
+        parts.append(reader.json(kinds[False]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else reader.json(path)
+
+
+#: Files whose first bytes are looked at together.
+PEEK_THREADS = 16
 
 
 def _json_kinds(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(file, is one array) of the data files at ``path``; reads a few bytes of each."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    status = fs.getFileStatus(p)
-    files = [s for s in fs.listStatus(p) if s.isFile()] if status.isDirectory() else [status]
-    out = []
-    for s in files:
-        if s.getPath().getName().startswith(("_", ".")) or s.getLen() == 0:
-            continue
-        stream = fs.open(s.getPath())
+    """(file, is one array) of the data files at and below ``path``; a few bytes of each are read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    found, files = fs.listFiles(p, True), []
+    root = fs.makeQualified(p).toUri().getPath().rstrip("/")
+    while found.hasNext():
+        s = found.next()
+        below = s.getPath().toUri().getPath()[len(root):].split("/")
+        if s.getLen() and not any(part.startswith(("_", ".")) for part in below):
+            files.append(s.getPath())
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def kind(file) -> tuple[str, bool]:
+        codec, stream = codecs.getCodec(file), fs.open(file)
         try:
+            if codec is not None:
+                stream = codec.createInputStream(stream)
             first = stream.read()
             while first in (32, 9, 10, 13, 0xEF, 0xBB, 0xBF):
                 first = stream.read()
         finally:
             stream.close()
-        out.append((s.getPath().toString(), first == ord("[")))
-    return out
+        return file.toString(), first == ord("[")
+
+    with ThreadPoolExecutor(PEEK_THREADS) as pool:
+        return list(pool.map(kind, files))
 
 
 def read_table(spark: SparkSession, path: str, file_format: Optional[str] = None,

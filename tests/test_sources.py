@@ -95,3 +95,59 @@ def test_json_folder_of_arrays_and_lines(spark, tmp_path):
     (d / "b.json").write_text('{"a": 3, "b": "z"}\n{"a": 4, "b": "u"}\n{"a": 5, "b": null}\n')
     for schema in (None, "a long, b string"):
         assert sorted(r["a"] for r in SRC.read_table(spark, str(d), schema=schema).collect()) == [1, 2, 3, 4, 5]
+
+
+HARD = [{"a": 1, "b": 'brace } and "quote" and \\\\ end \\\\', "c": {"d": [{"e": "}{]["}, {"e": "1"}]}}, {"a": 2, "b": "", "c": None},
+        {"a": 3, "b": "é\\ \\u007d ,[", "c": {"d": []}}, {"a": 4, "b": "x" * 700, "c": {"d": [{"e": "\\"}]}}]
+HARD_SCHEMA = "a long, b string, c struct<d array<struct<e string>>>"
+
+
+def _array_text(rows, indent=None):
+    import json
+    return json.dumps(rows, indent=indent, ensure_ascii=False)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("limit", ["64", "300", "1000000"])
+def test_one_array_read_by_many_tasks(spark, tmp_path, indent, limit):
+    """Any byte ranges give what one task reads."""
+    rows = [{**r, "a": r["a"] + 10 * k} for k in range(40) for r in HARD]
+    (tmp_path / "big.json").write_text(_array_text(rows, indent), encoding="utf-8")
+    (tmp_path / "one.json").write_text(_array_text(rows[:1], indent), encoding="utf-8")
+    whole = spark.read.schema(HARD_SCHEMA).option("multiLine", True)
+    options = {"spark.sql.files.maxPartitionBytes": limit, "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in options}
+    for name in ("big.json", "one.json"):
+        want = sorted(whole.json(str(tmp_path / name)).collect())
+        try:
+            for k, v in options.items():
+                spark.conf.set(k, v)
+            got = SRC.read_json(spark, str(tmp_path / name), HARD_SCHEMA)
+            tasks = spark.read.option("lineSep", "}").text(str(tmp_path / name)).rdd.getNumPartitions()
+            assert sorted(got.collect()) == want
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert tasks > 1 or limit == "1000000" or name == "one.json"
+
+
+def test_json_compressed_nested_and_hidden(spark, tmp_path):
+    import gzip
+    (tmp_path / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "_temporary").mkdir()
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(_array_text([{"a": 1}, {"a": 2}]).encode()))
+    (tmp_path / "sub" / "lines.json.gz").write_bytes(gzip.compress(b'{"a": 3}\n{"a": 4}\n'))
+    (tmp_path / "sub" / "deep" / "b.json").write_text("\ufeff [ ]")
+    (tmp_path / "sub" / "deep" / "c.json").write_text(_array_text([{"a": 5, "n": "new"}]))
+    (tmp_path / "_temporary" / "d.json").write_text(_array_text([{"a": 99}]))
+    (tmp_path / "empty.json").write_text("")
+    for schema in (None, "a long, n string"):
+        df = SRC.read_json(spark, str(tmp_path), schema)
+        assert sorted((r["a"], r["n"]) for r in df.collect()) == [(1, None), (2, None), (3, None), (4, None), (5, "new")]
+
+
+def test_json_array_cut_short_is_an_error(spark, tmp_path):
+    for text in ('[{"a": 1}, {"a": 2', '[{"a": 1}, {"a": "x}]', '[{"a": 1}'):
+        (tmp_path / "cut.json").write_text(text)
+        with pytest.raises(ValueError, match="cut.json is not one whole"):
+            SRC.read_json(spark, str(tmp_path / "cut.json"), "a long")
