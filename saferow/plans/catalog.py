@@ -1121,6 +1121,59 @@ def i6_stream_score_chunks(spark, sf):
     return read_scored(spark, out).select("sample_key", "batch_id", "prediction", "risk_codes", "recommendation")
 
 
+def _scored_chunks(spark, sf, broken: Optional[int] = None, headless: Optional[int] = None):
+    """The samples in key order as 6 CSV chunks, streamed one a micro-batch; chunk ``broken`` is
+    a damaged gzip file, chunk ``headless`` has other columns.  Gives the output folder."""
+    from saferow.operators.ranks import row_index
+    from saferow.streaming.scoring import finish, stream_score
+    fitted, _, _ = _prepared(spark, sf)
+    m = _model(spark, sf, "logistic_regression")
+    numbered = row_index(samples_df(spark, sf), ["sample_key"], out="_at")
+    total = numbered.count()
+    src, out = scratch_path(spark, "chunks-in"), scratch_path(spark, "chunks-out")
+    for k in range(6):  # one write each: the stream takes files by age
+        part = numbered.where((F.col("_at") * 6 >= k * total) & (F.col("_at") * 6 < (k + 1) * total)).drop("_at")
+        part = part.withColumnRenamed("ph_level", "acidity") if k + 1 == headless else part
+        part.coalesce(1).write.option("header", True).csv(f"{src}/chunk={k}")
+        if k + 1 == broken:
+            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(f"{src}/chunk={k}")
+            fs = folder.getFileSystem(conf)
+            fs.delete(folder, True)
+            stream = fs.create(jvm.org.apache.hadoop.fs.Path(folder, "part-0.csv.gz"))
+            stream.write(bytearray(b"\x1f\x8b\x08\x00" + b"damaged" * 9))
+            stream.close()
+    finish(spark, stream_score(spark, f"{src}/chunk=*", SAMPLES_SCHEMA, m, fitted, out, files_per_batch=1), out)
+    return out
+
+
+_CHUNKS = """c AS (SELECT *, CAST(floor(pos * 6 / n) AS BIGINT) + 1 AS chunk FROM
+  (SELECT sample_key, row_number() OVER (ORDER BY sample_key) - 1 AS pos, count(*) OVER () AS n FROM samples) s)"""
+
+
+@register("i6_stream_sample_ids", f"""WITH {_CHUNKS} SELECT sample_key, pos AS sample_id, chunk AS batch_id FROM c""")
+def i6_stream_sample_ids(spark, sf):
+    """Sample ids that run over the chunks of a stream equal those of the whole table."""
+    from saferow.streaming.scoring import read_scored
+    return read_scored(spark, _scored_chunks(spark, sf)).select("sample_key", "sample_id", F.col("batch_id").cast("long").alias("batch_id"))
+
+
+@register("i7_skipped_chunks", f"""WITH {_CHUNKS}
+SELECT batch_id, status, CAST(n_rows AS BIGINT) AS n_rows,
+       CAST(coalesce(sum(n_rows) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+         AS first_sample_id, CASE WHEN status = 'scored' THEN n_rows ELSE 0 END AS scored_rows
+FROM (SELECT chunk AS batch_id, CASE WHEN chunk IN (2, 5) THEN 'failed' ELSE 'scored' END AS status,
+             CASE WHEN chunk IN (2, 5) THEN 0 ELSE count(*) END AS n_rows FROM c GROUP BY chunk) g""")
+def i7_skipped_chunks(spark, sf):
+    """The ledger of a stream in which chunk 2 cannot be read and chunk 5 lacks a column; the rest
+    is scored and the two batch ids stay unused."""
+    from saferow.streaming.scoring import read_ledger, read_scored
+    out = _scored_chunks(spark, sf, broken=2, headless=5)
+    rows = read_scored(spark, out).groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(F.count("*").alias("scored_rows"))
+    return read_ledger(spark, out).join(rows, "batch_id", "left") \
+        .select("batch_id", "status", "n_rows", "first_sample_id", F.coalesce("scored_rows", F.lit(0)).alias("scored_rows"))
+
+
 @register("f15_features_save_load", _std_sql())
 def f15_features_save_load(spark, sf):
     """the fitted preparation saved with Spark ML writers, loaded back and
