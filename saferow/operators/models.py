@@ -22,7 +22,7 @@ from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, Lo
                                        LogisticRegressionModel, RandomForestClassificationModel,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saferow.operators.split import balanced_weight
@@ -99,7 +99,7 @@ def spark_params(model_type: str, params: dict[str, Any], n_rows: Optional[float
         out["standardization"] = False
         out["tol"] = float(p.get("tol", 1e-4))
     else:
-        raise ValueError(f"Unsupported model type: {model_type}")
+        raise ValueError(f"no classifier {model_type!r}; there are {', '.join(MODEL_TYPES)}")
     return out
 
 
@@ -181,6 +181,25 @@ class TrainedModel:
         return TrainedModel(model=cls.load(os.path.join(path, "model")), **meta)
 
 
+def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
+    """The boosted ensemble of the first ``k`` trees of ``model``: what a fit of ``k``
+    rounds with the same seed gives, since later rounds change no earlier tree."""
+    java, spark = model._java_obj, SparkSession.getActiveSession()  # noqa: SLF001
+    trees, weights = java.trees(), java.treeWeights()
+    k = min(int(k), len(trees))
+    gateway = spark.sparkContext._gateway  # noqa: SLF001
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    scale = gateway.new_array(gateway.jvm.double, k)
+    for i in range(k):
+        kept[i], scale[i] = trees[i], weights[i]
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), kept, scale, java.numFeatures(), java.numClasses())
+    settings = java.extractParamMap().toSeq()  # columns, thresholds and the other settings of the fit
+    for i in range(settings.size()):
+        cut.set(settings.apply(i))
+    return GBTClassificationModel(cut)
+
+
 def best_round(losses: list[float], patience: int) -> int:
     """Round-based early stopping: training stops once ``patience`` rounds pass
     without a new best validation loss; the model keeps rounds up to the best."""
@@ -206,23 +225,19 @@ def train(df: DataFrame, model_type: str = "xgboost", params: dict[str, Any] | N
     With ``early_stopping_rounds`` the rule is the reference's: the validation
     loss of every round (``evaluateEachIteration``, one distributed pass) picks
     the best round before ``early_stopping_rounds`` rounds without improvement,
-    and the model is refit with that many rounds (same seed, so the same first
-    trees).  Without it, Spark's ``validationTol`` rule applies.
+    and the one fitted ensemble is cut to its trees up to that round
+    (:func:`first_trees`).  Without it, Spark's ``validationTol`` rule applies.
     """
     if early_stopping_rounds and validation and model_type in BOOSTING:
-        fit_rows = df.where(~F.col(validation))
-        held = df.where(F.col(validation))
-        full = train(fit_rows, model_type, params, seed, class_weight, sample_weight, None,
+        full = train(df.where(~F.col(validation)), model_type, params, seed, class_weight, sample_weight, None,
                      feature_names, features, label)
-        losses = list(full.model.evaluateEachIteration(held))
+        losses = list(full.model.evaluateEachIteration(df.where(F.col(validation))))
         rounds = best_round(losses, early_stopping_rounds) + 1
-        if rounds >= len(losses):
-            return full
-        tuned = {**(params or {}), "n_estimators": rounds}
-        return train(fit_rows, model_type, tuned, seed, class_weight, sample_weight, None,
-                     feature_names, features, label)
+        full.model = first_trees(full.model, rounds)
+        full.params["n_estimators"] = rounds
+        return full
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Unsupported model type: {model_type}")
+        raise ValueError(f"no classifier {model_type!r}; there are {', '.join(MODEL_TYPES)}")
     data = df
     weight = sample_weight
     if class_weight == "balanced" and model_type in ("random_forest", "logistic_regression"):

@@ -982,6 +982,34 @@ def t7_early_stopping(spark, sf):
                       F.lit(int(m.model.getNumTrees)).alias("num_trees"))
 
 
+@register("t7_cut_equals_refit", f"""WITH {_rank_sql('safety_status')}
+SELECT sample_key, true AS same, true AS fewer FROM r WHERE rk < round(n * 2e-1)""")
+def t7_cut_equals_refit(spark, sf):
+    """The ensemble that early stopping cuts (one fit) predicts what a second fit of that many
+    rounds would; a large step makes it stop early."""
+    fitted, tr, te = _prepared(spark, sf)
+    data = tr.withColumn("is_val", (F.col("sample_key") % 8) == 0)
+    params = {"n_estimators": 12, "max_depth": 3, "learning_rate": 0.9}
+    m = MD.train(data, "xgboost", params, validation="is_val", early_stopping_rounds=2)
+    k = int(m.model.getNumTrees)
+    again = MD.train(data.where("NOT is_val"), "xgboost", {**params, "n_estimators": k})
+    other = again.predict(te, keep=["sample_key"]).select("sample_key", F.col("prob_1").alias("other"))
+    return m.predict(te, keep=["sample_key"]).join(other, "sample_key") \
+        .select("sample_key", (F.abs(F.col("prob_1") - F.col("other")) < 1e-12).alias("same"), F.lit(k < 12).alias("fewer"))
+
+
+@register("t11_cross_validation_facts", """SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS fold, true AS better_than_chance,
+       true AS mean_agrees""", with_fixtures=False)
+def t11_cross_validation_facts(spark, sf):
+    """Five scores of the linear model, each above the all-unsafe guess of its fold, and their mean."""
+    fitted, tr, _ = _prepared(spark, sf)
+    folded = S.assign_folds(tr.withColumn("safety_status", F.col("label")), "sample_key", "safety_status", 5, 42)
+    per_fold, summary = H.cross_validate(folded, "logistic_regression", k=5, metric="roc_auc")
+    mean = per_fold.agg(F.avg("score").alias("m")).crossJoin(summary.select("mean_score"))  # one row each
+    return per_fold.crossJoin(mean).select("fold", (F.col("score") > 0.5).alias("better_than_chance"),
+                                           (F.abs(F.col("m") - F.col("mean_score")) < 1e-12).alias("mean_agrees"))
+
+
 @register("t8_predict_proba")
 def t8_predict_proba(spark, sf):
     _, _, te = _prepared(spark, sf)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from saferow.operators import features as FE
 from saferow.operators import metrics as M
 from saferow.operators import models as MD
+from saferow.operators import search as HS
 from saferow.operators import scoring as I
 from saferow.operators import search as H
 from saferow.operators import split as S
@@ -151,3 +152,51 @@ def test_unknown_names_are_errors():
     with pytest.raises(ValueError):
         S.evaluator("f2")
     assert all("gamma" not in c and "reg_alpha" not in c for c in S.draw_candidates("xgboost", 5))
+
+
+def _two_features(spark, n=400):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(n).select(F.col("id"), F.pmod(F.xxhash64("id"), F.lit(97)).cast("double").alias("a"),
+                               F.pmod(F.xxhash64("id", F.lit(1)), F.lit(89)).cast("double").alias("b"))
+    noisy = (F.col("a") + F.col("b") / 3 + F.pmod(F.xxhash64("id", F.lit(2)), F.lit(60)) > 90).cast("double")
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumn("label", noisy))
+
+
+def test_early_stopping_cuts_the_one_fitted_ensemble(spark, monkeypatch):
+    df = _two_features(spark).withColumn("held", F.col("id") % 4 == 0)
+    params = {"n_estimators": 15, "max_depth": 4, "learning_rate": 0.9, "subsample": 0.7}
+    fits = []
+    plain = MD.make_estimator
+    monkeypatch.setattr(MD, "make_estimator", lambda *a, **k: fits.append(a) or plain(*a, **k))
+    m = MD.train(df, "xgboost", params, validation="held", early_stopping_rounds=2)
+    k = m.model.getNumTrees
+    assert len(fits) == 1 and 1 <= k < 15 and m.params["n_estimators"] == k
+    again = MD.train(df.where("NOT held"), "xgboost", {**params, "n_estimators": k})
+    probs = lambda x: [r["prob_1"] for r in x.predict(df).orderBy("id").collect()]
+    assert probs(m) == probs(again)
+    path = scratch_path(spark, "cut")
+    m.save(path)
+    assert probs(MD.TrainedModel.load(path)) == probs(m)
+
+
+def test_folds_are_fitted_at_the_same_time_and_leave_no_cache(spark):
+    import threading
+    df = _two_features(spark).withColumn("fold", (F.col("id") % 3).cast("int"))
+    seen, plain = set(), HS.make_estimator
+    gate = threading.Barrier(3, timeout=60)
+
+    def slow(*a, **k):
+        seen.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        gate.wait()  # passes only if all three folds are under way together
+        return plain(*a, **k)
+
+    HS.make_estimator = slow
+    try:
+        per_fold, summary = HS.cross_validate(df, "logistic_regression", k=3, metric="accuracy")
+    finally:
+        HS.make_estimator = plain
+    scores = [r["score"] for r in per_fold.orderBy("fold").collect()]
+    assert seen == {"fold-0", "fold-1", "fold-2"} and len(scores) == 3 and min(scores) > 0.6
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty() or "fold" not in str(spark.sparkContext._jsc.getPersistentRDDs())
+    one = plain("logistic_regression", None, n_rows=df.where("fold != 1").count()).fit(df.where("fold != 1"))
+    assert abs(HS.evaluator("accuracy").evaluate(one.transform(df.where("fold = 1"))) - scores[1]) < 1e-9
