@@ -201,6 +201,18 @@ def fit_numeric_stats(df: DataFrame, numeric: Sequence[str], scaling: str,
     return fill, center, scale
 
 
+#: Categories of all columns together that may come to the driver as labels.
+MAX_LABELS = 1_000_000
+
+
+def _bounded_labels(df: DataFrame, categorical: Sequence[str]) -> None:
+    """The indexer holds all labels on the driver: more than ``MAX_LABELS`` are refused."""
+    if categorical:
+        about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+        if sum(about) > MAX_LABELS:
+            raise ValueError(f"about {sum(about)} categories: code them with saferow.operators.dictionary")
+
+
 class FeaturePrep:
     """The unfitted preparation; :meth:`fit` returns :class:`FittedFeatures`."""
 
@@ -222,6 +234,7 @@ class FeaturePrep:
         sel += [f"{_numeric_sql(c, fill.get(c), center.get(c, 0.0), scale.get(c, 1.0))} AS `{NUM_PREFIX}{c}`"
                 for c in numeric]
         sel += [f"coalesce(CAST(`{c}` AS STRING), '{MISSING}') AS `{CAT_PREFIX}{c}`" for c in categorical]
+        _bounded_labels(df, categorical)
         stages = [SQLTransformer(statement=f"SELECT {', '.join(sel)} FROM __THIS__")]
         idx_cols = [f"{CAT_PREFIX}{c}__idx" for c in categorical]
         ohe_cols = [f"{CAT_PREFIX}{c}__ohe" for c in categorical]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from saferow.functions import rules
 from saferow.functions.exprs import r6
+from saferow.operators import dictionary as DI
 from saferow.operators import metrics as M
 from saferow.operators import quality as Q
 from saferow.plans import fixtures as FX
@@ -633,6 +634,26 @@ def f8_one_hot_counts(spark, sf):
     return FE.one_hot_counts(fitted, fitted.transform(s))
 
 
+@register("f8_dictionary_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, coalesce({c}, 'missing') AS category, count(*) AS n_hot FROM samples "
+    f"GROUP BY coalesce({c}, 'missing')" for c in SPEC.categorical_features))
+def f8_dictionary_counts(spark, sf):
+    """F8 with the categories as a table that never comes to the driver."""
+    s = samples_df(spark, sf)
+    return DI.slot_counts(s, DI.fit_dictionary(s, SPEC.categorical_features))
+
+
+@register("f8_dictionary_vectors", "SELECT sample_key, true AS same FROM samples")
+def f8_dictionary_vectors(spark, sf):
+    """F8: the sparse vectors coded through the table equal those of the fitted pipeline."""
+    from pyspark.ml.functions import vector_to_array
+    s, fitted = _fit(spark, sf, "standard")
+    mine = DI.encode(s, DI.fit_dictionary(s, SPEC.categorical_features), fitted)
+    other = fitted.transform(s).select("sample_key", vector_to_array("features").alias("other"))
+    return mine.select("sample_key", vector_to_array("features").alias("v")).join(other, "sample_key") \
+        .select("sample_key", F.forall(F.zip_with("v", "other", lambda a, b: F.abs(a - b) < 1e-12), lambda x: x).alias("same"))
+
+
 @register("f9_fit_train_transform_test", f"""WITH {_rank_sql('safety_status')},
 sp AS (SELECT * FROM r WHERE rk >= round(n * 2e-1)),
 te AS (SELECT * FROM r WHERE rk < round(n * 2e-1)),
@@ -674,6 +695,13 @@ def f12_feature_names(spark, sf):
     return FE.names_frame(s.sparkSession, names)
 
 
+@register("f12_dictionary_names", _names_sql())
+def f12_dictionary_names(spark, sf):
+    """F12 as a table from the dictionary, at any number of categories."""
+    d = DI.fit_dictionary(samples_df(spark, sf), SPEC.categorical_features)
+    return DI.names_table(d, NUM)
+
+
 # ================================================================ H: search results (events as trials)
 from saferow.operators import search as H  # noqa: E402
 from saferow.operators import scoring as I  # noqa: E402
@@ -865,6 +893,47 @@ def s5_multi_file_union(spark, sf):
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SAMPLES_SCHEMA.fields])
 
 
+def _damaged(spark, path: str) -> str:
+    """A gzip file that breaks while it is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(conf).create(file)
+    stream.write(bytearray(b"\x1f\x8b\x08\x00" + b"damaged" * 9))
+    stream.close()
+    return path
+
+
+@register("s5_load_outcomes", """SELECT 1 AS no, 'loaded' AS status, count(*) AS n_rows FROM samples WHERE sample_key % 2 = 0
+UNION ALL SELECT 2, 'skipped', 0 UNION ALL SELECT 3, 'skipped', 0
+UNION ALL SELECT 4, 'loaded', count(*) FROM samples WHERE sample_key % 2 = 1
+UNION ALL SELECT 5, 'union', count(*) FROM samples""")
+def s5_load_outcomes(spark, sf):
+    """Outcome per path: Parquet, a CSV file that breaks while it is read, a path that does
+    not exist, CSV; and the rows of the union of the rest."""
+    s = samples_df(spark, sf)
+    base = scratch_path(spark, "outcomes")
+    SRC.write_table(s.where(F.col("sample_key") % 2 == 0), base + "-1.parquet")
+    SRC.write_table(s.where(F.col("sample_key") % 2 == 1), base + "-4.csv")
+    paths = [base + "-1.parquet", _damaged(spark, base + "-2.csv/part.csv.gz").rsplit("/", 1)[0], base + "-3.csv", base + "-4.csv"]
+    frames, outcomes = SRC.load_each(spark, paths, schema=SAMPLES_SCHEMA)
+    rows = outcomes.select(F.regexp_extract("path", r"-(\d)\.\w+$", 1).cast("int").alias("no"), "status", "n_rows")
+    union = frames[0].unionByName(frames[1]).agg(F.count("*").alias("n_rows"))
+    return rows.unionByName(union.select(F.lit(5).alias("no"), F.lit("union").alias("status"), "n_rows"))
+
+
+@register("s10_half_written", "SELECT o_orderkey AS sample_key, false AS taken, true AS sealed FROM orders", with_fixtures=False)
+def s10_half_written(spark, sf):
+    """A folder that a killed write left (a part file, no manifest, a write under way) is
+    not taken for the table: it is generated anew, and sealed."""
+    path = scratch_path(spark, "half") + ".parquet"
+    keys = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("sample_key"))
+    keys.limit(3).write.parquet(path + "/_temporary/0")
+    keys.limit(3).coalesce(1).write.mode("append").parquet(path + "/lost")
+    taken = SRC.is_complete(spark, path)
+    out = SRC.load_or_generate(spark, path, seed=42, keys=keys)
+    return out.select("sample_key", F.lit(taken).alias("taken"), F.lit(SRC.is_complete(spark, path)).alias("sealed"))
+
+
 @register("s11_chunked_csv_scan", """SELECT sample_key, safety_status, row_number() OVER (ORDER BY sample_key) - 1 AS sample_id,
   CAST(floor((row_number() OVER (ORDER BY sample_key) - 1) / 1000) + 1 AS BIGINT) AS batch_id FROM samples""")
 def s11_chunked_csv_scan(spark, sf):
@@ -1166,11 +1235,8 @@ def _scored_chunks(spark, sf, broken: Optional[int] = None, headless: Optional[i
         if k + 1 == broken:
             jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
             folder = jvm.org.apache.hadoop.fs.Path(f"{src}/chunk={k}")
-            fs = folder.getFileSystem(conf)
-            fs.delete(folder, True)
-            stream = fs.create(jvm.org.apache.hadoop.fs.Path(folder, "part-0.csv.gz"))
-            stream.write(bytearray(b"\x1f\x8b\x08\x00" + b"damaged" * 9))
-            stream.close()
+            folder.getFileSystem(conf).delete(folder, True)
+            _damaged(spark, f"{src}/chunk={k}/part-0.csv.gz")
     finish(spark, stream_score(spark, f"{src}/chunk=*", SAMPLES_SCHEMA, m, fitted, out, files_per_batch=1), out)
     return out
 

@@ -23,7 +23,7 @@ from saferow.operators import metrics as M
 from saferow.operators import models as MD
 from saferow.operators import search as H
 from saferow.operators import split as S
-from saferow.sources.files import write_lines
+from saferow.sources.files import is_complete, seal, write_lines
 from saferow.spec import FOOD_SAFETY, TableSpec
 
 
@@ -128,11 +128,15 @@ def full_run(df: DataFrame, out_dir: str, model_type: str = "xgboost", tune: boo
                                            "preprocess_sec double, train_sec double, evaluate_sec double, "
                                            "total_sec double, output_dir string")
     summary.write.mode("overwrite").parquet(os.path.join(out_dir, "summary"))
+    seal(spark, out_dir)
     return summary
 
 
 def load_run(spark: SparkSession, out_dir: str) -> tuple[FE.FittedFeatures, MD.TrainedModel, DataFrame]:
-    """Reload the preprocessor, the model and the summary of a saved run."""
+    """Reload the preprocessor, the model and the summary of a saved run; a run that was
+    killed, or whose files are not those it left, is an error."""
+    if not is_complete(spark, out_dir):
+        raise FileNotFoundError(f"no complete run in {out_dir}")
     fitted = FE.FittedFeatures.load(os.path.join(out_dir, "preprocessor"))
     model = MD.TrainedModel.load(os.path.join(out_dir, "model"))
     summary = spark.read.parquet(os.path.join(out_dir, "summary"))

@@ -7,12 +7,16 @@ runs.  Every read normalises NaN to NULL, the one missing-value marker.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Optional, Sequence, Union
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,18 +169,42 @@ def read_table(spark: SparkSession, path: str, file_format: Optional[str] = None
     return nan_to_null(df) if normalize_nan else df
 
 
+OUTCOME = "path string, status string, n_rows long, error string"
+#: Paths that are tried at the same time, and characters of an error that is kept.
+TRY_THREADS, ERROR_CHARS = 8, 2000
+
+
+def load_each(spark: SparkSession, paths: Sequence[str], file_format: Optional[str] = None,
+              schema: Optional[Union[T.StructType, str]] = None, **options) -> tuple[list[DataFrame], DataFrame]:
+    """(the tables that can be read, the outcome of every path: path, status, n_rows, error).
+
+    A path counts as readable only if every row and column of it was: one job per path
+    decodes all of it (nothing is stored), so a file that breaks in its middle is
+    skipped as a whole, as one that is missing.  Jobs run ``TRY_THREADS`` at a time."""
+    def attempt(path: str):
+        try:
+            df = read_table(spark, path, file_format, schema, **options)
+            decoded = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]) \
+                if df.columns else F.lit(0)
+            n = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(decoded).alias("all")).first()["n"]
+            return df, (path, "loaded", n, None)
+        except Exception as e:  # noqa: BLE001 - a path that fails is skipped, with a warning
+            if spark.sparkContext._jsc.sc().isStopped():  # noqa: SLF001
+                raise
+            log.warning("skipped %s: %s", path, e)
+            return None, (path, "skipped", 0, str(e)[:ERROR_CHARS])
+
+    with ThreadPoolExecutor(TRY_THREADS) as pool:
+        tried = [x.result() for x in [pool.submit(inheritable_thread_target(spark)(attempt), p) for p in paths]]
+    return [df for df, _ in tried if df is not None], spark.createDataFrame([o for _, o in tried], OUTCOME)
+
+
 def read_many(spark: SparkSession, paths: Sequence[str], file_format: Optional[str] = None,
               schema: Optional[Union[T.StructType, str]] = None, combine: bool = True,
               **options) -> Union[DataFrame, list[DataFrame]]:
-    """Load each path, skipping failures with a warning, then append with
-    columns aligned by name (gaps are NULL).  ``combine=False`` or nothing loaded
-    returns the list."""
-    frames = []
-    for p in paths:
-        try:
-            frames.append(read_table(spark, p, file_format, schema, **options))
-        except Exception as e:  # noqa: BLE001 - a path that fails is skipped, with a warning
-            log.warning("skipped %s: %s", p, e)
+    """The paths that can be read (:func:`load_each`), appended with columns aligned
+    by name (gaps are NULL).  ``combine=False`` or nothing loaded returns the list."""
+    frames, _ = load_each(spark, paths, file_format, schema, **options)
     if not combine or not frames:
         return frames
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -185,7 +213,7 @@ def read_many(spark: SparkSession, paths: Sequence[str], file_format: Optional[s
 def write_table(df: DataFrame, path: str, file_format: Optional[str] = None, mode: str = "overwrite",
                 **options) -> str:
     """Write CSV (header, no index), JSON (JSON Lines: one object per line,
-    not one array) or Parquet as a directory of part files."""
+    not one array) or Parquet as a directory of part files, and last its manifest."""
     fmt = detect_format(path, file_format)
     w = df.write.mode(mode).options(**options)
     if fmt == "csv":
@@ -194,9 +222,66 @@ def write_table(df: DataFrame, path: str, file_format: Optional[str] = None, mod
         w.json(path)
     else:
         w.parquet(path)
+    seal(df.sparkSession, path)
     return path
 
 
+#: Name of the manifest: Spark's readers pass over names that begin with an underscore.
+MANIFEST = "_manifest.json"
+
+
+def _data_files(fs, root) -> dict:
+    """What the manifest says: number and bytes of the data files below ``root``, and a hash of names and sizes."""
+    base, found, files = fs.makeQualified(root).toUri().getPath().rstrip("/"), fs.listFiles(root, True), []
+    while found.hasNext():
+        s = found.next()
+        below = s.getPath().toUri().getPath()[len(base) + 1:]
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
+            files.append((below, s.getLen()))
+    listing = "".join(f"{name} {size}\n" for name, size in sorted(files))
+    return {"files": len(files), "bytes": sum(n for _, n in files), "listing": hashlib.sha256(listing.encode()).hexdigest()}
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def seal(spark: SparkSession, path: str) -> None:
+    """Write the manifest of the finished folder ``path`` (data files of sub-folders
+    included); it appears whole or not at all, and after all it speaks of."""
+    fs, p = _hadoop(spark, path)
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    final, new = (jvm.org.apache.hadoop.fs.Path(p, name) for name in (MANIFEST, f"_{uuid.uuid4().hex}.tmp"))
+    stream = fs.create(new, True)
+    stream.write(bytearray(json.dumps(_data_files(fs, p)).encode()))
+    stream.close()
+    fs.delete(final, False)
+    if not fs.rename(new, final):
+        raise OSError(f"the manifest of {path} could not be put in place")
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a file, or a folder whose files are those of its manifest.  A folder
+    that another writer left has none: it is complete if it has Spark's success mark, or
+    holds data and no sign of a write under way."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    if fs.getFileStatus(p).isFile():
+        return True
+    manifest = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, MANIFEST)  # noqa: SLF001
+    if fs.exists(manifest):
+        stream = fs.open(manifest)
+        try:
+            said = json.loads(bytes(stream.readAllBytes()))
+        finally:
+            stream.close()
+        return said == _data_files(fs, p)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return "_SUCCESS" in names or "_temporary" not in names and _data_files(fs, p)["files"] > 0
+
+
 def write_lines(lines: DataFrame, path: str) -> str:
     """A one-column string table as a text file (one part)."""
     lines.coalesce(1).write.mode("overwrite").text(path)
@@ -206,10 +291,11 @@ def write_lines(lines: DataFrame, path: str) -> str:
 def load_or_generate(spark: SparkSession, path: str, n_samples: int = 5000, seed: int = 42,
                      contamination_ratio: float = 0.3, file_format: Optional[str] = None,
                      schema: Optional[T.StructType] = None, keys: Optional[DataFrame] = None) -> DataFrame:
-    """Read the table if the path exists, else generate it (``n_samples``
-    rows, or one per row of ``keys``), persist it there and read the persisted
-    copy back (so later stages do not recompute it)."""
-    if path_exists(spark, path):
+    """Read the table if the path holds a complete one (:func:`is_complete`), else
+    generate it (``n_samples`` rows, or one per row of ``keys``), persist it there and read
+    the persisted copy back (so later stages do not recompute it).  What a killed write
+    left is not taken for a table: it is written anew."""
+    if is_complete(spark, path):
         return read_table(spark, path, file_format, schema)
     from saferow.sources.synth import generate
 

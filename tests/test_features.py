@@ -1,7 +1,9 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
+from saferow.operators import dictionary as DI
 from saferow.operators import features as FE
 from saferow.session import scratch_path
 
@@ -59,3 +61,42 @@ def test_save_load(spark, samples):
 def test_infer_columns(samples):
     num, cat = FE.infer_feature_columns(samples, "safety_status", ["sample_key"])
     assert len(num) == 7 and cat == ["food_type", "packaging_type", "supplier_id"]
+
+
+def test_dictionary_codes_like_the_pipeline(spark):
+    rows = [(1.0, "b", "x"), (2.0, None, "x"), (None, "a", "y"), (4.0, "é", None)] + [(0.5, "a", "hot")] * 40
+    df = spark.createDataFrame(rows, "x double, c string, d string")
+    f = FE.FeaturePrep(numeric=["x"], categorical=["c", "d"]).fit(df)
+    d = DI.fit_dictionary(df, ["c", "d"])
+    assert d.sizes == {"c": 4, "d": 4} and d.n_slots == 8
+    names = [r["feature_name"] for r in DI.names_table(d, ["x"]).orderBy("position").collect()]
+    assert names == f.feature_names()
+    new = df.unionByName(spark.createDataFrame([(9.0, "unseen", "y")], df.schema))
+    dense = lambda out: sorted(tuple(r["features"].toArray().round(9)) for r in out.collect())
+    assert dense(DI.encode(new, d, f)) == dense(f.transform(new))
+    path = scratch_path(spark, "dictionary-copy")
+    d.save(path)
+    assert dense(DI.encode(new, DI.CategoryDictionary.load(spark, path, ["c", "d"]), f)) == dense(f.transform(new))
+    assert {(r["column_name"], r["category"]): r["n_hot"] for r in DI.slot_counts(df, d).collect()}["d", "hot"] == 40
+
+
+def test_many_categories_stay_off_the_driver(spark, monkeypatch):
+    df = spark.range(30_000).select(F.concat(F.lit("k"), F.col("id")).alias("c"), F.lit(1.0).alias("x"))
+    monkeypatch.setattr(FE, "MAX_LABELS", 10_000)
+    with pytest.raises(ValueError, match="categories"):
+        FE.FeaturePrep(numeric=["x"], categorical=["c"]).fit(df)
+    monkeypatch.undo()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = DI.fit_dictionary(df, ["c"])
+        assert d.n_slots == 30_000
+        f = FE.FeaturePrep(numeric=["x"], categorical=[]).fit(df)
+        coded = DI.encode(df, d, f)
+        assert "SortMergeJoin" in coded._jdf.queryExecution().executedPlan().toString()
+        one = coded.where("c = 'k17'").first()["features"]
+        slot = d.table.where("category = 'k17'").first()["slot"]
+        assert one.size == 30_001 and one[int(slot) + 1] == 1.0 and one.numNonzeros() <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert DI.fit_dictionary(df.limit(0), ["c"]).n_slots == 0

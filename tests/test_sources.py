@@ -151,3 +151,40 @@ def test_json_array_cut_short_is_an_error(spark, tmp_path):
         (tmp_path / "cut.json").write_text(text)
         with pytest.raises(ValueError, match="cut.json is not one whole"):
             SRC.read_json(spark, str(tmp_path / "cut.json"), "a long")
+
+
+def test_a_file_that_breaks_while_read_is_skipped_whole(spark, tmp_path):
+    import gzip
+    good = tmp_path / "good.csv"
+    good.write_text("x,y\n1,a\n2,b\n")
+    whole = gzip.compress("\n".join(["x,y"] + [f"{i},{i * 7919 % 10007}" for i in range(20000)]).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(whole[:len(whole) // 2])  # thousands of rows, then the end
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    (tmp_path / "short.json").write_text('[{"x": 1}, {"x"')
+    paths = [str(tmp_path / n) for n in ("good.csv", "cut.csv.gz", "bad.parquet", "absent.csv", "short.json")]
+    with pytest.raises(ValueError):
+        SRC.detect_format("cut.csv.gz")
+    frames, outcomes = SRC.load_each(spark, paths, schema="x long, y string")
+    got = [(r["path"].rsplit("/", 1)[1], r["status"], r["n_rows"], bool(r["error"])) for r in outcomes.collect()]
+    assert got == [("good.csv", "loaded", 2, False)] + [(p.rsplit("/", 1)[1], "skipped", 0, True) for p in paths[1:]]
+    gz = SRC.load_each(spark, [paths[1]], "csv", "x long, y string")[1].first()
+    assert gz["status"] == "skipped" and "format" not in gz["error"].split("\n")[0]
+    assert SRC.read_many(spark, paths, schema="x long, y string").count() == 2
+
+
+def test_a_killed_write_is_not_a_table(spark, tmp_path):
+    import os
+    path = str(tmp_path / "t.parquet")
+    full = SRC.load_or_generate(spark, path, n_samples=60).collect()
+    assert SRC.is_complete(spark, path) and len(full) == 60
+    part = next(p for p in sorted(os.listdir(path)) if p.startswith("part-"))
+    os.remove(f"{path}/{part}")  # a file of the manifest is gone
+    assert not SRC.is_complete(spark, path)
+    assert sorted(SRC.load_or_generate(spark, path, n_samples=60).collect(), key=str) == sorted(full, key=str)
+    half = tmp_path / "half.parquet"
+    (half / "_temporary").mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"PAR1")
+    assert not SRC.is_complete(spark, str(half)) and not SRC.is_complete(spark, str(tmp_path / "none"))
+    assert SRC.load_or_generate(spark, str(half), n_samples=20).count() == 20
+    spark.range(3).write.parquet(str(tmp_path / "other.parquet"))  # another writer's table
+    assert SRC.is_complete(spark, str(tmp_path / "other.parquet"))
