@@ -1,13 +1,20 @@
-"""Exact quantiles (linear interpolation) by narrowing brackets, one way at any size.
+"""Exact quantiles (linear interpolation) of all columns from two scans, at any size.
 
-Every quantile needs the values at one or two ranks of its column.  Each such
-rank starts with the bracket of all values.  As long as a bracket holds more than
-``max_in_memory_distinct`` rows, one round narrows the brackets of all columns together: a pass takes
-two approximate quantiles around the rank, a second one counts the values below,
-at, between and above them exactly, and the part that holds the rank is the next
-bracket.  A round leaves about ``4 * ERROR`` of the rows, so 10**11 rows take three
-rounds.  The values left in the brackets (at most that many each) are then
-ranked by a window per bracket; only the wanted values reach the driver.
+Every quantile needs the values at one or two ranks of its column.
+
+1. One scan makes mergeable rank sketches of all columns (Spark's approximate quantiles:
+   tasks sketch, executors merge in a tree).  Their values ``2 * ERROR`` of the rows
+   below and above a quantile bracket its ranks.
+2. One scan counts, exactly and for all columns together, how many values each column
+   has, how many lie below each bracket, and how often each value in a bracket occurs.
+   A row is expanded into the bits of its comparisons (16 to a number) and
+   the few values that lie in brackets; equal items are counted before they move.  The
+   result, about ``4 * ERROR`` of the rows per quantile at most, is stored.
+3. Running counts over the stored values (:func:`saferow.operators.ranks.prefix_agg`, so in
+   many tasks) give the values at the ranks; only these reach the driver.
+
+A bracket that misses its rank (the bound allows that in tiny tables only) is counted
+again without limits.
 
 The result is ``v[lo] + (pos - lo) * (v[hi] - v[lo])`` with ``pos = (n - 1) * p``,
 and ``v[lo]`` itself where both values are equal (infinities included) or ``pos`` is
@@ -20,115 +27,121 @@ import math
 from dataclasses import dataclass
 from typing import Optional, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Values of a bracket that one window task ranks.
+from saferow.operators.ranks import prefix_agg
+from saferow.session import scratch_path
+
+#: Values of brackets that one task puts in order.
 MAX_IN_MEMORY_DISTINCT = 200_000
-#: Relative rank error of the approximate quantiles of a round.
+#: Relative rank error of the sketches.
 ERROR = 1e-3
+#: Comparisons of a row that are counted as one number.
+_BITS = 16
 
 
 @dataclass
 class _Bracket:
-    """Open interval of column ``col`` that holds its value of rank ``rank``."""
+    """Closed interval of column ``col`` around the quantile ``p`` (None: no limit)."""
 
     col: int
-    rank: int
-    inside: int
-    below: int = 0
+    p: float
     lo: Optional[float] = None
     hi: Optional[float] = None
-    value: Optional[float] = None
-
-    def values(self) -> Column:
-        v = F.col(f"v{self.col}")
-        cond = v.isNotNull()
-        if self.lo is not None:
-            cond = cond & (v > F.lit(self.lo))
-        if self.hi is not None:
-            cond = cond & (v < F.lit(self.hi))
-        return F.when(cond, v)
-
-    def narrow(self, a: float, b: float, n_below: int, n_a: int, n_between: int, n_b: int) -> None:
-        """The part of the bracket, cut at ``a`` <= ``b``, that holds the rank."""
-        k = self.rank - self.below
-        if k < n_below:
-            self.hi, self.inside = a, n_below
-        elif k < n_below + n_a:
-            self.value = a
-        elif k < n_below + n_a + n_between:
-            self.lo, self.hi, self.inside = a, b, n_between
-            self.below += n_below + n_a
-        elif k < n_below + n_a + n_between + n_b:
-            self.value = b
-        else:
-            gone = n_below + n_a + n_between + n_b
-            self.lo, self.inside = b, self.inside - gone
-            self.below += gone
-
-
-def _round(vals: DataFrame, wide: list[_Bracket]) -> None:
-    """Narrow every bracket of ``wide`` once (two passes for all of them)."""
-    probs: list[float] = []
-    for b in wide:
-        p = (b.rank - b.below + 0.5) / b.inside
-        probs += [max(0.0, p - 2 * ERROR), min(1.0, p + 2 * ERROR)]
-    inside = vals.select(*[b.values().alias(f"b{j}") for j, b in enumerate(wide)])
-    got = inside.approxQuantile(inside.columns, probs, ERROR)
-    cuts = [(got[j][2 * j], got[j][2 * j + 1]) for j in range(len(wide))]
-    aggs = []
-    for j, (lo, hi) in enumerate(cuts):
-        v, a, b = F.col(f"b{j}"), F.lit(lo), F.lit(hi)
-        for name, cond in (("l", v < a), ("a", v == a), ("m", (v > a) & (v < b)), ("b", (v == b) & (v > a))):
-            aggs.append(F.count(F.when(cond, 1)).alias(f"{name}{j}"))
-    n = inside.agg(*aggs).first()
-    for j, (b, (lo, hi)) in enumerate(zip(wide, cuts)):
-        b.narrow(lo, hi, n[f"l{j}"], n[f"a{j}"], n[f"m{j}"], n[f"b{j}"])
-
-
-def _rank(vals: DataFrame, brackets: list[_Bracket]) -> None:
-    """Find the value of each bracket among the rows left in it."""
-    spark = vals.sparkSession
-    each = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), b.values().alias("v"))
-                               for j, b in enumerate(brackets)]))
-    counts = (vals.select(each.alias("e")).select("e.*").where(F.col("v").isNotNull())
-              .groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")))
-    upto = F.sum("n").over(Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    # one row per bracket: its rank among the values left
-    wanted = spark.createDataFrame([(j, b.rank - b.below) for j, b in enumerate(brackets)], "j int, k long")
-    at = (counts.withColumn("upto", upto).join(F.broadcast(wanted), "j")
-          .where((F.col("upto") - F.col("n") <= F.col("k")) & (F.col("k") < F.col("upto"))))
-    for row in at.select("j", "v").collect():
-        brackets[row["j"]].value = row["v"]
+
+    def below(self) -> str:
+        return "false" if self.lo is None else f"v{self.col} < {_literal(self.lo)}"
+
+    def inside(self) -> str:
+        low = "" if self.lo is None else f" AND v{self.col} >= {_literal(self.lo)}"
+        high = "" if self.hi is None else f" AND v{self.col} <= {_literal(self.hi)}"
+        return f"v{self.col} IS NOT NULL{low}{high}"
+
+
+def _literal(v: float) -> str:
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+def _sketched(vals: DataFrame, probs: Sequence[float]) -> list[_Bracket]:
+    """Brackets of every quantile of every column; columns without values have none."""
+    wanted = sorted({q for p in probs for q in (p - 2 * ERROR, p + 2 * ERROR) if 0 < q < 1})
+    got = vals.approxQuantile(vals.columns, wanted or [0.5], ERROR)
+    out = []
+    for i, values in enumerate(got):
+        at = dict(zip(wanted, values))
+        if values:
+            out += [_Bracket(i, p, at.get(p - 2 * ERROR), at.get(p + 2 * ERROR)) for p in probs]
+    return out
+
+
+def _counted(vals: DataFrame, brackets: list[_Bracket]) -> tuple[list[int], list[int], DataFrame]:
+    """(values per column, values below per bracket, stored table j, v, n of the values in brackets)."""
+    tests = [f"{c} IS NOT NULL" for c in vals.columns] + [b.below() for b in brackets]
+    items = []
+    for g in range(0, len(tests), _BITS):
+        bits = " + ".join(f"if({t}, {1 << k}L, 0L)" for k, t in enumerate(tests[g:g + _BITS]))
+        items.append(f"struct({-1 - g // _BITS} AS j, {bits} AS m, 0D AS v)")
+    items += [f"if({b.inside()}, struct({j} AS j, 0L AS m, v{b.col} AS v), NULL)" for j, b in enumerate(brackets)]
+    each = vals.selectExpr(f"explode(array_compact(array({', '.join(items)}))) AS e").select("e.*")
+    path = scratch_path(vals.sparkSession, "brackets")
+    each.groupBy("j", "m", "v").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    found = vals.sparkSession.read.parquet(path)
+    sums = [f"coalesce(sum(if(j = {-1 - t // _BITS} AND (m & {1 << t % _BITS}L) <> 0, n, 0L)), 0L) AS t{t}" for t in range(len(tests))]
+    totals = list(found.where("j < 0").selectExpr("j", "m", "n").groupBy("j", "m").agg(F.sum("n").alias("n")).selectExpr(*sums).first())
+    return totals[:len(vals.columns)], totals[len(vals.columns):], found.where("j >= 0").select("j", "v", "n")
+
+
+def _at_ranks(inside: DataFrame, wanted: dict[int, list[int]], per_task: int) -> dict[tuple[int, int], float]:
+    """Value at each wanted rank (0-based, within its bracket)."""
+    sizes = {r["j"]: (r["n"], r["d"]) for r in
+             inside.groupBy("j").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).collect()}  # one row per bracket
+    tasks = -(-sum(d for _, d in sizes.values()) // per_task) if per_task else None
+    targets, base = {}, 0
+    for j in sorted(sizes):
+        for k in wanted.get(j, []):
+            targets[base + k] = j, k
+        base += sizes[j][0]
+    upto = prefix_agg(inside, ["j", "v"], {"n": "sum"}, suffix="_upto", n_buckets=tasks)
+    hit = " OR ".join(f"(n_upto - n <= {t}L AND {t}L < n_upto)" for t in targets)
+    out = {}
+    for row in upto.where(hit).select("v", (F.col("n_upto") - F.col("n")).alias("first"), F.col("n_upto").alias("end")).collect():
+        out |= {key: row["v"] for t, key in targets.items() if row["first"] <= t < row["end"]}
+    return out
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     max_in_memory_distinct: int = MAX_IN_MEMORY_DISTINCT) -> dict[str, list[Optional[float]]]:
-    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored)."""
+    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored).
+
+    ``max_in_memory_distinct``: values of brackets that one task puts in order (0: as many
+    tasks as shuffle partitions)."""
     if not cols:
         return {}
-    doubles = [F.col(c).cast("double") for c in cols]
+    doubles = [F.col(f"`{c}`").cast("double") for c in cols]
     vals = df.select(*[F.when(~F.isnan(v), v).alias(f"v{i}") for i, v in enumerate(doubles)])
-    counted = vals.agg(*[F.count(v).alias(v) for v in vals.columns]).first()
-    brackets: dict[tuple[int, int], _Bracket] = {}
-    for i in range(len(cols)):
-        n = counted[i]
-        for p in probs if n else ():
-            for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p)):
-                brackets[i, r] = _Bracket(i, r, n)
-    open_ = list(brackets.values())
-    while wide := [b for b in open_ if b.value is None and b.inside > max_in_memory_distinct]:
-        _round(vals, wide)
-    left = [b for b in open_ if b.value is None]
-    if left:
-        _rank(vals, left)
+    found: dict[tuple[int, float], tuple[float, float, float]] = {}
+    todo = _sketched(vals, list(dict.fromkeys(probs)))
+    while todo:
+        counts, below, inside = _counted(vals, todo)
+        ranks = {}
+        for j, b in enumerate(todo):
+            pos = (counts[b.col] - 1) * b.p
+            ranks[j] = sorted({math.floor(pos) - below[j], math.ceil(pos) - below[j]})
+        values = _at_ranks(inside, ranks, max_in_memory_distinct)
+        missed = []
+        for j, b in enumerate(todo):
+            got = [values.get((j, k)) for k in ranks[j]]
+            if None in got:
+                missed.append(_Bracket(b.col, b.p))
+            else:
+                found[b.col, b.p] = got[0], got[-1], (counts[b.col] - 1) * b.p
+        todo = missed
 
     def quantile(i: int, p: float) -> Optional[float]:
-        if not counted[i]:
+        if (i, p) not in found:
             return None
-        pos = (counted[i] - 1) * p
-        a, b = (brackets[i, r].value for r in (math.floor(pos), math.ceil(pos)))
+        a, b, pos = found[i, p]
         return a if a == b else a + (pos - math.floor(pos)) * (b - a)
 
     return {c: [quantile(i, p) for p in probs] for i, c in enumerate(cols)}

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from saferow.functions import rules
 from saferow.functions.exprs import clip as _clip
 from saferow.functions.exprs import hash_normal, hash_uniform
+from saferow.session import scratch_path
 
 # ---------------------------------------------------------------------------
 # Fixed generator parameters (reference values).
@@ -127,6 +128,10 @@ def generate(spark: SparkSession, n: Optional[int] = None, keys: Optional[DataFr
     # label rule XOR noise, then the ratio correction (one aggregate)
     df = df.withColumn("_label", rules.label_noise(rules.label_rule(), u("noise") < F.lit(NOISE_RATE)))
     df = df.withColumn("_risk", rules.risk_score())
+    # stored here: the share, the cut and the result read it, and the draws are made once
+    path = scratch_path(spark, "generated")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
     df = rules.ratio_correction(df, "_label", "_risk", contamination_ratio, 0.05, out="_final")
     df = df.withColumn("safety_status", F.when(F.col("_final"), "unsafe").otherwise("safe"))
     # rounding after labelling (numpy rounds half to even)
