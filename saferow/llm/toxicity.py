@@ -1,18 +1,25 @@
 """Toxicity: bidirectional gated recurrent network with attention pooling.
 
-Inputs of a word: a trained embedding of the word, its log-odds between toxic
+Inputs of a word: a trained embedding of the word, the mean of trained embeddings of its
+character n-grams (with word-edge marks), the word's log-odds between toxic
 and clean training texts, and the largest and the mean log-odds of its character
-n-grams (with word-edge marks), so unseen words with known parts count too.  Two
-gated recurrent layers run over a window of ``WIDTH`` words, forwards and
-backwards; attention pools their states to one logit.  Windows start every
-``STRIDE`` words, so any ``WIDTH - STRIDE + 1`` words lie whole in one; every
-window of a text is scored and the text's score is that of its worst window.
+n-grams, so unseen words with known parts count too.  Two gated recurrent layers read the
+text forwards and backwards; attention pools their states over a window of
+``WIDTH`` words to one logit.  Every window of a text is scored, at every word, and the
+text's score is that of its worst window.
+
+All windows at the cost of one reading: the layers read each text once, in blocks of ``BLOCK``
+words that start ``CONTEXT`` words early in their direction of reading (from a zero state, counted from the
+start of the text, so a score depends on nothing but the text).  A window's pooled logit is a ratio of two
+sums over its words, of exp(attention) times the state's output and of exp(attention); both come from
+running sums.
 
 Training (numpy, on the driver) uses a bounded sample of labelled rows:
 ``POSITIVES`` and ``NEGATIVES`` rows in order of a hash of the id, none longer
 than ``FIT_CHARS``; of a repeated id the least text.  A text's label does not say which window earns it, so rounds
 alternate: score all windows of the sample, then fit on the worst ones of each
-text.  Rows that the caller holds out are never used.
+text (of those at every ``FIT_STRIDE``-th word, so that they differ), each with
+``CONTEXT`` words around it.  Rows that the caller holds out are never used.
 
 Scoring is a map without shuffle; the model is of fixed size and is broadcast.
 
@@ -30,8 +37,8 @@ from pyspark.sql import types as T
 
 from saferow.llm.common import LOWER, byte_class, chunks, span_hashes, words
 
-WIDTH, STRIDE = 24, 4
-HIDDEN, EMBED = 8, 5
+WIDTH, BLOCK, CONTEXT, FIT_STRIDE = 24, 56, 8, 4
+HIDDEN, EMBED, CHAR_EMBED = 8, 5, 4
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 17
 CHAR_GRAMS = (3, 4, 5)
 POSITIVES, NEGATIVES, FIT_CHARS = 1500, 3000, 30_000
@@ -76,26 +83,43 @@ class Words:
         self.grams = grams[order].astype(np.int32)
         self.gram_at = np.searchsorted(owner[order], np.arange(len(size)))
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row of each window, word numbers with -1 past the row's end)."""
+    def starts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, first word) of every window; a row of fewer than ``WIDTH`` words is one window."""
         n = np.diff(self.first)
-        count = np.where(n == 0, 0, np.maximum(1, -(-(n - (WIDTH - STRIDE)) // STRIDE)))
+        count = np.where(n == 0, 0, np.maximum(1, n - WIDTH + 1))
         row = np.repeat(np.arange(len(n)), count)
-        start = self.first[row] + STRIDE * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
-        at = start[:, None] + np.arange(WIDTH)
-        inside = at < self.first[row + 1][:, None]
-        ids = np.where(inside, self.of[np.minimum(at, max(len(self.of) - 1, 0))], -1) if len(self.of) else at * 0 - 1
-        return row, ids
+        return row, self.first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+
+    def around(self, row: np.ndarray, start: np.ndarray, width: int, context: int) -> np.ndarray:
+        """Word numbers of ``width`` words from each start and ``context`` words on either side;
+        -1 outside the row."""
+        at = start[:, None] + np.arange(-context, width + context)
+        inside = (at >= self.first[row][:, None]) & (at < self.first[row + 1][:, None])
+        return np.where(inside, self.of[np.clip(at, 0, max(len(self.of) - 1, 0))], -1) if len(self.of) else at * 0 - 1
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each window, its word numbers with -1 past the row's end)."""
+        row, start = self.starts()
+        return row, self.around(row, start, WIDTH, 0)
 
     def features(self, model: dict) -> np.ndarray:
         """Input vector of each distinct word."""
         odds = model["char_odds"][self.grams]
         top = np.maximum.reduceat(odds, self.gram_at) if len(odds) else np.zeros(0, _F)
         mean = np.add.reduceat(odds, self.gram_at) / np.diff(np.append(self.gram_at, len(odds))) if len(odds) else top
-        return np.column_stack([model["word_odds"][self.bucket], top, mean, model["embed"][self.bucket]]).astype(_F)
+        return np.column_stack([model["word_odds"][self.bucket], top, mean, model["embed"][self.bucket],
+                                spelled(model["char_embed"], self.grams, np.append(self.gram_at, len(self.grams)))]).astype(_F)
+
 
+def spelled(char_embed: np.ndarray, grams: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Mean embedding of the character n-grams of each word (n-grams ``edge[i]`` to ``edge[i + 1]``)."""
+    if not len(grams):
+        return np.zeros((len(edge) - 1, CHAR_EMBED), _F)
+    return np.add.reduceat(char_embed[grams], edge[:-1], axis=0) / np.diff(edge)[:, None].astype(_F)
 
-INPUTS = 3 + EMBED
+
+ODDS = 3
+INPUTS = ODDS + EMBED + CHAR_EMBED
 
 
 # ----------------------------------------------------------------- the network
@@ -104,6 +128,7 @@ def new_model(rng: np.random.Generator) -> dict:
         return (rng.standard_normal(shape) / np.sqrt(shape[-2])).astype(_F)
 
     return {"embed": (0.1 * rng.standard_normal((WORD_BUCKETS, EMBED))).astype(_F),
+            "char_embed": (0.1 * rng.standard_normal((CHAR_BUCKETS, CHAR_EMBED))).astype(_F),
             "word_odds": np.zeros(WORD_BUCKETS, _F), "char_odds": np.zeros(CHAR_BUCKETS, _F),
             "wx": draw(2, INPUTS, 3 * HIDDEN), "b": np.zeros((2, 1, 3 * HIDDEN), _F), "u": draw(2, HIDDEN, 3 * HIDDEN),
             "wa": draw(2 * HIDDEN, HIDDEN), "va": draw(HIDDEN, 1), "wo": draw(2 * HIDDEN, 1),
@@ -117,14 +142,15 @@ def _sigmoid(x):
     return _F(0.5) * np.tanh(_F(0.5) * x) + _F(0.5)
 
 
-def forward(model: dict, projected: np.ndarray, ids: np.ndarray, keep: bool = False):
-    """Logit of each window.  ``projected``: (2, words + 1, 3H), its last row for padding."""
-    n, h = len(ids), HIDDEN
-    real = (ids >= 0).astype(_F)
-    both = np.stack([ids, ids[:, ::-1]])  # the second direction reads backwards
-    mask = np.stack([real, real[:, ::-1]])
-    state, states, saved = np.zeros((2, n, h), _F), np.empty((WIDTH, 2, n, h), _F), []
-    for t in range(WIDTH):
+def read(model: dict, projected: np.ndarray, ids: np.ndarray, width: int, keep: bool = False):
+    """States of both layers at the ``width`` middle words of each row of ``ids``; each layer starts at
+    the edge it reads from.  ``projected``: (2, words + 1, 3H), its last row for padding."""
+    context, n, h = (ids.shape[1] - width) // 2, len(ids), HIDDEN
+    steps = context + width
+    both = np.stack([ids[:, :steps], ids[:, ::-1][:, :steps]])  # the second layer reads backwards
+    mask = (both >= 0).astype(_F)
+    state, states, saved = np.zeros((2, n, h), _F), np.empty((steps, 2, n, h), _F), []
+    for t in range(steps):
         x = np.stack([projected[0][both[0, :, t]], projected[1][both[1, :, t]]])
         g = state @ model["u"]
         zr = _sigmoid(x[..., :2 * h] + g[..., :2 * h])
@@ -135,7 +161,15 @@ def forward(model: dict, projected: np.ndarray, ids: np.ndarray, keep: bool = Fa
         if keep:
             saved.append((state, z, r, c, g[..., 2 * h:], m))
         state = states[t] = new
-    hidden = np.concatenate([states[:, 0], states[::-1, 1]], axis=2).transpose(1, 0, 2)  # n, T, 2H
+    hidden = np.concatenate([states[context:, 0], states[context:, 1][::-1]], axis=2).transpose(1, 0, 2)  # n, width, 2H
+    return hidden, both, saved
+
+
+def forward(model: dict, projected: np.ndarray, ids: np.ndarray, keep: bool = False):
+    """Logit of the window of ``WIDTH`` words in the middle of each row of ``ids``."""
+    hidden, both, saved = read(model, projected, ids, WIDTH, keep)
+    context = (ids.shape[1] - WIDTH) // 2
+    real = (ids[:, context:context + WIDTH] >= 0).astype(_F)
     a = np.tanh(hidden @ model["wa"])
     e = (a @ model["va"])[..., 0] - _F(1e9) * (1 - real)
     p = np.exp(e - e.max(1, keepdims=True))
@@ -159,10 +193,12 @@ def backward(model: dict, kept, d_logit: np.ndarray) -> tuple[dict, np.ndarray,
     d_a = d_e[..., None] * model["va"][:, 0] * (1 - a * a)
     d["wa"] = np.einsum("nti,ntk->ik", hidden, d_a)
     d_hidden = (d_hidden + d_a @ model["wa"].T).transpose(1, 0, 2)
-    d_states = np.stack([d_hidden[..., :h], d_hidden[::-1, :, h:]], axis=1)  # T, 2, n, H
-    d["u"], d_x = np.zeros_like(model["u"]), np.empty((WIDTH, 2, both.shape[1], 3 * h), _F)
+    steps = len(saved)
+    d_states = np.zeros((steps, 2, both.shape[1], h), _F)  # the words before a window count only through the state
+    d_states[steps - WIDTH:] = np.stack([d_hidden[..., :h], d_hidden[::-1, :, h:]], axis=1)
+    d["u"], d_x = np.zeros_like(model["u"]), np.empty((steps, 2, both.shape[1], 3 * h), _F)
     carry = np.zeros_like(d_states[0])
-    for t in reversed(range(WIDTH)):
+    for t in reversed(range(steps)):
         state, z, r, c, gc, m = saved[t]
         d_new = d_states[t] + carry
         d_c = d_new * m * (1 - z) * (1 - c * c)
@@ -180,10 +216,37 @@ def _projected(model: dict, x: np.ndarray) -> np.ndarray:
     return x @ model["wx"] + model["b"]
 
 
-def window_logits(model: dict, x: np.ndarray, ids: np.ndarray, block: int = 4096) -> np.ndarray:
-    proj = _projected(model, x)
-    return np.concatenate([forward(model, proj, ids[k:k + block]) for k in range(0, len(ids), block)]
-                          or [np.zeros(0, _F)])
+def word_outputs(model: dict, w: Words, block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """(attention, output) of every word of a chunk: the logit of words s to t is the mean of the
+    outputs weighted by exp(attention)."""
+    n = np.diff(w.first)
+    blocks = -(-n // BLOCK)
+    row = np.repeat(np.arange(len(n)), blocks)
+    start = w.first[row] + BLOCK * (np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+    size = np.minimum(start + BLOCK, w.first[row + 1]) - start
+    attention, output = np.zeros(len(w.of)), np.zeros(len(w.of))
+    projected = _projected(model, w.features(model))
+    order = np.argsort(size, kind="stable")  # blocks of like size together: little padding
+    for k in range(0, len(order), block):
+        take = order[k:k + block]
+        width = int(size[take].max())
+        hidden, _, _ = read(model, projected, w.around(row[take], start[take], width, CONTEXT), width)
+        at = start[take][:, None] + np.arange(width)
+        inside = np.arange(width) < size[take][:, None]
+        attention[at[inside]] = (np.tanh(hidden @ model["wa"]) @ model["va"])[..., 0][inside]
+        output[at[inside]] = (hidden @ model["wo"])[..., 0][inside]
+    return attention, output
+
+
+def window_logits(model: dict, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first word, logit) of every window of a chunk."""
+    row, start = w.starts()
+    attention, output = word_outputs(model, w)
+    weight = np.exp(attention)  # bounded: attention is a sum of HIDDEN terms of at most |va| each
+    below = np.concatenate([[0.0], np.cumsum(weight)])
+    above = np.concatenate([[0.0], np.cumsum(weight * output)])
+    end = np.minimum(start + WIDTH, w.first[row + 1])
+    return row, start, (above[end] - above[start]) / (below[end] - below[start]) + float(model["bo"][0])
 
 
 # -------------------------------------------------------------------- training
@@ -206,8 +269,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 3, ep
     parts = []
     for lo, hi, data, off in chunks(pa.array(texts, pa.string())):
         w = Words(data, off)
-        row, ids = w.windows()
-        parts.append((w, row + lo, ids))
+        parts.append((w, lo))
         for k in range(hi - lo):  # in how many texts of each class a bucket occurs
             seen = np.unique(w.of[w.first[k]:w.first[k + 1]])
             counts["word"][labels[lo + k], np.unique(w.bucket[seen])] += 1
@@ -218,31 +280,44 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 3, ep
         model[f"{k}_odds"] = _log_odds(pos, neg, n_pos, n_neg)
 
     moments = {k: [np.zeros_like(model[k]), np.zeros_like(model[k])] for k in WEIGHTS}
-    grown, step = np.full(WORD_BUCKETS, 1e-3, _F), 0
+    grown = {"embed": np.full(WORD_BUCKETS, 1e-3, _F), "char_embed": np.full(CHAR_BUCKETS, 1e-3, _F)}
+    step, bucket = 0, np.concatenate([w.bucket for w, _ in parts])
+    before = np.cumsum([0] + [len(w.bucket) for w, _ in parts])  # words of earlier chunks
+    n_grams = np.cumsum([0] + [len(w.grams) for w, _ in parts])
+    grams = np.concatenate([w.grams for w, _ in parts])
+    edge = np.concatenate([w.gram_at + n for (w, _), n in zip(parts, n_grams)] + [n_grams[-1:]])
     for turn in range(rounds):
-        batch_x, batch_ids, batch_y, batch_b = [], [], [], []
-        for w, row, ids in parts:
+        batch_odds, batch_ids, batch_y = [], [], []
+        for (w, lo), shift in zip(parts, before):
             x = w.features(model)
+            batch_odds.append(x[:, :ODDS])
             if turn == 0:  # before the network knows anything: windows by their strongest word
-                strong = np.append(np.maximum(x[:, 0], x[:, 1]), -9)
-                logit = strong[ids].max(1)
+                row, start = w.starts()
+                strong, last = np.maximum(x[:, 0], x[:, 1])[w.of], w.first[row + 1] - 1
+                logit = np.full(len(row), -9, _F)
+                for j in range(WIDTH):
+                    np.maximum(logit, strong[np.minimum(start + j, last)], out=logit)
             else:
-                logit = window_logits(model, x, ids)
+                row, start, logit = window_logits(model, w)
+            some = (start - w.first[row]) % FIT_STRIDE == 0
+            row, start, logit = row[some], start[some], logit[some]
             order = np.lexsort((-logit, row))
             place = np.arange(len(row)) - np.searchsorted(row[order], row[order])
-            take = order[place < np.where(labels[row[order]] == 1, 2, 4)]
-            batch_ids.append(np.where(ids[take] >= 0, ids[take] + sum(map(len, batch_b)), -1))
-            batch_b.append(w.bucket)
-            batch_x.append(x)
-            batch_y.append(labels[row[take]])
-        x, ids, y, bucket = map(np.concatenate, (batch_x, batch_ids, batch_y, batch_b))
+            take = order[place < np.where(labels[lo + row[order]] == 1, 2, 4)]
+            ids = w.around(row[take], start[take], WIDTH, CONTEXT)
+            batch_ids.append(np.where(ids >= 0, ids + shift, -1))
+            batch_y.append(labels[lo + row[take]])
+        odds, ids, y = map(np.concatenate, (batch_odds, batch_ids, batch_y))
         batches = max(1, len(ids) // 256)
         for _ in range(max(epochs, -(-LEAST_STEPS // batches))):  # small samples: more often
             for take in np.array_split(rng.permutation(len(ids)), batches):
                 used, local = np.unique(ids[take], return_inverse=True)
                 local = local.reshape(ids[take].shape) - (used[0] < 0)
                 used = used[used >= 0]
-                xu = np.column_stack([x[used][:, :3], model["embed"][bucket[used]]]).astype(_F)
+                size = np.diff(edge)[used]
+                mine = np.concatenate([[0], np.cumsum(size)])
+                own = grams[np.repeat(edge[used] - mine[:-1], size) + np.arange(mine[-1])]  # the n-grams of these words
+                xu = np.column_stack([odds[used], model["embed"][bucket[used]], spelled(model["char_embed"], own, mine)]).astype(_F)
                 logit, kept = forward(model, _projected(model, xu), local, keep=True)
                 grad, d_x, both = backward(model, kept, (_sigmoid(logit) - y[take]) / len(take))
                 d_proj = np.zeros((2, len(used) + 1, 3 * HIDDEN), _F)
@@ -251,15 +326,18 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5, rounds: int = 3, ep
                 d_proj = d_proj[:, :-1]  # padding
                 grad["wx"] = xu.T @ d_proj
                 grad["b"] = d_proj.sum(1, keepdims=True)
-                d_embed = (d_proj @ model["wx"].transpose(0, 2, 1)).sum(0)[:, 3:]
+                d_in = (d_proj @ model["wx"].transpose(0, 2, 1)).sum(0)
+                d_embed, d_spell = d_in[:, ODDS:ODDS + EMBED], d_in[:, ODDS + EMBED:]
                 step += 1
                 for k in WEIGHTS:
                     m, v = moments[k]
                     m += _F(0.1) * (grad[k] - m)
                     v += _F(0.01) * (grad[k] ** 2 - v)
                     model[k] -= _F(0.01) * (m / _F(1 - 0.9 ** step)) / (np.sqrt(v / _F(1 - 0.99 ** step)) + _F(1e-7))
-                np.add.at(grown, bucket[used], (d_embed ** 2).mean(1))
-                np.add.at(model["embed"], bucket[used], -_F(0.02) * d_embed / np.sqrt(grown[bucket[used]])[:, None])
+                d_gram = np.repeat(d_spell / np.maximum(size, 1)[:, None].astype(_F), size, axis=0)
+                for k, at, d in (("embed", bucket[used], d_embed), ("char_embed", own, d_gram)):
+                    np.add.at(grown[k], at, (d ** 2).mean(1))
+                    np.add.at(model[k], at, -_F(0.02) * d / np.sqrt(grown[k][at])[:, None])
     return model
 
 
@@ -269,11 +347,10 @@ def score_chunk(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     if not model["trained"]:
         return out
     w = Words(data, off)
-    row, ids = w.windows()
-    if len(row):
-        logit = window_logits(model, w.features(model), ids)
+    if len(w.of):
+        row, _, logit = window_logits(model, w)
         full = np.unique(row)
-        out[full] = 1 / (1 + np.exp(-np.maximum.reduceat(logit, np.searchsorted(row, full)).astype(float)))
+        out[full] = 1 / (1 + np.exp(-np.maximum.reduceat(logit, np.searchsorted(row, full))))
     return out
 
 

@@ -37,6 +37,94 @@ def test_gradients_agree_with_differences():
         assert grad[name][at] == pytest.approx((up - loss(step)) / 0.02, rel=0.05, abs=0.02)
 
 
+def _plain_score(model, text):
+    """The network by loops over words: each layer restarts every BLOCK words, CONTEXT words early;
+    every window is pooled by itself; the worst counts."""
+    T = toxicity
+    data = np.frombuffer(text.encode(), np.uint8)
+    w = T.Words(data, np.array([0, len(data)]))
+    n = len(w.of)
+    if not n:
+        return 0.0
+    x = w.features(model)[w.of].astype(float)
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    h = T.HIDDEN
+
+    def step(layer, state, v):
+        g, p = state @ model["u"][layer], v @ model["wx"][layer] + model["b"][layer][0]
+        z, r = sigmoid(p[:h] + g[:h]), sigmoid(p[h:2 * h] + g[h:2 * h])
+        return state + (1 - z) * (np.tanh(p[2 * h:] + r * g[2 * h:]) - state)
+
+    hidden = np.zeros((n, 2 * h))
+    for lo in range(0, n, T.BLOCK):
+        hi = min(lo + T.BLOCK, n)
+        state = np.zeros(h)
+        for t in range(max(0, lo - T.CONTEXT), hi):
+            state = step(0, state, x[t])
+            hidden[t, :h] = state if t >= lo else hidden[t, :h]
+        state = np.zeros(h)
+        # the second layer starts CONTEXT words after the block's last place, at most at the end of the text
+        for t in range(min(n, lo + (T.BLOCK if hi - lo == T.BLOCK else hi - lo) + T.CONTEXT) - 1, lo - 1, -1):
+            state = step(1, state, x[t])
+            hidden[t, h:] = state if t < hi else hidden[t, h:]
+    e = (np.tanh(hidden @ model["wa"]) @ model["va"])[:, 0]
+    best = -np.inf
+    for s in range(max(1, n - T.WIDTH + 1)):
+        p = np.exp(e[s:s + T.WIDTH])
+        best = max(best, float((p / p.sum()) @ hidden[s:s + T.WIDTH] @ model["wo"][:, 0] + model["bo"][0]))
+    return float(sigmoid(best))
+
+
+def test_all_windows_equal_the_plain_network():
+    rng = np.random.default_rng(3)
+    model = toxicity.new_model(rng)
+    model["trained"] = True
+    for k in ("word_odds", "char_odds"):
+        model[k] = rng.standard_normal(len(model[k])).astype(np.float32)
+    vocabulary = [f"w{'abcdefg'[i % 7]}{i}é" for i in range(90)]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (1, 5, 23, 24, 25, 56, 57, 64, 113, 400)] + ["", " ,. "]
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    got = toxicity.score_chunk(model, np.frombuffer(b"".join(raw), np.uint8), off)
+    assert np.allclose(got, [_plain_score(model, t) for t in texts], atol=2e-5)
+    w = toxicity.Words(np.frombuffer(raw[-3], np.uint8), np.array([0, len(raw[-3])]))
+    row, start, logit = toxicity.window_logits(model, w)
+    assert list(start) == list(range(400 - toxicity.WIDTH + 1)) and len(logit) == len(start)
+
+
+def test_gradients_with_words_around_the_window():
+    rng = np.random.default_rng(1)
+    model = toxicity.new_model(rng)
+    x = rng.standard_normal((7, toxicity.INPUTS)).astype(np.float32)
+    ids = rng.integers(-1, 7, (5, toxicity.WIDTH + 2 * toxicity.CONTEXT))
+    ids[:, toxicity.CONTEXT] = 1
+    y = np.array([0, 1, 0, 1, 1])
+
+    def loss(m, inputs=x):
+        z = toxicity.forward(m, toxicity._projected(m, inputs), ids).astype(float)
+        return float(np.sum(np.log1p(np.exp(z)) - y * z))
+
+    logit, kept = toxicity.forward(model, toxicity._projected(model, x), ids, keep=True)
+    grad, d_x, both = toxicity.backward(model, kept, 1 / (1 + np.exp(-logit)) - y)
+    for name in ("u", "wa", "va", "wo", "bo"):
+        for _ in range(3):
+            at = tuple(rng.integers(0, s) for s in model[name].shape)
+            step = {k: v.copy() if hasattr(v, "copy") else v for k, v in model.items()}
+            step[name][at] += 0.01
+            up = loss(step)
+            step[name][at] -= 0.02
+            assert grad[name][at] == pytest.approx((up - loss(step)) / 0.02, rel=0.05, abs=0.02)
+    d_proj = np.zeros((2, len(x) + 1, 3 * toxicity.HIDDEN))
+    for s in range(2):
+        np.add.at(d_proj[s], both[s].T.ravel(), d_x[:, s].reshape(-1, 3 * toxicity.HIDDEN))
+    d_in = (d_proj[:, :-1] @ model["wx"].transpose(0, 2, 1)).sum(0)
+    for i, j in ((0, 0), (3, 2), (1, toxicity.INPUTS - 1), (6, toxicity.ODDS)):
+        up, down = x.copy(), x.copy()
+        up[i, j] += 0.01
+        down[i, j] -= 0.01
+        assert d_in[i, j] == pytest.approx((loss(model, up) - loss(model, down)) / 0.02, rel=0.05, abs=0.02)
+
+
 def test_toxicity_learns_and_ignores_held_out_labels(spark):
     docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
     got = toxicity.toxicity(docs, labels).toPandas()
