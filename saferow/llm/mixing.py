@@ -19,8 +19,9 @@ node on sizes and ids, so reruns agree whatever the partitioning.  Large units
 come first: the many small ones after them make them whole.
 
 Defined results: null text has size 0; null sources form one source, last in
-order; a unit of size 0 is rounded alone (it moves no words); rows that agree in
-id, source and size are one unit, taken together; an empty table gives no rows.
+order; a unit of size 0 is rounded alone (it moves no words); of n rows that agree in
+id, source and size, floor(n p) get the extra copy outright and one row with the rest of n p
+goes into the pairing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from saferow.llm.common import stored
+from saferow.operators.ranks import row_index
 
 FAN_IN = 64
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,7 +76,7 @@ def source_targets(units: DataFrame, weights=(1, 2, 3), cap: float = 3.0) -> Dat
 
 
 _UNIT = "doc_id long, source string, size long, n_rows long, source_no int, source_size long, target double"
-_OPEN = _UNIT + ", base long, p double, node long, copies long, open boolean"
+_OPEN = _UNIT + ", base long, more long, p double, node long, open boolean"
 
 
 def _pair(i: list, j: list, u: float) -> tuple[list, list | None]:
@@ -101,7 +103,7 @@ def _rounder(seed: int, level: int, last: bool):
         def close(unit, still_open):
             row, p, _ = unit
             if not still_open:
-                row["copies"] = row["base"] + (1 if p >= 0.5 else 0)
+                row["more"] += 1 if p >= 0.5 else 0
             row["p"], row["open"] = p, still_open
             out.append(row)
 
@@ -120,7 +122,7 @@ def _rounder(seed: int, level: int, last: bool):
                     settle()
                     group = (row["source_no"], row["node"])
                     rng = random.Random(f"{seed}/{level}/{group}")
-                unit = [row, row["p"], row["size"] * row["n_rows"]]
+                unit = [row, row["p"], row["size"]]  # one row stands for the rest of its unit
                 if unit[2] == 0 and _EPS < unit[1] < 1 - _EPS:
                     unit[1] = 1.0 if rng.random() < unit[1] else 0.0
                 if unit[1] <= _EPS or unit[1] >= 1 - _EPS:
@@ -144,17 +146,20 @@ def _rounder(seed: int, level: int, last: bool):
 
 
 def mix(units: DataFrame, weights=(1, 2, 3), cap: float = 3.0, seed: int = 17, leaf: int = 4096) -> DataFrame:
-    """``units`` (doc_id, source, size) -> one row per distinct unit with n_rows,
-    source_size, target and ``copies`` (how often each of its rows is taken)."""
+    """``units`` (doc_id, source, size) -> for each distinct unit and number of copies: the rows
+    (``n_rows`` of them, from number ``from_row`` on) that are taken ``copies`` times, with source_size and target."""
     units = stored(units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n_rows")), "mix-units")
     src = source_targets(units, weights, cap)
     leaves = max(1, -(-units.count() // leaf))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))) \
         .otherwise(F.lit(0.0))
     rows = (units.join(src.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-            .withColumn("base", F.floor(rate + _EPS)).withColumn("p", F.greatest(rate - F.col("base"), F.lit(0.0)))
+            .withColumn("base", F.floor(rate + _EPS))
+            .withColumn("all", F.col("n_rows") * F.greatest(rate - F.col("base"), F.lit(0.0)))
+            .withColumn("more", F.least(F.floor(F.col("all") + _EPS), F.col("n_rows")))
+            .withColumn("p", F.greatest(F.col("all") - F.col("more"), F.lit(0.0)))
             .withColumn("node", F.pmod(F.xxhash64("doc_id", "size"), F.lit(leaves)))
-            .withColumn("copies", F.lit(0).cast("long")).withColumn("open", F.lit(True)))
+            .withColumn("open", F.lit(True)))
     fields = [f.strip().split(" ")[0] for f in _OPEN.split(",")]
     rows = rows.select(*[F.col(c).cast(f.strip().split(" ")[1]) for c, f in zip(fields, _OPEN.split(","))])
     done, level, nodes = [], 0, leaves
@@ -171,7 +176,10 @@ def mix(units: DataFrame, weights=(1, 2, 3), cap: float = 3.0, seed: int = 17, l
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "size", "n_rows", "source_size", "target", "copies")
+    some = F.array(F.struct(F.lit(0).cast("long").alias("from_row"), F.col("more").alias("n_rows"), (F.col("base") + 1).alias("copies")),
+                   F.struct(F.col("more").alias("from_row"), (F.col("n_rows") - F.col("more")).alias("n_rows"), F.col("base").alias("copies")))
+    out = out.select("doc_id", "source", "size", "source_size", "target", F.explode(some).alias("some")).where("some.n_rows > 0")
+    return out.select("doc_id", "source", "size", "source_size", "target", "some.n_rows", "some.copies", "some.from_row")
 
 
 def units_of(docs: DataFrame) -> DataFrame:
@@ -181,12 +189,44 @@ def units_of(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as many times as the mix takes it (columns kept)."""
-    plan = mix(units_of(docs), **options).where("copies > 0") \
-        .select(F.col("doc_id").alias("__sf_id"), F.col("source").alias("__sf_source"), F.col("size").alias("__sf_size"),
-                F.col("copies").alias("__sf_copies"))
+    plan = stored(mix(units_of(docs), **options), "mix-plan").select(
+        F.col("doc_id").alias("__sf_id"), F.col("source").alias("__sf_source"), F.col("size").alias("__sf_size"),
+        F.col("from_row").alias("__sf_from"), F.col("n_rows").alias("__sf_n"), F.col("copies").alias("__sf_copies"))
+    unit = ["__sf_id", "__sf_source", "__sf_size"]
     keyed = docs.withColumn("__sf_words", n_words(F.col("text")))
-    on = (keyed["doc_id"].eqNullSafe(plan["__sf_id"]) & keyed["source"].eqNullSafe(plan["__sf_source"])
-          & (keyed["__sf_words"] == plan["__sf_size"]))
-    return keyed.join(plan, on).select(*[keyed[f"`{c}`"] for c in docs.columns],
-                                       F.explode(F.sequence(F.lit(1), F.col("__sf_copies").cast("int"))).alias("__sf_copy")) \
-        .drop("__sf_copy")
+
+    def planned(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
+        on = (rows["doc_id"].eqNullSafe(side["__sf_id"]) & rows["source"].eqNullSafe(side["__sf_source"])
+              & (rows["__sf_words"] == side["__sf_size"]))
+        return rows.join(side, on, how)
+
+    def taken(rows: DataFrame) -> DataFrame:
+        copies = F.explode(F.sequence(F.lit(1), F.col("__sf_copies").cast("int")))
+        return rows.where("__sf_copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias("__sf_copy")).drop("__sf_copy")
+
+    # units of one row, and of rows that all get as many copies: every row alike
+    mixed_units = plan.where("__sf_from > 0").select(*unit)  # some rows of these get one copy more
+    alike = plan.where("__sf_from = 0").alias("p")
+    differ = mixed_units.select(*[F.col(c).alias(c + "2") for c in unit])
+    same = [F.col(c).eqNullSafe(F.col(c + "2")) for c in unit]
+    out = taken(planned(keyed, alike.join(differ, same, "left_anti")))
+    if mixed_units.isEmpty():
+        return out
+    # the rows of the others are numbered: those below ``from_row`` get the copy more
+    rows = planned(keyed, mixed_units, "left_semi")
+    numbered = row_index(rows.withColumn("__sf_none", F.col("doc_id").isNull()),
+                         ["__sf_none", "doc_id", "source", "__sf_words"], out="__sf_no").drop("__sf_none")
+    first = numbered.groupBy("doc_id", "source", "__sf_words").agg(F.min("__sf_no").alias("__sf_first")) \
+        .select(F.col("doc_id").alias("__sf_id"), F.col("source").alias("__sf_source"), F.col("__sf_words").alias("__sf_size"), "__sf_first")
+    both = stored(plan.join(first, unit_equal(plan, first, unit)).select(*[plan[c] for c in plan.columns], "__sf_first"), "mix-ranges")
+    place = F.col("__sf_no") - F.col("__sf_first")
+    numbered = planned(numbered, both).where((place >= F.col("__sf_from")) & (place < F.col("__sf_from") + F.col("__sf_n")))
+    return out.unionByName(taken(numbered))
+
+
+def unit_equal(a: DataFrame, b: DataFrame, unit: list[str]):
+    """Equality of units, null equal to null."""
+    cond = F.lit(True)
+    for c in unit:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond

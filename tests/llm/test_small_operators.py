@@ -37,6 +37,27 @@ def test_mix_keeps_targets_limits_and_reruns(spark, frame):
     assert by.target.sum() == pytest.approx(by["size"].sum())
 
 
+def test_repeated_rows_come_near_the_target(spark, frame):
+    """Equal rows are no block: with a third of all rows under one key, and with null ids, each
+    source stays within one document of its target, in the plan and in the rows taken."""
+    rows = [(1, "a b c", "s")] * 50 + [(10 + i, "a b c", "s") for i in range(50)]
+    rows += [(None, f"x{i} y", "t") for i in range(61)] + [(500 + i, "z " * 7, "u") for i in range(20)]
+    rows += [(7, "one two", None), (7, "two one", None), (7, "one two", None)]
+    docs = frame(rows)
+    plan = mixing.mix(mixing.units_of(docs)).toPandas()
+    by = plan.assign(taken=plan.copies * plan["size"] * plan.n_rows).groupby("source", dropna=False).agg(
+        taken=("taken", "sum"), target=("target", "first"))
+    assert (abs(by.taken - by.target) < 7 + 1e-9).all() and plan.n_rows.sum() == len(rows)
+    taken = Counter((r["doc_id"], r["source"]) for r in mixing.mixed_documents(docs).collect())
+    want = Counter()
+    for r in plan.itertuples():
+        source = r.source if isinstance(r.source, str) else None
+        want[None if np.isnan(r.doc_id) else int(r.doc_id), source] += int(r.copies * r.n_rows)
+    assert taken == +want
+    most = Counter(r["text"] for r in mixing.mixed_documents(docs).collect() if r["doc_id"] == 7)
+    assert all(most[t] <= 3 * n for t, n in (("one two", 2), ("two one", 1)))
+
+
 def test_targets_reshare_the_excess(spark):
     units = spark.createDataFrame([(1, "a", 10), (2, "b", 100), (3, "c", 1000), (4, None, 90)],
                                   "doc_id long, source string, size long")
