@@ -231,6 +231,13 @@ def _mixed(anchor: int, lo: int, common: bytes) -> int:
                           signed=True)
 
 
+def comparing_tasks(contexts: DataFrame, length: int, unit: int, shard_bytes: int) -> int:
+    """Tasks that compare about ``shard_bytes`` of bodies each, at any size of the table (what a
+    shuffle weighs compressed says little about the work).  Only lengths are read."""
+    total = contexts.agg(F.sum((F.col("n") + (length - 1)) * unit)).first()[0] or 0
+    return max(1, -(-int(total) // shard_bytes))
+
+
 def shards(batches: Iterator[pa.RecordBatch], limit: int = SHARD_BYTES) -> Iterator[pa.Table]:
     """Whole groups from rows sorted by anchor, about ``limit`` bytes of bodies at a time;
     a repeated (key, start) of a group (copies of a text) is taken once."""

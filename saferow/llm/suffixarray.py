@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saferow.llm.anchors import MAX_GROUP, SHARD_BYTES, bodies, divided, keyed, members, shards
+from saferow.llm.anchors import MAX_GROUP, SHARD_BYTES, bodies, comparing_tasks, divided, keyed, members, shards
 from saferow.llm.common import BYTE_KEY, scratch, stored
 from saferow.llm.induced import suffix_order
 
@@ -87,8 +87,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
         F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "key", "start", "n", "own")).alias("one")), "equal-stretches")
     whole = member.join(same.where("c > 1").select("anchor", "text"), ["anchor", "text"], "left_semi") \
         .select("key", "start", (F.col("start") + F.col("n") - 1 + length).alias("end")).distinct()
-    mixed = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"), F.min("c").alias("low")) \
-        .where("texts > 1 and low = 1").select("anchor")
+    # stored, so that both sides of its join are plain shuffles, of which Spark can split a hot anchor
+    mixed = stored(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"), F.min("c").alias("low"))
+                   .where("texts > 1 and low = 1").select("anchor"), "mixed-anchors")
     # a stretch that is alone carries its own place as ``doc`` 1, the others 0
     wanted = same.join(mixed, "anchor", "left_semi").select(
         F.col("one.key").alias("key"),
@@ -114,7 +115,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
 
     contexts = bodies(texts.where("wanted is not null"), _bytes, length)
     contexts, settled = divided(stored(contexts, "contexts"), length, 1, max_group, lambda h: _settled(h, length), "high = 1")
-    part = contexts.repartition("anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
+    part = contexts.repartition(comparing_tasks(contexts, length, 1, shard_bytes), "anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
         .mapInArrow(compare, "key binary, start long, end long")
     part = part if settled is None else part.unionByName(settled)
     return texts.select("key", "text"), whole.unionByName(stored(part, "part-spans"))

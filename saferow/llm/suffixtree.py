@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saferow.llm.anchors import MAX_GROUP, SHARD_BYTES, bodies, divided, keyed, members, shards
+from saferow.llm.anchors import MAX_GROUP, SHARD_BYTES, bodies, comparing_tasks, divided, keyed, members, shards
 from saferow.llm.common import NON_SPACE, scratch, span_hashes, stored, words
 
 LENGTH, GRAM = 50, 12
@@ -129,7 +129,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
     end = F.col("start") + F.col("n") - 1 + length
     whole = stored(member.join(same.select("anchor", "text", "least"), ["anchor", "text"]).where("doc > least")
                    .select("doc", "key", "start", end.alias("end")).distinct(), "whole-spans")
-    mixed = same.groupBy("anchor").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select("anchor")
+    # stored, so that both sides of its join are plain shuffles, of which Spark can split a hot anchor
+    mixed = stored(same.groupBy("anchor").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b")
+                   .select("anchor"), "mixed-anchors")
     wanted = same.join(mixed, "anchor", "left_semi").select(
         F.col("one.key").alias("key"),
         F.struct("anchor", F.col("least").alias("doc"), "text", F.col("one.start").alias("start"),
@@ -157,7 +159,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, k: int = GRAM, max_gro
 
     contexts = bodies(texts.where("wanted is not null"), _symbols, length)
     contexts, settled = divided(stored(contexts, "contexts"), length, 8, max_group, _settled, "low < high")
-    part = contexts.repartition("anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
+    part = contexts.repartition(comparing_tasks(contexts, length, 8, shard_bytes), "anchor").sortWithinPartitions("anchor", "lo", "key", "start") \
         .mapInArrow(compare, "text long, doc long, first long, last long")
     part = part if settled is None else part.unionByName(settled)
     # a text may stand several times in its smallest document: back to all its places there
