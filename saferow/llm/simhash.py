@@ -256,9 +256,12 @@ def components(edges: DataFrame) -> DataFrame:
     was, is_now = None, state(now)
     while is_now[0] and is_now != was:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        # the smallest neighbours are stored: both sides of the joins are then plain shuffles, of which Spark
+        # can split the root of a large component
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-low")
+        large = stored(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
+                       "star-large")
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "star-low")
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "star")
         was, is_now = is_now, state(now)
