@@ -12,10 +12,16 @@ Writing: rows are dealt by range of the document id and sorted in each task;
 each task writes one file under a name of its own attempt, and the manifest
 (a Parquet table written by Spark from the tasks that succeeded) names the files
 that count, so retried or lost tasks leave no wrong data.  ``base`` in the
-manifest is the number of ids in all files before.
+manifest is the number of ids in all files before; ``least`` and ``greatest`` are
+the ends of a file's ids, so a look-up opens only the files that can hold an id.
+A task starts a new file after ``FILE_IDS`` ids, so files stay bounded while the
+data grow.
 
 Defined results: null text is an empty document (just the end id); null ids come
-first; rows of equal id are ordered by text; an empty table gives no files.
+first; rows of equal id are ordered by text; an empty table gives no files.  Equal
+rows are told apart by their place in the input, so that a row repeated very often
+is spread over many files; ``docs`` should therefore be read from a stored table,
+whose rows keep their places when a lost task runs again.
 """
 
 from __future__ import annotations
@@ -31,17 +37,19 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from saferow.llm.common import stored
+from saferow.llm.common import filesystem, qualified, stored
 from saferow.llm.tokens import Recent, Splitter, _loaded, byte_letters
 
 # Fixed values of the published format.
 SEEK_FRAME, INDEX_FRAME, SEEK_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 END_ID = 0
+#: A file is closed once it holds this many ids (a longer document: alone in its file's end).
+FILE_IDS = 1 << 26
+READ_ROWS = 1 << 13
 
 
 def encoder(path: str):
@@ -137,60 +145,81 @@ class FrameReader:
         return np.frombuffer(raw, self.width)
 
 
-def _filesystem(uri: str):
-    """pyarrow's filesystem for a folder that Spark names, and the path there."""
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") \
-        else (pafs.LocalFileSystem(), uri)
-
-
-def write_token_files(docs: DataFrame, folder: str, path: str, files: int | None = None) -> DataFrame:
-    """Write the frames below ``folder``; gives the stored manifest (file_no, uri,
-    n_docs, n_ids, base).  ``files`` defaults to the session's shuffle partitions."""
+def write_token_files(docs: DataFrame, folder: str, path: str, files: int | None = None,
+                      file_ids: int = FILE_IDS) -> DataFrame:
+    """Write the frames below ``folder``; gives the stored manifest (file_no, uri, n_docs,
+    n_ids, least, greatest, base).  ``files``: ranges of ids, one task each (the session's
+    shuffle partitions); a task writes several files if it has more than ``file_ids`` ids."""
     spark = docs.sparkSession
-    folder = folder if ":" in folder.split("/")[0] else f"file://{folder}"
+    folder = qualified(spark, folder)
 
     def run(batches):
         encode, width = encoder(path)
         end = np.array([END_ID], width).tobytes()
-        no, writer, n_ids = TaskContext.get().partitionId(), None, 0
+        part, no, writer, n_ids = TaskContext.get().partitionId(), 0, None, 0
+
+        def closed():
+            writer.close()
+            known = [i for i in writer.ids if i is not None]  # in ascending order
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int32()), "no": pa.array([no], pa.int32()), "uri": [uri],
+                "n_docs": [len(writer.ids)], "n_ids": [n_ids], "least": pa.array(known[:1] or [None], pa.int64()),
+                "greatest": pa.array(known[-1:] or [None], pa.int64())})
+
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if writer is None:
-                    uri = f"{folder}/tokens-{no:06d}-{uuid.uuid4().hex}.zst"
-                    system, at = _filesystem(uri)
+                    uri = f"{folder}/tokens-{part:06d}-{no:06d}-{uuid.uuid4().hex}.zst"
+                    system, at = filesystem(uri)
                     system.create_dir(at.rpartition("/")[0], recursive=True)
-                    writer = FrameWriter(system.open_output_stream(at, compression=None), width)
+                    writer, n_ids = FrameWriter(system.open_output_stream(at, compression=None), width), 0
                 ids = (encode(text) if text else b"") + end
                 writer.add(doc_id, ids)
                 n_ids += len(ids) // int(width[-1])
+                if n_ids >= file_ids:
+                    yield closed()
+                    writer, no = None, no + 1
         if writer is not None:
-            writer.close()
-            yield pa.RecordBatch.from_pydict({"file_no": [no], "uri": [uri], "n_docs": [len(writer.ids)], "n_ids": [n_ids]})
+            yield closed()
 
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    done = (rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-            .select("doc_id", "text").mapInArrow(run, "file_no long, uri string, n_docs long, n_ids long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"),
+                       F.monotonically_increasing_id().alias("place"))
+    done = (rows.repartitionByRange(n, "doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "text")
+            .select("doc_id", "text")
+            .mapInArrow(run, "part int, no int, uri string, n_docs long, n_ids long, least long, greatest long"))
     done = stored(done, "token-files")
-    before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    return done.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
+    inside = Window.partitionBy("part").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = done.groupBy("part").agg(F.sum("n_ids").alias("all"))  # one row for each range of ids
+    ranges = ranges.select("part", F.coalesce(F.sum("all").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    return done.withColumn("own", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(ranges, "part").select(
+        ((F.col("part").cast("long") * (1 << 32)) + F.col("no")).alias("file_no"), "uri", "n_docs", "n_ids", "least", "greatest",
+        (F.col("base") + F.col("own")).cast("long").alias("base"))
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            for uri, base in zip(b.column("uri").to_pylist(), b.column("base").to_pylist()):
-                system, at = _filesystem(uri)
+            for uri, start in zip(b.column("uri").to_pylist(), b.column("base").to_pylist()):
+                system, at = filesystem(uri)
                 with system.open_input_file(at) as stream:
-                    reader, rows, start = FrameReader(stream), [], base
+                    reader, rows = FrameReader(stream), []
                     for k, doc_id in enumerate(reader.doc_ids):
                         ids = reader.ids(k)
                         rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                         start += len(ids)
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                                 ["doc_id", "start", "n_tokens", "ids_crc32"])
+                        if len(rows) == READ_ROWS:
+                            yield packed(rows)
+                            rows = []
+                if rows:
+                    yield packed(rows)
 
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return manifest.select("uri", "base", "file_no").repartition(n, "file_no").drop("file_no") \
@@ -198,10 +227,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
 
 def read_document(spark: SparkSession, manifest: DataFrame, doc_id: int) -> list[np.ndarray]:
-    """The ids of the documents with this id: opens each file's table, decompresses only their frames."""
+    """The ids of the documents with this id: opens the files whose ids span it, decompresses only their frames."""
     found = []
-    for row in manifest.orderBy("file_no").toLocalIterator():
-        system, at = _filesystem(row["uri"])
+    for row in manifest.where(F.lit(doc_id).between(F.col("least"), F.col("greatest"))).orderBy("file_no").toLocalIterator():
+        system, at = filesystem(row["uri"])
         with system.open_input_file(at) as stream:
             reader = FrameReader(stream)
             found += [reader.ids(k) for k, i in enumerate(reader.doc_ids) if i == doc_id]
