@@ -10,15 +10,20 @@ Phrase query: term frequencies over the whole index are summed first, so each
 window of a test item knows its rarest terms.  In a segment the positions of a
 window's rarest term, less its offset in the window, are the candidates; they
 are intersected with the offset-adjusted list of the next rarest term, and so
-on, until all words agree.  Test items are handled in blocks of bounded size
-(``BLOCK_WORDS``); only one block's windows go to the executors at a time.
+on, until all words agree.  Test items never meet on the driver: tasks cut them into
+windows, Spark deals the distinct (item, window) pairs by range into blocks of
+at most ``BLOCK_WORDS`` pairs, stored as rows of a table in the shared folder.
+An index task reads them there one after another: once to count the postings of
+a block's terms, and, when the sums have given each window its order of rarity,
+once to match.  A task holds one block and one batch of segments.
 
 Proximity query: all words of a query within ``slop`` positions, any order,
 found by next-position look-ups in the lists, starting from the rarest term.
 
 Defined results: null or empty text has no words, is never contaminated, and as
 a test item matches nothing; an item of fewer words than the window is one
-window; repeated rows are reported each; a null item id is shown as "null".
+window; repeated rows are reported each; a null item id is shown as "null";
+items of equal id are one item with the windows of all its texts.
 """
 
 from __future__ import annotations
@@ -26,12 +31,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saferow.llm.common import LOWER, byte_class, chunks, scratch, span_hashes, stored, words
+from saferow.llm.common import LOWER, byte_class, chunks, filesystem, scratch, span_hashes, stored, words
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 18
@@ -137,93 +144,175 @@ def match_windows(seg: Segment, windows: np.ndarray, lengths: np.ndarray, by_rar
     return w[ok], start[ok]
 
 
-def _blocks(items: DataFrame) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of (item names, item of each window, windows, lengths); items are
-    hashed in tasks and streamed, a block holds at most ``BLOCK_WORDS`` windows
-    and one item."""
+def item_windows(items: DataFrame) -> DataFrame:
+    """The distinct (item, window) pairs; a window is the hashes of its words, 8 bytes each."""
     def run(batches):
         for b in batches:
             for lo, hi, data, off in chunks(b.column("text")):
                 h, first = _hashed(data, off)
-                rows = [h[first[k]:first[k + 1]].view(np.int64) for k in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([b.column("item")[lo:hi], pa.array(rows, pa.list_(pa.int64()))],
-                                                 ["item", "terms"])
-
-    hashed = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text") \
-        .mapInArrow(run, "item string, terms array<bigint>")
-    names, rows, of, lengths = [], [], [], []
-    for row in hashed.toLocalIterator():
-        h = np.array(row["terms"], np.int64).view(np.uint64)
-        if not len(h):
-            continue
-        size = min(WINDOW, len(h))
-        view = np.lib.stride_tricks.sliding_window_view(h, size)
-        padded = np.repeat(view[:, :1], WINDOW, axis=1)
-        padded[:, :size] = view
-        names.append(row["item"])
-        rows.append(padded)
-        of.append(np.full(len(padded), len(names) - 1))
-        lengths.append(np.full(len(padded), size))
-        if sum(map(len, rows)) >= BLOCK_WORDS:
-            yield names, np.concatenate(of), np.concatenate(rows), np.concatenate(lengths)
-            names, rows, of, lengths = [], [], [], []
-    if rows:
-        yield names, np.concatenate(of), np.concatenate(rows), np.concatenate(lengths)
-
-
-def term_frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
-    """Postings of each of the (sorted, distinct, bounded) terms in the whole index."""
+                for k in range(hi - lo):
+                    mine = h[first[k]:first[k + 1]]
+                    if len(mine):
+                        size = min(WINDOW, len(mine))
+                        seen = np.unique(np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(mine, size))
+                                         .view(f"V{8 * size}").ravel())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.repeat(b.column("item")[lo + k], len(seen)),
+                             pa.array([x.tobytes() for x in seen], pa.binary())], ["item", "window"])
+
+    return items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text") \
+        .mapInArrow(run, "item string, window binary").distinct()
+
+
+class Block:
+    """A bounded set of windows with the items they belong to."""
+
+    SCHEMA = "block string, names array<string>, windows binary, lengths binary, item_at binary, item_no binary"
+
+    def __init__(self, row: dict):
+        self.names = np.array(row["names"], object)
+        self.windows = np.frombuffer(row["windows"], np.uint64).reshape(-1, WINDOW)  # padded with the first word
+        self.lengths = np.frombuffer(row["lengths"], np.int64)
+        self.item_at, self.item_no = np.frombuffer(row["item_at"], np.int64), np.frombuffer(row["item_no"], np.int64)
+        self.terms = np.unique(self.windows)
+
+    @staticmethod
+    def row(name: str, pairs: list[tuple[str, bytes]]) -> pa.RecordBatch:
+        names, windows = sorted({i for i, _ in pairs}), sorted({w for _, w in pairs})
+        number, place = {x: k for k, x in enumerate(names)}, {x: k for k, x in enumerate(windows)}
+        of = np.array([place[w] for _, w in pairs], np.int64)
+        item = np.array([number[i] for i, _ in pairs], np.int64)
+        order = np.lexsort((item, of))
+        padded = np.frombuffer(b"".join(w + w[:8] * (WINDOW - len(w) // 8) for w in windows), np.uint64)
+        cells = [padded, np.array([len(w) // 8 for w in windows], np.int64),
+                 np.searchsorted(of[order], np.arange(len(windows) + 1)), item[order]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name]), pa.array([names], pa.list_(pa.string())), *[pa.array([c.tobytes()], pa.binary()) for c in cells]],
+            ["block", "names", "windows", "lengths", "item_at", "item_no"])
+
+    def ranked(self, counts: np.ndarray) -> np.ndarray:
+        """For each window its word offsets, rarest first, padding last."""
+        n = counts[np.searchsorted(self.terms, self.windows)]
+        n[np.arange(WINDOW) >= self.lengths[:, None]] = np.iinfo(np.int64).max
+        return np.argsort(n, axis=1, kind="stable")
+
+    def spans(self, seg: Segment, by_rarity: np.ndarray):
+        """(document, item name, start, end) of the maximal runs of this block's windows, by positions in the segment."""
+        w, start = match_windows(seg, self.windows, self.lengths, by_rarity)
+        n = self.item_at[w + 1] - self.item_at[w]
+        item = self.item_no[np.repeat(self.item_at[w] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        start, end = np.repeat(start, n), np.repeat(start + self.lengths[w], n)
+        doc = seg.doc_of(start)
+        order = np.lexsort((start, item, doc))
+        doc, item, start, end = doc[order], item[order], start[order], end[order]
+        group = np.cumsum(np.r_[False, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else doc
+        upto = np.maximum.accumulate(end + group * (seg.n + 1)) - group * (seg.n + 1) if len(doc) else end
+        new = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (start[1:] > upto[:-1])]) if len(doc) else doc
+        last = np.r_[new[1:], len(doc)] - 1 if len(doc) else doc
+        return doc[new], self.names[item[new]], start[new], upto[last]
+
+
+def _read_rows(uris: list[str]) -> Iterator[dict]:
+    """The rows of a stored table of blocks, one in memory at a time (read inside tasks)."""
+    for uri in uris:
+        system, at = filesystem(uri)
+        with system.open_input_file(at) as stream:
+            for b in pq.ParquetFile(stream).iter_batches(batch_size=1):
+                yield from b.to_pylist()
+
+
+def item_blocks(index: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The stored blocks of all items, each window with its order of rarity in ``index``."""
+    pairs = stored(item_windows(items), "item-windows")
+
+    def cut(batches):
+        part, k, held = TaskContext.get().partitionId(), 0, []
+        for b in batches:
+            held += zip(b.column("item").to_pylist(), b.column("window").to_pylist())
+            while len(held) >= block_words:
+                yield Block.row(f"{part}-{k}", held[:block_words])
+                held, k = held[block_words:], k + 1
+        if held:
+            yield Block.row(f"{part}-{k}", held)
+
+    # a range of (item, window) keeps an item together, yet one id with very many texts is divided
+    ranges = max(1, -(-pairs.count() // block_words))
+    blocks = stored(pairs.repartitionByRange(ranges, "item", "window").sortWithinPartitions("item", "window")
+                    .mapInArrow(cut, Block.SCHEMA), "item-blocks")
+    counts = term_frequencies(index, blocks.inputFiles())
+
+    def rank(block: pd.DataFrame, count: pd.DataFrame) -> pd.DataFrame:
+        held = Block(block.iloc[0])
+        n = np.zeros(len(held.terms), np.int64)
+        n[count["term"].to_numpy(np.int64)] = count["n"].to_numpy(np.int64)
+        return block.assign(by_rarity=[held.ranked(n).astype(np.int64).tobytes()])
+
+    return stored(blocks.groupBy("block").cogroup(counts.groupBy("block"))
+                  .applyInPandas(rank, Block.SCHEMA + ", by_rarity binary"), "ranked-blocks")
+
+
+def _postings(terms: np.ndarray, segments: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    total = np.zeros(len(terms), np.int64)
+    for have, n in segments:
+        if len(have):
+            k = np.minimum(np.searchsorted(have, terms), len(have) - 1)
+            total += np.where(have[k] == terms, n[k], 0)
+    return total
+
+
+def _lists(b: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), "<u4"))
+            for t, c in zip(b.column("terms"), b.column("counts"))]
+
+
+def term_frequencies(index: DataFrame, uris: list[str]) -> DataFrame:
+    """block, term (its number among the block's sorted terms), n: postings in the whole index."""
+    def run(batches):
+        for b in batches:
+            lists = _lists(b)
+            for row in _read_rows(uris):
+                total = _postings(Block(row).terms, lists)
+                k = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.repeat(row["block"], len(k)), pa.array(k, pa.int64()),
+                                                  pa.array(total[k], pa.int64())], ["block", "term", "n"])
+
+    return index.select("terms", "counts").mapInArrow(run, "block string, term long, n long") \
+        .groupBy("block", "term").agg(F.sum("n").alias("n"))
+
+
+def span_pieces(index: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """segment, doc_no, item, start, end: the spans of :func:`phrase_spans`; those of
+    an item whose windows lie in several blocks come in pieces that may overlap."""
+    uris = item_blocks(index, items, block_words).inputFiles()
+
     def run(batches):
-        total = np.zeros(len(terms), np.int64)
         for b in batches:
-            for t, c in zip(b.column("terms"), b.column("counts")):
-                have, n = np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), "<u4")
-                if len(have):
-                    k = np.minimum(np.searchsorted(have, terms), len(have) - 1)
-                    total += np.where(have[k] == terms, n[k], 0)
-        k = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], ["term", "n"])
-
-    out = np.zeros(len(terms), np.int64)
-    got = index.select("terms", "counts").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for row in got.collect():  # at most one row per term of the block
-        out[row["term"]] = row["n"]
-    return out
-
-
-def phrase_spans(index: DataFrame, items: DataFrame) -> DataFrame:
+            rows = b.to_pylist()
+            for row in _read_rows(uris):
+                block = Block(row)
+                by_rarity = np.frombuffer(row["by_rarity"], np.int64).reshape(-1, WINDOW)
+                for r in rows:
+                    seg = Segment(r["terms"], r["counts"], r["positions"], r["doc_words"])
+                    doc, item, start, end = block.spans(seg, by_rarity)
+                    if len(doc):
+                        base = seg.first[doc]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.repeat(r["segment"], len(doc)), pa.array(doc, pa.int32()), pa.array(item, pa.string()),
+                            pa.array(start - base, pa.int64()), pa.array(end - base, pa.int64())],
+                            ["segment", "doc_no", "item", "start", "end"])
+
+    return index.mapInArrow(run, "segment string, doc_no int, item string, start long, end long")
+
+
+def phrase_spans(index: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """segment, doc_no, item, start, end: maximal runs of overlapping or adjacent
     window occurrences of one item in one document (word positions in it)."""
-    schema = "segment string, doc_no int, item string, start long, end long"
-    out = index.sparkSession.createDataFrame([], schema)
-    for names, of, windows, lengths in _blocks(items):
-        terms = np.unique(windows)
-        n = term_frequencies(index, terms)[np.searchsorted(terms, windows)]
-        n[np.arange(WINDOW) >= lengths[:, None]] = np.iinfo(np.int64).max
-        by_rarity = np.argsort(n, axis=1, kind="stable")
-
-        def run(batches, names=names, of=of, windows=windows, lengths=lengths, by_rarity=by_rarity):
-            for b in batches:
-                for row in b.to_pylist():
-                    seg = Segment(row["terms"], row["counts"], row["positions"], row["doc_words"])
-                    w, start = match_windows(seg, windows, lengths, by_rarity)
-                    if not len(w):
-                        continue
-                    doc, item, end = seg.doc_of(start), of[w], start + lengths[w]
-                    order = np.lexsort((start, item, doc))
-                    doc, item, start, end = doc[order], item[order], start[order], end[order]
-                    # windows of one item have one length, so ends rise with starts
-                    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-                                                | (start[1:] > end[:-1])])
-                    last = np.r_[new[1:], len(doc)] - 1
-                    base = seg.first[doc[new]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([row["segment"]] * len(new)), pa.array(doc[new], pa.int32()),
-                        pa.array([names[k] for k in item[new]]), pa.array(start[new] - base, pa.int64()),
-                        pa.array(end[last] - base, pa.int64())], ["segment", "doc_no", "item", "start", "end"])
-
-        out = out.unionByName(index.mapInArrow(run, schema))
-    return out
+    own = Window.partitionBy("segment", "doc_no", "item").orderBy("start", "end")
+    before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    return span_pieces(index, items, block_words) \
+        .withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1)).withColumn("run", run) \
+        .groupBy("segment", "doc_no", "item", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
 
 def proximity_matches(index: DataFrame, queries: dict[str, list[str]], slop: int) -> DataFrame:
@@ -232,7 +321,16 @@ def proximity_matches(index: DataFrame, queries: dict[str, list[str]], slop: int
     want = {q: np.unique(_hashed(np.frombuffer(" ".join(w).encode(), np.uint8),
                                  np.array([0, len(" ".join(w).encode())]))[0]) for q, w in queries.items()}
     terms = np.unique(np.concatenate([*want.values(), np.zeros(0, np.uint64)]))
-    freq = term_frequencies(index, terms) if len(terms) else terms
+    freq = np.zeros(len(terms), np.int64)
+
+    def count(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_postings(terms, _lists(b))], pa.list_(pa.int64()))], ["n"])
+
+    if len(terms):  # one number for each word of the given queries
+        per = index.select("terms", "counts").mapInArrow(count, "n array<long>").select(F.posexplode("n").alias("term", "n"))
+        for row in per.groupBy("term").agg(F.sum("n").alias("n")).collect():
+            freq[row["term"]] = row["n"]
     plan = {q: h[np.argsort(freq[np.searchsorted(terms, h)], kind="stable")] for q, h in want.items() if len(h)}
 
     def run(batches):
@@ -276,7 +374,7 @@ def indexed_documents(index: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per document: n_words, n_hit (words inside any occurrence), n_items, items_sha256, contaminated."""
     index = build_index(docs, id_col)
-    spans = stored(phrase_spans(index, items), "phrase-spans")
+    spans = stored(span_pieces(index, items), "phrase-spans")
     # length of the union of a document's spans, swept in order of their starts
     sweep = F.aggregate(
         F.array_sort(F.collect_list(F.struct("start", "end"))),
