@@ -104,6 +104,22 @@ def test_counts_and_ids_equal_the_library(spark, frame):
     assert [x.tolist() for x in binary.read_document(spark, manifest, 3)] == [want[3] + [0]]
 
 
+def test_files_stay_bounded_and_a_repeated_row_is_spread(spark, frame):
+    rows = [(i, f"text number {i}") for i in range(60)] + [(7, "the same words")] * 200 + [(None, None)] * 30
+    path = scratch(spark, "t") + "/docs"
+    frame(rows).repartition(4).write.parquet(path)
+    manifest = binary.write_token_files(spark.read.parquet(path), scratch(spark, "t"), vocabulary(), files=4, file_ids=64)
+    files = manifest.orderBy("file_no").collect()
+    assert ":" in files[0]["uri"] and len(files) > 12 and max(f["n_ids"] for f in files) < 64 + 8
+    assert [f["base"] for f in files] == list(np.cumsum([0] + [f["n_ids"] for f in files])[:-1])
+    assert max(sum(f["n_docs"] for f in files if f["file_no"] >> 32 == p) for p in range(4)) < 200
+    got = sorted(binary.read_token_files(manifest).collect(), key=lambda r: r["start"])
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    assert [r["start"] for r in got] == list(np.cumsum([0] + [r["n_tokens"] for r in got])[:-1])
+    assert [r["doc_id"] for r in got[:30]] == [None] * 30
+    assert len(binary.read_document(spark, manifest, 7)) == 201 and binary.read_document(spark, manifest, 999) == []
+
+
 def test_token_edges(spark, frame):
     assert tokens.count_tokens(frame(EMPTY), vocabulary()).count() == 0
     got = rows_of(tokens.count_tokens(frame(EDGES), vocabulary()))
@@ -158,6 +174,36 @@ def test_phrases_edges_and_proximity(spark, frame):
         ("q", 20), ("q", 21), ("q", 24)}
 
 
+def test_items_in_many_blocks_give_the_same_spans(spark, frame):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, rng.integers(1, 60))) for _ in range(12)]
+    items = [(k % 9 if k % 4 else None, t) for k, t in enumerate(texts)] + [(3, "w1 w2"), (3, texts[4]), (77, texts[4])]
+    docs = [(i, f"w0 {texts[i % 12]} w1 w2 {texts[(i * 5) % 12]}") for i in range(30)]
+    index = decontam.build_index(frame(docs).repartition(3))
+    ids = decontam.indexed_documents(index)
+    want, by_item = set(), {}
+    for name, t in items:
+        w = t.split()
+        size = min(10, len(w))
+        by_item.setdefault("null" if name is None else str(name), set()).update(
+            tuple(w[k:k + size]) for k in range(len(w) - size + 1))
+    for i, t in docs:
+        w = t.split()
+        for name, windows in by_item.items():
+            runs = []
+            for a, b in sorted((k, k + len(x)) for x in windows for k in range(len(w)) if tuple(w[k:k + len(x)]) == x):
+                if runs and a <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], b)
+                else:
+                    runs.append([a, b])
+            want.update((i, name, a, b) for a, b in runs)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for block_words in (7, 1 << 18):
+        got = decontam.phrase_spans(index, table, block_words).join(ids, ["segment", "doc_no"])
+        rows = [(r["doc_id"], r["item"], r["start"], r["end"]) for r in got.collect()]
+        assert len(rows) == len(want) and set(rows) == want
+
+
 # ------------------------------------------------------------------- quality
 def plain_quality(text):
     w = SPACE_WORD.findall(text or "")
