@@ -42,6 +42,8 @@ from saferow.llm.common import LOWER, byte_class, chunks, filesystem, scratch, s
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 18
+#: Segments (of some 2 MB of text) that one task counts: each task sends on one partial count a term.
+COUNTED_SEGMENTS = 64
 #: Word bytes of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z.
 WORD_BYTE = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 _INDEX = ("segment string, doc_ids array<bigint>, doc_words array<bigint>, terms binary, counts binary, "
@@ -276,7 +278,8 @@ def term_frequencies(index: DataFrame, uris: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.repeat(row["block"], len(k)), pa.array(k, pa.int64()),
                                                   pa.array(total[k], pa.int64())], ["block", "term", "n"])
 
-    return index.select("terms", "counts").mapInArrow(run, "block string, term long, n long") \
+    tasks = max(1, -(-index.count() // COUNTED_SEGMENTS))
+    return index.select("terms", "counts").coalesce(tasks).mapInArrow(run, "block string, term long, n long") \
         .groupBy("block", "term").agg(F.sum("n").alias("n"))
 
 
