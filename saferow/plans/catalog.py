@@ -1397,6 +1397,120 @@ def i6_stream_equals_batch(spark, sf):
         .select("sample_key", F.coalesce(F.col("prediction") == F.col("other"), F.lit(False)).alias("same"))
 
 
+@register("t10_evaluation_facts", f"""WITH {TEST_ROWS}
+SELECT count(*) FILTER (y = 0) AS n_safe, count(*) FILTER (y = 1) AS n_unsafe, true AS accuracy_agrees,
+       true AS recall_agrees, true AS auc_above_chance FROM test_rows""")
+def t10_evaluation_facts(spark, sf):
+    """The confusion matrix of the linear model holds every test row; accuracy and recall
+    equal plain averages over the predictions."""
+    pred = _test_predictions(spark, sf, "logistic_regression")
+    ev = M.evaluate(pred, "y", "prediction", "prob_1")
+    right = (F.col("y") == F.col("prediction")).cast("double")
+    plain = pred.agg(F.avg(right).alias("accuracy_"), F.avg(F.when(F.col("y") == 1, right)).alias("recall_"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-5
+    one = ev.metrics.crossJoin(plain).crossJoin(ev.roc_auc.select("roc_auc"))  # one row each
+    return one.select((F.col("tn") + F.col("fp")).alias("n_safe"), (F.col("fn") + F.col("tp")).alias("n_unsafe"),
+                      near("accuracy", "accuracy_").alias("accuracy_agrees"), near("recall", "recall_").alias("recall_agrees"),
+                      (F.col("roc_auc") > 0.5).alias("auc_above_chance"))
+
+
+def _train_names_sql() -> str:
+    """Names of the features that the train rows give: numerics, then every category."""
+    num = ", ".join(f"('{c}')" for c in NUM)
+    cats = " UNION ALL ".join(f"SELECT DISTINCT '{c}_' || coalesce({c}, '{FE.MISSING}') AS feature FROM train_rows" for c in SPEC.categorical_features)
+    return f"""WITH {_rank_sql('safety_status')},
+train_rows AS (SELECT s.* FROM r JOIN samples s USING (sample_key) WHERE rk >= round(n * 2e-1)),
+names AS (SELECT * FROM (VALUES {num}) t(feature) UNION ALL {cats})"""
+
+
+@register("t12_importance_facts", f"""{_train_names_sql()}
+SELECT feature, true AS legal, true AS sums_to_one, true AS ordered FROM names""")
+def t12_importance_facts(spark, sf):
+    """Tree importances name every feature once, are not negative and sum to 1; a shorter list
+    is the head of the full one."""
+    m = _model(spark, sf, "random_forest")
+    full = m.feature_importance(len(m.feature_names))
+    total = full.agg(F.sum("importance").alias("total"))
+    head = [tuple(r) for r in m.feature_importance(5).collect()]  # a top-5 report
+    same = head == [tuple(r) for r in full.limit(5).collect()]
+    return full.crossJoin(total).select("feature", (F.col("importance") >= 0).alias("legal"),  # one row of totals
+                                        (F.abs(F.col("total") - 1) < 1e-6).alias("sums_to_one"), F.lit(same).alias("ordered"))
+
+
+@register("h3_trial_facts", """SELECT CAST(unnest(range(0, 6)) AS INTEGER) AS trial_number, true AS in_space, true AS is_share,
+       true AS equals_own_cv""", with_fixtures=False)
+def h3_trial_facts(spark, sf):
+    """H2-H5: six trials inside the search space; the best one's score is the mean of its own
+    cross-validation."""
+    fitted, tr, _ = _prepared(spark, sf)
+    folded = S.assign_folds(tr.withColumn("safety_status", F.col("label")), "sample_key", "safety_status", 3, 42)
+    trials, best, score = H.tune(folded, "logistic_regression", n_trials=6, k=3, metric="accuracy", parallelism=4)
+    _, summary = H.cross_validate(folded, "logistic_regression", best, k=3, metric="accuracy")
+    agrees = abs(summary.first()["mean_score"] - score) < 1e-9
+    space = H.search_space("logistic_regression")
+    c = F.col("params")["C"].cast("double")
+    return trials.select("trial_number", (c.between(*space["C"]) & F.col("params")["penalty"].isin(*space["penalty"])).alias("in_space"),
+                         F.col("score").between(0, 1).alias("is_share"),
+                         (F.lit(agrees) & (F.col("score") <= score)).alias("equals_own_cv"))
+
+
+@register("j2_tuned_boosting_facts", f"""WITH {_rank_sql('safety_status')},
+q AS (SELECT *, round(n * 2e-1) AS nt FROM r)
+SELECT sample_key, true AS same, true AS best_of_trials, true AS within_rounds FROM q
+WHERE rk >= nt AND rk < nt + round((n - nt) * (1e-1 / (1e0 - 2e-1)))""")
+def j2_tuned_boosting_facts(spark, sf):
+    """A searched boosting run with early stopping on the validation split; the saved model answers
+    every validation row like the one returned, its parameters are those of the best trial."""
+    out = scratch_path(spark, "boosting-job")
+    prep = J.preprocess(samples_df(spark, sf), out)
+    space = {"n_estimators": (4, 8), "max_depth": (2, 3), "learning_rate": (0.1, 0.9)}
+    model, trials = J.train_job(prep, out, "xgboost", tune=True, n_trials=2, cv_folds=2, space=space, early_stopping_rounds=2)
+    top = trials.orderBy(F.desc("score"), "trial_number").first()["params"]
+    best = all(str(model.params[k]) == v for k, v in top.items())
+    rounds = 1 <= int(model.model.getNumTrees) <= int(top["n_estimators"])
+    back = MD.TrainedModel.load(f"{out}/model")
+    answers = _same_answers(model.predict(prep.val, keep=["sample_key"]), back.predict(prep.val, keep=["sample_key"]))
+    return answers.withColumn("best_of_trials", F.lit(best)).withColumn("within_rounds", F.lit(rounds))
+
+
+@register("j3_evaluation_facts", f"""WITH {TEST_ROWS}
+SELECT y, count(*) AS support, true AS saved_whole FROM test_rows GROUP BY y""")
+def j3_evaluation_facts(spark, sf):
+    """The saved predictions hold each test row once, the saved report its classes."""
+    out = scratch_path(spark, "eval-facts")
+    prep = J.preprocess(samples_df(spark, sf), out)
+    model = MD.train(prep.train, "logistic_regression", feature_names=prep.features.feature_names())
+    J.evaluate_job(prep, model, out)
+    support = spark.read.parquet(f"{out}/evaluation/per_class").where(F.col("label").isin(*SPEC.class_names)) \
+        .select(FE.label_encode(F.col("label")).alias("y"), "support")
+    rows = spark.read.parquet(f"{out}/predictions").groupBy("y").agg(F.count_distinct("sample_key").alias("n"))
+    return support.join(rows, "y", "left").select("y", "support", F.coalesce(F.col("n") == F.col("support"), F.lit(False)).alias("saved_whole"))
+
+
+@register("j5_reload_equals", f"WITH {TEST_ROWS} SELECT sample_key, true AS same FROM test_rows")
+def j5_reload_equals(spark, sf):
+    """The reloaded preparation and model answer every test row of the raw table as the run saved it."""
+    out = scratch_path(spark, "reload-run")
+    J.full_run(samples_df(spark, sf), out, model_type="logistic_regression", tune=False)
+    fitted, model, _ = J.load_run(spark, out)
+    again = I.score(samples_df(spark, sf), model, fitted, keep=["sample_key"]) \
+        .select("sample_key", F.col("prob_unsafe").alias("other"))
+    return spark.read.parquet(f"{out}/predictions").join(again, "sample_key", "left") \
+        .select("sample_key", F.coalesce(F.abs(F.col("p") - F.col("other")) < 1e-9, F.lit(False)).alias("same"))
+
+
+@register("i5_scoring_facts", f"""SELECT sample_key, {" AND ".join(f"{c} IS NOT NULL" for c in NUM)} AS answered FROM samples""")
+def i5_scoring_facts(spark, sf):
+    """Scoring by the numeric columns alone answers exactly the rows without a missing cell."""
+    from pyspark.ml.feature import VectorAssembler
+    filled = Q.clean(samples_df(spark, sf), fill_missing="median")
+    train = VectorAssembler(inputCols=NUM, outputCol="features").transform(filled) \
+        .withColumn("label", FE.label_encode(F.col("safety_status")).cast("double"))
+    out = I.score(samples_df(spark, sf), MD.train(train, "logistic_regression"), None, keep=["sample_key"])
+    legal = F.col("prediction").isin(*SPEC.class_names) & (F.abs(F.col("prob_safe") + F.col("prob_unsafe") - 1) < 1e-9)
+    return out.select("sample_key", F.coalesce(legal, F.lit(False)).alias("answered"))
+
+
 @register("s9_synthetic_facts", """SELECT o_orderkey AS sample_key, true AS in_range, true AS in_domain, true AS labelled
 FROM orders""", with_fixtures=False)
 def s9_synthetic_facts(spark, sf):

@@ -43,9 +43,13 @@ def _materialise(df: DataFrame, path: str) -> DataFrame:
 
 def preprocess(df: DataFrame, out_dir: str, spec: TableSpec = FOOD_SAFETY, test_size: float = 0.2,
                val_size: float = 0.1, scaling: str = "standard", seed: int = 42) -> Prepared:
-    """Split, fit the features on train only, transform every split, save."""
+    """Split, fit the features on train only, transform every split, save.
+
+    The raw table is read once: the columns that the job uses are stored, and the split, the
+    statistics, the dictionary and the transformation read that table."""
     key = spec.key or "sample_key"
-    # a comparison with two positions per class: nothing to write before the features
+    used = dict.fromkeys([key, spec.target, *spec.feature_columns])
+    df = _materialise(df.select(*[F.col(f"`{c}`") for c in used if c in df.columns]), os.path.join(out_dir, "raw"))
     tagged = S.assign_split(df, key, spec.target, test_size, val_size, seed)
     train_raw = tagged.where(F.col("split") == "train").drop("split")
     fitted = FE.FeaturePrep(spec, scaling=scaling).fit(train_raw)
@@ -62,11 +66,11 @@ def preprocess(df: DataFrame, out_dir: str, spec: TableSpec = FOOD_SAFETY, test_
 def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: bool = False,
               n_trials: int = 30, cv_folds: int = 5, metric: str = "f1", seed: int = 42,
               spec: TableSpec = FOOD_SAFETY, parallelism: Optional[int] = None,
-              early_stopping_rounds: int = 10) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
+              early_stopping_rounds: int = 10, space: Optional[dict[str, tuple]] = None) -> tuple[MD.TrainedModel, Optional[DataFrame]]:
     """Optional search (folds over the train split), refit, save.
 
     Early stopping on the validation split is used only when tuning is on (as
-    in the reference run)."""
+    in the reference run).  ``space`` replaces the model's search space."""
     params: dict[str, Any] = {}
     trials = None
     key = spec.key or "sample_key"
@@ -74,7 +78,7 @@ def train_job(prep: Prepared, out_dir: str, model_type: str = "xgboost", tune: b
         folded = S.assign_folds(prep.train, key, spec.target, cv_folds, seed)
         folded = _materialise(folded, os.path.join(out_dir, "folds"))
         par = parallelism or folded.sparkSession.sparkContext.defaultParallelism
-        trials, params, _ = H.tune(folded, model_type, n_trials, cv_folds, metric, seed, parallelism=par)
+        trials, params, _ = H.tune(folded, model_type, n_trials, cv_folds, metric, seed, parallelism=par, space=space)
         trials.write.mode("overwrite").parquet(os.path.join(out_dir, "trials"))
     data, validation = prep.train, None
     if tune and prep.val is not None and model_type in MD.BOOSTING:
