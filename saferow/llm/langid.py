@@ -19,7 +19,8 @@ only partial sums and a join whose large partitions Spark can split.
 Defined results: a null or empty page has no text evidence; a missing declaration
 gives none; a null or malformed address is one host named ""; ties go to the
 first language in order; without labelled documents the language is null;
-repeated rows are pages of their own.
+repeated rows are pages of their own.  Any number of languages is scored: a task
+holds the model of ``BLOCK`` of them, and more are read in stored passes.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ NGRAM, BUCKETS = 4, 1 << 16
 EVIDENCE = 40.0
 HOST_PRIOR, LABEL_PRIOR = 5.0, 2.0
 SUFFIX_WEIGHT = 0.5
-MAX_LANGUAGES = 256
+#: Languages whose model a task holds at once; more are read in as many stored passes.
+BLOCK = 256
 _HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _LANG = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,8})")
 _META = re.compile(r"(?is)<meta\b[^>]*content-language[^>]*?content\s*=\s*[\"']?\s*([a-z]{2,8})")
@@ -78,11 +80,15 @@ def _grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (v[ok] >> np.uint32(16)).astype(np.int64), np.concatenate([[0], np.cumsum(ok)])[np.minimum(off, n)]
 
 
-def language_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities by language and bucket) over all labelled documents."""
-    names = sorted(r[0] for r in docs.where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+def languages(docs: DataFrame) -> list[str]:
+    """The languages that labels name, in order: as many as the label set has."""
+    return sorted(r[0] for r in docs.where("lang is not null").select("lang").distinct().collect())
+
+
+def language_model(docs: DataFrame, names: list[str] | None = None) -> tuple[list[str], np.ndarray]:
+    """(languages, log-probabilities by language and bucket) over all documents labelled as
+    one of ``names`` (all languages by default)."""
+    names = languages(docs) if names is None else names
     number = {x: k for k, x in enumerate(names)}
 
     def run(batches):
@@ -97,10 +103,9 @@ def language_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["cell", "n"])
 
     count = np.zeros(len(names) * BUCKETS)
-    if names:
-        got = docs.where("lang is not null").select("lang", "text").mapInArrow(run, "cell long, n long")
-        for cell, n in got.groupBy("cell").agg(F.sum("n")).collect():  # at most languages times BUCKETS rows
-            count[cell] = n
+    got = docs.where(F.col("lang").isin(names)).select("lang", "text").mapInArrow(run, "cell long, n long")
+    for cell, n in got.groupBy("cell").agg(F.sum("n")).collect():  # at most len(names) * BUCKETS rows
+        count[cell] = n
     count = count.reshape(len(names), BUCKETS)
     return names, np.log(count + 0.5) - np.log(count.sum(1, keepdims=True) + 0.5 * BUCKETS)
 
@@ -110,45 +115,71 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
-def page_evidence(pages: DataFrame, names: list[str], logp: np.ndarray) -> DataFrame:
+def page_evidence(pages: DataFrame, docs: DataFrame, names: list[str], block: int = BLOCK) -> DataFrame:
     """page_id, host, domain, suffix, declared, text (tempered log-likelihoods), q
-    (what the text alone says); one pass, no shuffle."""
-    shared = pages.sparkSession.sparkContext.broadcast(logp)
+    (what the text alone says); one pass for each ``block`` languages, no shuffle."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
+                        F.array().cast("array<double>").alias("text"))
+    for first in range(0, len(names), block):
+        _, logp = language_model(docs, names[first:first + block])
+        rows = _evidence_pass(rows, logp, first + block >= len(names))
+    return rows
+
+
+def _evidence_pass(rows: DataFrame, logp: np.ndarray, last: bool) -> DataFrame:
+    """``rows`` (page_id, url, html, text) with the likelihoods of more languages behind ``text``: stored,
+    or after the last of them the evidence."""
+    shared = rows.sparkSession.sparkContext.broadcast(logp)
+
+    def like(b, page):
+        logp_rows = shared.value
+        out = np.zeros((len(page), len(logp_rows)))
+        for lo, hi, data, off in chunks(pa.array([page_text(p or "") for p in page], pa.string())):
+            grams, start = _grams(data, off)
+            n = np.diff(start)
+            full = np.flatnonzero(n)
+            for k in range(len(logp_rows)):
+                if len(full):
+                    out[lo + full, k] = np.add.reduceat(logp_rows[k][grams], start[full])
+            out[lo:hi] *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
+        before = np.array(b.column("text").to_pylist(), float).reshape(len(page), -1)
+        return np.hstack([before, out])
+
+    def more(batches):
+        for b in batches:
+            if b.num_rows:
+                text = like(b, b.column("html").to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("html"),
+                                                  pa.array(list(text), pa.list_(pa.float64()))], ["page_id", "url", "html", "text"])
 
-    def run(batches):
+    def final(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
             page, url = b.column("html").to_pylist(), b.column("url").to_pylist()
-            place = list(zip(*[address(u) for u in url])) or [(), (), ()]
+            place = list(zip(*[address(u) for u in url]))
             said = [declared_language(p or "") for p in page]
-            like = np.zeros((len(page), len(names)))
-            for lo, hi, data, off in chunks(pa.array([page_text(p or "") for p in page], pa.string())):
-                grams, first = _grams(data, off)
-                n = np.diff(first)
-                full = np.flatnonzero(n)
-                for k in range(len(names)):
-                    if len(full):
-                        like[lo + full, k] = np.add.reduceat(shared.value[k][grams], first[full])
-                like[lo:hi] *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
-            q = _softmax(like) if len(names) else like
+            text = like(b, page)
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), *[pa.array(p, pa.string()) for p in place], pa.array(said, pa.string()),
-                 pa.array(list(like), pa.list_(pa.float64())), pa.array(list(q), pa.list_(pa.float64()))],
+                 pa.array(list(text), pa.list_(pa.float64())), pa.array(list(_softmax(text)), pa.list_(pa.float64()))],
                 ["page_id", "host", "domain", "suffix", "declared", "text", "q"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
-        run, "page_id long, host string, domain string, suffix string, declared string, "
-             "text array<double>, q array<double>")
+    if not last:
+        return stored(rows.mapInArrow(more, "page_id long, url string, html string, text array<double>"), "page-likelihoods")
+    return rows.mapInArrow(final, "page_id long, host string, domain string, suffix string, declared string, "
+                                  "text array<double>, q array<double>")
 
 
-def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
+def identify(pages: DataFrame, docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """page_id, host, declared, text_lang, lang and its posterior of every page."""
-    names, logp = language_model(docs)
+    names = languages(docs)
     size = len(names)
     if not size:
         return pages.select(F.col("page_id").cast("long").alias("page_id"), *[
             F.lit(None).cast("string").alias(c) for c in ("host", "declared", "text_lang", "lang")],
             F.lit(None).cast("double").alias("posterior"))
-    seen = stored(page_evidence(pages, names, logp), "page-evidence")
+    seen = stored(page_evidence(pages, docs, names, block), "page-evidence")
     # q is summed in units of 2**-40, so sums do not depend on the order of rows
     unit = float(1 << 40)
     sums = F.array(*[F.sum(F.round(F.col("q")[k] * unit).cast("long").cast("decimal(38,0)")) for k in range(size)])

@@ -230,6 +230,21 @@ def test_fusion_equals_plain_version(spark):
     assert {r["lang"] for r in langid.identify(df, docs.limit(0)).collect()} == {None}
 
 
+def test_languages_in_blocks_answer_like_one_block(spark):
+    """More languages than a task holds at once: read in stored passes, with equal answers."""
+    words = {f"l{k:03d}": f"wort{k} satz{k * 7} zahl{k * 13} " for k in range(40)}
+    docs = spark.createDataFrame([(i, w * 4, x) for i, (x, w) in enumerate(words.items())], "doc_id long, text string, lang string")
+    pages = [(i, f"https://h{i % 3}.example.org/{i}", f"<p>{words[f'l{k:03d}'] * 3}</p>") for i, k in enumerate([0, 7, 15, 16, 39, 7])]
+    pages += [(100, None, None), (101, "https://h1.example.org/x", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert len(langid.languages(docs)) == 40
+    got = {r["page_id"]: (r["lang"], r["text_lang"], r["posterior"]) for r in langid.identify(df, docs, block=16).collect()}
+    one = {r["page_id"]: (r["lang"], r["text_lang"], r["posterior"]) for r in langid.identify(df, docs).collect()}
+    assert got == one and len(got) == len(pages)
+    assert [got[i][1] for i in range(6)] == ["l000", "l007", "l015", "l016", "l039", "l007"]
+    assert got[100][1] is None and got[101][1] is None
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline_stages_decide_on_what_they_get(spark):
     docs = table(spark, SF, "documents")
