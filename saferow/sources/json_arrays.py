@@ -29,6 +29,7 @@ from typing import Optional, Union
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,26 +40,41 @@ MAX_RANGES = 2_000_000
 _QUOTE, _ESCAPE, _OPEN, _CLOSE = ord('"'), ord("\\"), b"{[", b"}]"
 _DEPTH = np.zeros(256, np.int8)
 _DEPTH[list(_OPEN)], _DEPTH[list(_CLOSE)] = 1, -1
+_MARK = _DEPTH != 0
+_MARK[_QUOTE] = True
+_BYTES = pa.large_binary()
 Range = tuple[str, int]
 
 
-def _scan(data: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
-    """(nesting change at every byte, whether the text ends inside a string) for text
-    that starts ``inside`` a string or not."""
-    quote = np.flatnonzero(data == _QUOTE)
-    if len(quote):
-        other = np.where(data != _ESCAPE, np.arange(len(data)), -1)
-        last = np.r_[-1, np.maximum.accumulate(other)[:-1]][quote]  # last byte before the quote that is no backslash
-        quote = quote[(quote - 1 - last) % 2 == 0]
-    flips = np.zeros(len(data), np.int64)
-    flips[quote] = 1
-    within = (np.cumsum(flips) + inside) % 2 == 1
-    return np.where(within, 0, _DEPTH[data]), bool((len(quote) + inside) % 2)
+def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places of quotes and brackets, which byte each is, quotes up to and with it);
+    quotes that a backslash escapes are left out."""
+    at = np.flatnonzero(_MARK[data])
+    kind = data[at]
+    escape = data == _ESCAPE
+    if escape.any():
+        quote = np.flatnonzero(kind == _QUOTE)
+        other = np.where(escape, -1, np.arange(len(data)))
+        last = np.r_[-1, np.maximum.accumulate(other)[:-1]][at[quote]]  # last byte before the quote that is no backslash
+        real = np.ones(len(at), bool)
+        real[quote] = (at[quote] - 1 - last) % 2 == 0
+        at, kind = at[real], kind[real]
+    return at, kind, np.cumsum(kind == _QUOTE)
+
+
+def _brackets(marks: tuple, inside: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+    """(places of the brackets outside strings, which byte each is, whether the text ends
+    inside a string) for text that starts ``inside`` a string or not."""
+    at, kind, quotes = marks
+    out = (kind != _QUOTE) & ((quotes + inside) % 2 == 0)
+    return at[out], kind[out], bool(((int(quotes[-1]) if len(quotes) else 0) + inside) % 2)
 
 
 def _joined(values: pa.Array) -> np.ndarray:
     """The pieces with a separator after each, as bytes."""
-    return np.frombuffer("}".join([*values.to_pylist(), ""]).encode(), np.uint8)
+    whole = pc.binary_join_element_wise(values.cast(_BYTES), *[pa.scalar(x, _BYTES) for x in (b"", b"}")])
+    lo, hi = np.frombuffer(whole.buffers()[1], np.int64)[[whole.offset, whole.offset + len(whole)]]
+    return np.frombuffer(whole.buffers()[2], np.uint8)[lo:hi]
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Range, pa.Array]]:
@@ -83,10 +99,10 @@ class _Walk:
         self.head = None  # what ends an element of an earlier range
 
     def feed(self, data: np.ndarray) -> list[bytes]:
-        change, self.inside = _scan(data, self.inside)
-        depth = self.depth + np.cumsum(change)
+        at, kind, self.inside = _brackets(_marks(data), self.inside)
+        depth = self.depth + np.cumsum(_DEPTH[kind], dtype=np.int64)
         self.depth = int(depth[-1]) if len(depth) else self.depth
-        ends = np.flatnonzero((depth == 1) & (change == -1) & (data == ord("}"))) + 1
+        ends = at[(depth == 1) & (kind == ord("}"))] + 1
         out, lo, raw = [], 0, data.tobytes()
         for e in ends.tolist():
             text = b"".join([*self.held, raw[lo:e]])
@@ -120,10 +136,10 @@ def _states(pieces: DataFrame) -> dict[Range, tuple[bool, int, bool]]:
             if now is None or now[0] != r:
                 now = [r, [False, 0], [True, 0]]
                 done.append(now)
-            data = _joined(values)
+            marks = _marks(_joined(values))
             for way in now[1:]:
-                change, way[0] = _scan(data, way[0])
-                way[1] += int(change.sum())
+                _, kind, way[0] = _brackets(marks, way[0])
+                way[1] += int(_DEPTH[kind].sum())
         if done:
             cols = zip(*[(*r, a[0], a[1], b[0], b[1]) for r, a, b in done])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["file", "start", "s0", "d0", "s1", "d1"])

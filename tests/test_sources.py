@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +190,35 @@ def test_a_killed_write_is_not_a_table(spark, tmp_path):
     assert SRC.load_or_generate(spark, str(half), n_samples=20).count() == 20
     spark.range(3).write.parquet(str(tmp_path / "other.parquet"))  # another writer's table
     assert SRC.is_complete(spark, str(tmp_path / "other.parquet"))
+
+
+def test_array_files_grow_in_number_and_not_in_length(spark, monkeypatch, tmp_path):
+    from saferow.plans import catalog as C
+
+    from core_data import SF001
+
+    monkeypatch.setattr(C, "ARRAY_ROWS", 100, raising=False)
+    C._as_arrays(spark, SF001, str(tmp_path), 3)
+    files = list((tmp_path / "plain").glob("part-*"))
+    texts = [f.read_text() for f in files]
+    n = C.samples_df(spark, SF001).count()
+    assert len(files) == -(-n // 100)  # 3 files however large the table, before
+    assert all("\n" not in t for t in texts)
+    assert sum(len(json.loads(t)) for t in texts) == n
+    once = SRC.read_table(spark, str(tmp_path / "sub"), "json", schema=C.SAMPLES_SCHEMA)
+    assert once.count() == C.samples_df(spark, SF001).where(C._EVEN_HASH).count()
+
+
+def test_array_cut_at_any_byte_reads_whole(spark, tmp_path):
+    """Escaped quotes, brackets in strings and nesting, in ranges of 97 bytes."""
+    rows = [{"id": i, "s": 'a\\"}{[' + "\\" * (i % 5) + '"' * (i % 3) + "é]}", "n": {"x": [i, {"y": "}"}]}} for i in range(40)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, ensure_ascii=False))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "97")
+        got = SRC.read_table(spark, str(tmp_path / "a.json"), schema="id int, s string, n string").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((r["id"], r["s"]) for r in got) == [(r["id"], r["s"]) for r in rows]
