@@ -7,8 +7,7 @@ log P(bucket | trusted) - log P(bucket | raw): the log-likelihood ratio divided
 by the length.  The threshold is a fixed quantile of the scores of all rows
 labelled good; every document is held against it, so the verdict is deterministic.
 
-Trusted texts are a bounded sample of the rows labelled good (``TRUSTED_ROWS``,
-in order of a hash of the id); the raw counts are of all documents.
+Trusted texts are all rows labelled good; the raw counts are of all documents.
 
 Defined results: null or empty text has zero words and lines and fails the base
 rules; a text shorter than an n-gram scores 0; without trusted rows the ratio
@@ -27,7 +26,8 @@ from saferow.llm.common import (NON_SPACE, byte_class, chunks, gram_hashes, insi
 from saferow.operators.quantiles import exact_quantiles
 
 NGRAM, BUCKETS = 4, 1 << 16
-TRUSTED_ROWS = 20_000
+#: Most trusted rows whose ids (8 bytes each) are sent to every task; more are joined by shuffle.
+TRUSTED_ROWS = 1_000_000
 #: The threshold: this quantile of the scores of all rows labelled good.
 TRUSTED_QUANTILE = 0.002
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
@@ -104,8 +104,7 @@ def corpus_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for lo, hi, data, off in chunks(b.column("text")):
                 grams, first = _grams(data, off)
                 total[1] += np.bincount(grams, minlength=BUCKETS)
-                for k in np.flatnonzero(trusted[lo:hi]):
-                    total[0] += np.bincount(grams[first[k]:first[k + 1]], minlength=BUCKETS)
+                total[0] += np.bincount(grams[np.repeat(trusted[lo:hi], np.diff(first))], minlength=BUCKETS)
         at = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0][at]), pa.array(total[1][at])],
                                          ["bucket", "trusted", "raw"])
@@ -150,13 +149,14 @@ def scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base counts, score, base_failed and kept of every row of ``docs``."""
-    good_ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("_id")).distinct()
-    sample = good_ids.orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED_ROWS)
+    good_ids = stored(labels.where("quality = 1 and doc_id is not null")
+                      .select(F.col("doc_id").cast("long").alias("_id")).distinct(), "good-ids")
+    few = good_ids.count() <= TRUSTED_ROWS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left") \
-        .select("doc_id", "text", F.col("_id").isNotNull().alias("trusted"))  # at most TRUSTED_ROWS ids are broadcast
+        .join(F.broadcast(good_ids) if few else good_ids, F.col("doc_id") == F.col("_id"), "left") \
+        .select("doc_id", "text", F.col("_id").isNotNull().alias("trusted"))
     got = stored(scored(rows, log_ratio(*corpus_counts(rows))), "quality-scores")
-    good_scores = stored(got.join(good_ids, F.col("doc_id") == F.col("_id"), "left_semi").select("score"), "good-scores")
+    good_scores = stored(got.where("trusted").select("score"), "good-scores")
     at = exact_quantiles(good_scores, ["score"], [TRUSTED_QUANTILE])["score"][0]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     good = F.lit(True) if at is None else F.col("score") >= F.lit(at)

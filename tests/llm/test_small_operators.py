@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from saferow.llm import binary, decontam, mixing, quality, simhash, tokens
 from saferow.llm.common import scratch, table
@@ -242,6 +243,18 @@ def test_quality_threshold_is_the_quantile_of_all_good_rows(spark, monkeypatch):
     assert (got.kept == (~got.base_failed & (got.score >= at)))[clear].all()
 
 
+def test_quality_counts_every_good_row_as_trusted(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{i} good text " * 5 + "xyz" * (i % 7)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    trusted, raw = quality.corpus_counts(docs.withColumn("trusted", F.col("doc_id") < 40))
+    ratio = quality.log_ratio(trusted, raw)
+    want = {r["doc_id"]: r["score"] for r in quality.scored(docs.withColumn("trusted", F.lit(True)), ratio).collect()}
+    for most in (3, 1000):
+        monkeypatch.setattr(quality, "TRUSTED_ROWS", most)
+        got = {r["doc_id"]: r["score"] for r in quality.quality(docs, labels).collect()}
+        assert got == pytest.approx(want)
+
+
 # ------------------------------------------------------------------- SimHash
 def plain_fingerprint(text):
     w = SPACE_WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
