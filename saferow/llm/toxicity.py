@@ -14,7 +14,7 @@ start of the text, so a score depends on nothing but the text).  A window's pool
 sums over its words, of exp(attention) times the state's output and of exp(attention); both come from
 running sums.
 
-Training (numpy, on the driver) uses a bounded sample of labelled rows:
+Training (numpy, in one task) uses a bounded sample of labelled rows:
 ``POSITIVES`` and ``NEGATIVES`` rows in order of a hash of the id, none longer
 than ``FIT_CHARS``; of a repeated id the least text.  A text's label does not say which window earns it, so rounds
 alternate: score all windows of the sample, then fit on the worst ones of each
@@ -29,6 +29,8 @@ of both classes every score is 0; repeated rows score alike.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -370,8 +372,15 @@ def fit_on(docs: DataFrame, labels: DataFrame, exclude=held_out) -> dict:
     ids = F.broadcast(pick[0].unionByName(pick[1]))  # at most POSITIVES + NEGATIVES rows
     got = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS) \
         .join(ids, F.col("doc_id") == F.col("_id")).groupBy("_id", "_y").agg(F.min("text").alias("text"))
-    rows = sorted(got.collect(), key=lambda r: (r[0], r[1], r[2]))  # one row per id and label
-    return fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+    def run(batches):
+        rows = sorted((r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)))),
+                      key=lambda r: (r[0], r[1], r[2]))  # one row per id and label
+        model = fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+        yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # one task fits, for the sample is bounded: the driver holds neither its texts nor the training's arrays
+    made = got.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made[0]) if made else fit([], np.zeros(0, np.int64))
 
 
 def toxicity_scores(docs: DataFrame, model: dict) -> DataFrame:
