@@ -200,3 +200,33 @@ def test_folds_are_fitted_at_the_same_time_and_leave_no_cache(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty() or "fold" not in str(spark.sparkContext._jsc.getPersistentRDDs())
     one = plain("logistic_regression", None, n_rows=df.where("fold != 1").count()).fit(df.where("fold != 1"))
     assert abs(HS.evaluator("accuracy").evaluate(one.transform(df.where("fold = 1"))) - scores[1]) < 1e-9
+
+
+def test_tree_fits_deal_one_partition_over_tasks(spark, monkeypatch):
+    df = _two_features(spark).coalesce(1)
+    n = df.count()
+    monkeypatch.setattr(MD, "TASK_ROWS", n // 4)
+    tasks, plain = [], MD.make_estimator
+
+    class Watched:
+        def __init__(self, est):
+            self.est = est
+
+        def fit(self, data):
+            tasks.append(data.rdd.getNumPartitions())
+            return self.est.fit(data)
+
+    monkeypatch.setattr(MD, "make_estimator", lambda *a, **k: Watched(plain(*a, **k)))
+    for model_type, params in (("random_forest", {"n_estimators": 2, "max_depth": 3}), ("xgboost", {"n_estimators": 2})):
+        MD.train(df, model_type, params)
+    assert tasks == [MD.fit_tasks(n, spark.sparkContext.defaultParallelism)] * 2 and tasks[0] >= min(4, spark.sparkContext.defaultParallelism)
+    dealt = lambda: [[r["id"] for r in p] for p in MD.spread(df).rdd.glom().collect()]
+    first = dealt()
+    assert first == dealt() and sorted(sum(first, [])) == sorted(r["id"] for r in df.collect())
+    assert max(map(len, first)) - min(map(len, first)) <= n // 10
+
+
+def test_fit_tasks_follow_rows_and_cores():
+    least, most = MD.TASK_ROWS, MD.MOST_TASK_ROWS
+    assert [MD.fit_tasks(n, 8) for n in (0, least - 1, least, 3 * least, 9 * least, 16 * least, 500 * least)] == [1, 1, 1, 3, 8, 16, 16]
+    assert MD.fit_tasks(100 * most, 8) == 100
