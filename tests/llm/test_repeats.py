@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from saferow.llm import suffixarray, suffixtree
+from saferow.llm import induced, suffixarray, suffixtree
 from saferow.llm.induced import suffix_order
 from saferow.llm.suffixtree import prefix_groups, subtree
 
@@ -40,6 +40,19 @@ def test_induced_order_with_large_alphabet_and_spill():
     assert (order.tolist(), common.tolist()) == plain_order(x.tolist())
 
 
+def test_the_names_of_a_shard_take_no_scans_of_their_own(monkeypatch):
+    """A shard is put in order by one scan up and one down; its names, a third as many, by rank doubling."""
+    scanned, scan = [], induced._scan
+    monkeypatch.setattr(induced, "_scan", lambda text, *rest: scanned.append(len(text)) or scan(text, *rest))
+    x = np.random.default_rng(3).integers(0, 30, suffixarray.SHARD_BYTES)
+    order, common = suffix_order(x, suffixarray.LENGTH)
+    assert scanned == [len(x) + 1] * 2
+    at = np.arange(0, len(x) - 1, 997)
+    for i, j, k in zip(order[at].tolist(), order[at + 1].tolist(), common[at + 1].tolist()):
+        a, b = x[i:i + 40].tolist(), x[j:j + 40].tolist()
+        assert a < b and a[:k] == b[:k] and a[k:k + 1] != b[k:k + 1]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2), min_size=6, max_size=80), st.integers(1, 20), st.integers(1, 50))
 def test_subtrees(x, limit, read):
