@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -87,3 +87,56 @@ def test_bags_follow_the_rate():
         got, of = votes[i, 1], cells[tuple(x[:, i])]
         share = sum(b for c, b in of if c) / sum(b for _, b in of)
         assert (got > 0.5) == (share > 0.5)
+
+
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_boosting_without_draws_is_sparks(spark, rows, weight):
+    est = GBTClassifier(maxIter=6, maxDepth=4, stepSize=0.3, seed=7, subsamplingRate=1.0, featureSubsetStrategy="all",
+                        minInstancesPerNode=5)
+    est = est.setWeightCol(weight) if weight else est
+    mine = TR.fit_boosting(est, TR.tasks_for(rows, 3), 3, TR.find_bins(est, rows, True), "features", "label", weight)
+    theirs = est.fit(rows.coalesce(1))
+    assert isinstance(mine, GBTClassificationModel) and mine.treeWeights == theirs.treeWeights and mine.uid == theirs.uid
+    assert (np.abs(_probs(mine, rows) - _probs(theirs, rows)) > 1e-6).mean() < 0.01
+    assert np.abs(mine.featureImportances.toArray() - theirs.featureImportances.toArray()).max() < 0.01
+    assert np.allclose(mine.evaluateEachIteration(rows), theirs.evaluateEachIteration(rows), atol=1e-4)
+
+
+def test_boosting_is_one_stage_and_follows_the_seed(spark, rows, monkeypatch):
+    monkeypatch.setattr(MD, "BINNED_ROWS", 1000)
+    params = {"n_estimators": 15, "max_depth": 4}
+    m, jobs = _jobs(spark, lambda: MD.train(rows, "xgboost", params))
+    assert jobs <= 30  # not one for each level of each round
+    assert m.model.getNumTrees == 15 and (_probs(m.model, rows) == _probs(MD.train(rows, "xgboost", params).model, rows)).all()
+    right = m.predict(rows).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    assert right > 0.85
+    path = scratch_path(spark, "boosted-model")
+    m.save(path)
+    assert (_probs(MD.TrainedModel.load(path).model, rows) == _probs(m.model, rows)).all()
+    held = rows.withColumn("held", F.col("id") % 4 == 0)
+    cut = MD.train(held, "lightgbm", {**params, "learning_rate": 0.9}, validation="held", early_stopping_rounds=2)
+    assert 1 <= cut.model.getNumTrees <= 15 and cut.params["n_estimators"] == cut.model.getNumTrees
+
+
+def test_what_this_module_does_not_fit_stays_with_spark(spark, rows, monkeypatch):
+    est = GBTClassifier(maxDepth=TR.DEEPEST_BOOSTED + 1)
+    assert TR.growable(est, rows, 10_000, True) == 0 and TR.growable(GBTClassifier(), rows, 10_000, True) > 0
+    monkeypatch.setattr(TR, "MOST_FOREST_ROWS", 100)
+    assert TR.growable(RandomForestClassifier(), rows, 101, False) == 0
+    from pyspark.ml.feature import VectorIndexer
+    three = VectorAssembler(inputCols=["k"], outputCol="raw").transform(rows.select("id", "label", (F.col("id") % 3).cast("double").alias("k")))
+    named = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=4).fit(three).transform(three)
+    assert TR.find_bins(RandomForestClassifier(), named, False) is None  # three categories in one feature
+
+
+def test_an_exchange_adds_up_and_leaves_one_file_for_each_task(tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    tasks = [TR.Exchange(str(tmp_path / "x"), i, 3) for i in range(3)]
+
+    def turns(i):
+        return [tasks[i](np.array([[1.0, i], [t, 0.5]])).tolist() for t in range(20)]
+
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(turns, range(3)))
+    assert got == [[[[3.0, 3.0], [3.0 * t, 1.5]] for t in range(20)]] * 3
+    assert len(list((tmp_path / "x").iterdir())) == 3
